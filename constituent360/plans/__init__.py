@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("tables",)
+AREAS = ("tables", "metrics", "golden")
 
 
 def load_all():
