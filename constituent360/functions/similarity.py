@@ -110,8 +110,12 @@ def char_mask(c: Column) -> Column:
     )
 
 
-def score_ceiling(len_a: Column, len_b: Column, mask_a: Column, mask_b: Column) -> Column:
-    """Upper bound of Jaro-Winkler from lengths and character sets.
+def inverse_length(c: Column) -> Column:
+    return F.when(F.length(c) > 0, 1.0 / F.length(c)).otherwise(0.0)
+
+
+def score_ceiling(len_a: Column, len_b: Column, inv_a: Column, inv_b: Column, mask_a: Column, mask_b: Column) -> Column:
+    """Upper bound of Jaro-Winkler from lengths, their inverses and character sets.
 
     A character that the other string lacks cannot be matched, so the number of matches is at most
     each length less its foreign characters. The prefix boost is at most 0.4 of the distance to 1.
@@ -119,8 +123,4 @@ def score_ceiling(len_a: Column, len_b: Column, mask_a: Column, mask_b: Column)
     foreign_a = F.bit_count(mask_a.bitwiseAND(F.bitwise_not(mask_b)))
     foreign_b = F.bit_count(mask_b.bitwiseAND(F.bitwise_not(mask_a)))
     m = F.least(len_a - foreign_a, len_b - foreign_b)
-    jaro = (m / len_a + m / len_b + F.lit(1.0)) / F.lit(3.0)
-    return (
-        F.when((len_a == 0) | (len_b == 0) | (m <= 0), F.lit(0.0))
-        .otherwise(jaro + F.lit(0.4) * (F.lit(1.0) - jaro))
-    )
+    return F.when(m > 0, 0.4 + 0.2 * (m * (inv_a + inv_b) + 1.0)).otherwise(0.0)

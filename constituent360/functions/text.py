@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,7 +46,7 @@ def strip(c: Column) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     """An empty string counts as missing everywhere in the matcher."""
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def norm_email(c: Column) -> Column:
@@ -57,11 +59,8 @@ def norm_name(c: Column) -> Column:
 
 def norm_phone(c: Column) -> Column:
     """Ten national digits, or the text as given when it does not hold ten."""
-    digits = F.regexp_replace(c, r"[^0-9]", "")
-    national = F.when(
-        (F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)
-    ).otherwise(digits)
-    return blank_to_null(F.when(F.length(national) == 10, national).otherwise(c))
+    national = F.regexp_extract(F.regexp_replace(c, r"[^0-9]", ""), r"^1?([0-9]{10})$", 1)
+    return blank_to_null(F.coalesce(F.nullif(national, F.lit("")), c))
 
 
 def norm_zip(c: Column) -> Column:
@@ -69,17 +68,12 @@ def norm_zip(c: Column) -> Column:
 
 
 def starts_with_any(c: Column, prefixes) -> Column:
-    test = F.lit(False)
-    for prefix in prefixes:
-        test = test | c.startswith(prefix)
-    return test
+    return c.rlike("^(?:" + "|".join(re.escape(p) for p in prefixes) + ")")
 
 
 def is_generic_email(c: Column, prefixes=GENERIC_EMAIL_PREFIXES) -> Column:
     """True for a missing address or a role mailbox."""
-    return F.coalesce(c == "", F.lit(True)) | F.coalesce(
-        starts_with_any(F.lower(c), prefixes), F.lit(True)
-    )
+    return F.coalesce(starts_with_any(F.lower(F.nullif(c, F.lit(""))), prefixes), F.lit(True))
 
 
 def name_tokens(full: Column) -> Column:
