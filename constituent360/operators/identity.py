@@ -15,13 +15,31 @@ from constituent360.session import cut_lineage
 
 @dataclass
 class Unified:
-    """Results of one identity run; every field is a DataFrame."""
+    """Results of one identity run. Records, profiles, automatic matches and clusters are written
+    tables; the rest is planned on them and runs when read."""
 
+    cfg: M.MatchConfig
     records: DataFrame
+    profiles: DataFrame
+    auto: DataFrame | None
     clusters: DataFrame
-    constituents: DataFrame
-    links: DataFrame
-    matches: DataFrame | None
+
+    @property
+    def constituents(self) -> DataFrame:
+        return survivors(self.records, self.clusters)
+
+    @property
+    def links(self) -> DataFrame:
+        return source_links(self.records, self.profiles, self.clusters, self.auto, self.cfg)
+
+    @property
+    def matches(self) -> DataFrame:
+        """Profile pairs matched by score, those for review included."""
+        return M.scored_profiles(self.profiles, self.cfg, self.cfg.review_threshold)
+
+    @property
+    def audit(self) -> DataFrame:
+        return match_audit(self.records, self.profiles, self.clusters, self.matches, self.cfg)
 
 
 def _same_values() -> Column:
@@ -32,33 +50,31 @@ def _same_values() -> Column:
     return on
 
 
-def cluster_edges(
-    records: DataFrame, cfg: M.MatchConfig, probabilistic: bool = True, flag: str | None = None
-) -> DataFrame:
-    """(a, b) edges that merge records: e-mail groups, phone groups and automatic matches. With a
-    ``flag`` column, only edges touching a flagged (new) record are looked for."""
+def group_edges(records: DataFrame, flag: str | None = None) -> DataFrame:
+    """(a, b) edges of e-mail and phone groups. With a ``flag`` column, only groups that hold a
+    flagged (new) record."""
     emails, phones = M.email_groups(records), M.phone_groups(records)
     if flag:
         touched = lambda key: records.where(F.col(flag) & F.col(key).isNotNull()).select(key).distinct()
         emails = emails.join(touched("personal_email"), "personal_email", "left_semi")
         phones = phones.join(touched("full_phone"), "full_phone", "left_semi")
-    edges = M.star_edges(records, emails, "personal_email").unionByName(M.star_edges(records, phones, "full_phone"))
-    if not probabilistic:
-        return edges
-    p = cut_lineage(M.profiles(records, flag))
-    auto = M.score_pairs(M.candidate_pairs(p, cfg, cfg.auto_threshold, bool(flag)), cfg, cfg.auto_threshold)
-    auto = cut_lineage(auto.select(F.col("profile_a").alias("a"), F.col("profile_b").alias("b")))
-    # an automatic match between profiles, or between the copies of one, draws in every copy
+    return M.star_edges(records, emails, "personal_email").unionByName(M.star_edges(records, phones, "full_phone"))
+
+
+def score_edges(records: DataFrame, p: DataFrame, auto: DataFrame, cfg: M.MatchConfig) -> DataFrame:
+    """(a, b) edges of automatic matches. A match between profiles, or between the copies of one,
+    draws in every copy."""
+    pairs = auto.select(F.col("profile_a").alias("a"), F.col("profile_b").alias("b"))
     same = M.copy_matches(p, cfg).where(F.col("match_type") == M.AUTO).select("profile")
     several = p.where("copies > 1").select("profile")
     drawn = same.unionByName(
-        auto.select(F.explode(F.array("a", "b")).alias("profile")).join(several, "profile", "left_semi")
+        pairs.select(F.explode(F.array("a", "b")).alias("profile")).join(several, "profile", "left_semi")
     ).distinct()
     expanded = p.join(drawn, "profile", "left_semi").select("profile", *M.COMPARED)
     copies = records.alias("r").join(expanded.alias("p"), _same_values()).select(
         F.col("r.record_key").alias("a"), F.col("p.profile").alias("b")
     )
-    return edges.unionByName(auto).unionByName(copies.where(F.col("a") != F.col("b")))
+    return pairs.unionByName(copies.where(F.col("a") != F.col("b")))
 
 
 def cluster(records: DataFrame, edges: DataFrame) -> DataFrame:
@@ -129,14 +145,13 @@ def survivors(records: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
-def best_evidence(records: DataFrame, auto: DataFrame | None, cfg: M.MatchConfig) -> DataFrame:
+def best_evidence(records: DataFrame, p: DataFrame, auto: DataFrame | None, cfg: M.MatchConfig) -> DataFrame:
     """The strongest automatic match type of each record, with its confidence."""
     e = M.email_groups(records).select("personal_email", F.lit(True).alias("_e"))
     t = M.phone_groups(records).select("full_phone", F.lit(True).alias("_t"))
     out = records.join(e, "personal_email", "left").join(t, "full_phone", "left")
     best = F.lit(None).cast("double")
     if auto is not None:
-        p = M.profiles(records)
         own = M.copy_matches(p, cfg).where(F.col("match_type") == M.AUTO).select("profile", "confidence")
         ends = (
             auto.select(F.explode(F.array("profile_a", "profile_b")).alias("profile"), "confidence")
@@ -155,9 +170,9 @@ def best_evidence(records: DataFrame, auto: DataFrame | None, cfg: M.MatchConfig
     )
 
 
-def source_links(records: DataFrame, clusters: DataFrame, auto: DataFrame | None, cfg: M.MatchConfig) -> DataFrame:
+def source_links(records, p, clusters, auto, cfg: M.MatchConfig) -> DataFrame:
     """One row per source record: its constituent and the evidence that put it there."""
-    return best_evidence(records, auto, cfg).join(clusters, "record_key").select(
+    return best_evidence(records, p, auto, cfg).join(clusters, "record_key").select(
         F.sha2("record_key", 256).alias("link_id"),
         constituent_id(F.col("cluster")).alias("constituent_id"),
         "source_system", F.col("source_id").alias("source_record_id"), "match_type", "match_confidence",
@@ -165,15 +180,16 @@ def source_links(records: DataFrame, clusters: DataFrame, auto: DataFrame | None
 
 
 def unify(raw: DataFrame, cfg: M.MatchConfig = M.MatchConfig(), probabilistic: bool = True) -> Unified:
-    """Match, cluster and merge. The automatic matches need one block family under the default weights;
-    the review pairs, which never merge anything, are scored only when ``matches`` is read."""
-    records = M.prepare(raw, cfg)
-    clusters = cut_lineage(cluster(records, cluster_edges(records, cfg, probabilistic)))
-    matches = M.scored_matches(records, cfg) if probabilistic else None
-    auto = M.scored_matches(records, cfg, cfg.auto_threshold) if probabilistic else None
-    return Unified(
-        records, clusters, survivors(records, clusters), source_links(records, clusters, auto, cfg), matches
-    )
+    """Match, cluster and merge. Automatic matches need one block family under the default weights;
+    review pairs never merge anything and are scored only when ``matches`` or ``audit`` is read."""
+    records = cut_lineage(M.prepare(raw, cfg))
+    edges = group_edges(records)
+    p, auto = M.profiles(records), None
+    if probabilistic:
+        p = cut_lineage(p)
+        auto = cut_lineage(M.scored_profiles(p, cfg, cfg.auto_threshold))
+        edges = edges.unionByName(score_edges(records, p, auto, cfg))
+    return Unified(cfg, records, p, auto, cut_lineage(cluster(records, edges)))
 
 
 def unify_incremental(
@@ -181,12 +197,18 @@ def unify_incremental(
 ) -> DataFrame:
     """(record_key, cluster) after new records arrive. Only pairs with a new record are compared; what
     is known about the existing records enters as one edge per record."""
-    both = M.prepare(existing, cfg).withColumn("is_new", F.lit(False)).unionByName(
-        M.prepare(new, cfg).withColumn("is_new", F.lit(True))
+    both = cut_lineage(
+        M.prepare(existing, cfg).withColumn("is_new", F.lit(False)).unionByName(
+            M.prepare(new, cfg).withColumn("is_new", F.lit(True))
+        )
     )
-    fresh = cluster_edges(both, cfg, probabilistic, "is_new")
+    edges = group_edges(both, "is_new")
+    if probabilistic:
+        p = cut_lineage(M.profiles(both, "is_new"))
+        auto = cut_lineage(M.scored_profiles(p, cfg, cfg.auto_threshold, new_only=True))
+        edges = edges.unionByName(score_edges(both, p, auto, cfg))
     known = existing_clusters.select(F.col("record_key").alias("a"), F.col("cluster").alias("b")).where("a <> b")
-    return cluster(both, fresh.unionByName(known))
+    return cluster(both, edges.unionByName(known))
 
 
 def apply_overrides(edges: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -198,7 +220,7 @@ def apply_overrides(edges: DataFrame, overrides: DataFrame) -> DataFrame:
     return current.unionByName(added).distinct().join(removed, ["a", "b"], "left_anti")
 
 
-def match_audit(records: DataFrame, clusters: DataFrame, matches: DataFrame, cfg: M.MatchConfig) -> DataFrame:
+def match_audit(records: DataFrame, p: DataFrame, clusters: DataFrame, matches: DataFrame, cfg: M.MatchConfig) -> DataFrame:
     """Matches per cluster in counted form: (cluster, match_type, pairs, best and least confidence).
 
     E-mail and phone groups and copies of one profile enter with their pair counts, so no group is
@@ -212,7 +234,6 @@ def match_audit(records: DataFrame, clusters: DataFrame, matches: DataFrame, cfg
         "cluster", F.lit(M.PHONE).alias("match_type"), "pairs", F.lit(cfg.phone_confidence).alias("confidence")
     )
     # how many records of a profile lie in which cluster: copies left for review stay apart
-    p = M.profiles(records)
     held = (
         records.join(clusters, "record_key").groupBy(*M.COMPARED, "cluster").agg(F.count("*").alias("held"))
     )
@@ -244,14 +265,14 @@ def match_audit(records: DataFrame, clusters: DataFrame, matches: DataFrame, cfg
     )
 
 
-def match_type_counts(records: DataFrame, matches: DataFrame, cfg: M.MatchConfig = M.MatchConfig()) -> DataFrame:
+def match_type_counts(records: DataFrame, p: DataFrame, matches: DataFrame, cfg: M.MatchConfig = M.MatchConfig()) -> DataFrame:
     """Record pairs per match type, computed from group sizes."""
     count = lambda df, kind: df.select(kind.alias("match_type"), "pairs")
     rows = (
         count(M.email_groups(records), F.lit(M.EMAIL))
         .unionByName(count(M.phone_groups(records).where("pairs > 0"), F.lit(M.PHONE)))
         .unionByName(matches.select("match_type", (F.col("copies_a") * F.col("copies_b")).alias("pairs")))
-        .unionByName(count(M.copy_matches(M.profiles(records), cfg).where(F.col("match_type").isin(M.AUTO, M.REVIEW)), F.col("match_type")))
+        .unionByName(count(M.copy_matches(p, cfg).where(F.col("match_type").isin(M.AUTO, M.REVIEW)), F.col("match_type")))
     )
     return rows.groupBy("match_type").agg(F.sum("pairs").alias("pairs"))
 

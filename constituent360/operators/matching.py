@@ -327,11 +327,16 @@ def explain_pairs(scored: DataFrame) -> DataFrame:
     )
 
 
+def scored_profiles(p: DataFrame, cfg: MatchConfig, threshold: float, new_only: bool = False) -> DataFrame:
+    """Every pair of profiles whose score reaches the threshold. ``p`` should be a written table, since
+    each block family reads it."""
+    return score_pairs(candidate_pairs(p, cfg, threshold, new_only), cfg, threshold)
+
+
 def scored_matches(records: DataFrame, cfg: MatchConfig = MatchConfig(), threshold: float | None = None) -> DataFrame:
-    """Every profile pair whose score reaches the threshold (by default, that for review). The profiles
-    are written once, since every block family reads them."""
+    """Score records directly, down to the review threshold unless another is given."""
     limit = cfg.review_threshold if threshold is None else threshold
-    return score_pairs(candidate_pairs(cut_lineage(profiles(records)), cfg, limit), cfg, limit)
+    return scored_profiles(cut_lineage(profiles(records)), cfg, limit)
 
 
 def copy_matches(p: DataFrame, cfg: MatchConfig = MatchConfig()) -> DataFrame:

@@ -8,6 +8,7 @@ from constituent360.functions import text as T
 from constituent360.operators import identity as I
 from constituent360.operators import matching as M
 from constituent360.plans.registry import query
+from constituent360.session import cut_lineage
 from constituent360.sources import tpch
 
 CFG = M.MatchConfig()
@@ -77,20 +78,19 @@ def _(spark, sf_dir):
 
 @query("identity_match_type_counts", "SELECT match_type, count(*) AS pairs FROM all_pairs WHERE match_type <> 'no_match' GROUP BY 1", ("all_pairs",))
 def _(spark, sf_dir):
-    r = records(spark, sf_dir)
-    return I.match_type_counts(r, M.scored_matches(r, CFG), CFG)
+    r = cut_lineage(records(spark, sf_dir))
+    p = cut_lineage(M.profiles(r))
+    return I.match_type_counts(r, p, M.scored_profiles(p, CFG, CFG.review_threshold), CFG)
 
 
 @query("identity_clusters", f"WITH RECURSIVE {CLUSTERS} SELECT * FROM clusters", ("all_pairs",))
 def _(spark, sf_dir):
-    r = records(spark, sf_dir)
-    return I.cluster(r, I.cluster_edges(r, CFG))
+    return unified(spark, sf_dir).clusters
 
 
 @query("identity_clusters_deterministic", f"WITH RECURSIVE {CLUSTERS.replace(', ' + chr(39) + 'probabilistic' + chr(39), '')} SELECT * FROM clusters", ("all_pairs",))
 def _(spark, sf_dir):
-    r = records(spark, sf_dir)
-    return I.cluster(r, I.cluster_edges(r, CFG, probabilistic=False))
+    return I.unify(tpch.source_records(spark, sf_dir), CFG, probabilistic=False).clusters
 
 
 GOLDEN = f"""WITH RECURSIVE {CLUSTERS}, m AS (SELECT r.*, c.cluster, coalesce(first_name, CASE WHEN len(string_split(full_name, ' ')) >= 2 THEN string_split(full_name, ' ')[1] END) AS any_first,
@@ -140,8 +140,7 @@ e AS (SELECT a.cluster, match_type, confidence FROM p JOIN clusters a ON key_a =
   UNION ALL SELECT b.cluster, match_type, confidence FROM p JOIN clusters a ON key_a = a.record_key JOIN clusters b ON key_b = b.record_key WHERE a.cluster <> b.cluster)
 SELECT cluster, match_type, count(*) AS pairs, round(max(confidence), 9) AS best_confidence, round(min(confidence), 9) AS least_confidence FROM e GROUP BY 1, 2""", ("all_pairs",))
 def _(spark, sf_dir):
-    u = unified(spark, sf_dir)
-    audit = I.match_audit(u.records, u.clusters, u.matches, CFG)
+    audit = unified(spark, sf_dir).audit
     return audit.withColumns({c: F.round(c, 9) for c in ("best_confidence", "least_confidence")})
 
 
@@ -158,8 +157,7 @@ def _(spark, sf_dir):
     """Tickets arrive after the other two systems were clustered; the result equals one full run."""
     raw = tpch.source_records(spark, sf_dir)
     old, new = raw.where("source_system <> 'tickets'"), raw.where("source_system = 'tickets'")
-    first = M.prepare(old, CFG)
-    return I.unify_incremental(new, old, I.cluster(first, I.cluster_edges(first, CFG)), CFG)
+    return I.unify_incremental(new, old, I.unify(old, CFG).clusters, CFG)
 
 
 @query("identity_fuzzy_join", """SELECT a.record_key AS record_key, b.record_key AS right_record_key, round(jaro_winkler_similarity(a.last_part, b.last_part), 9) AS similarity
@@ -178,16 +176,34 @@ def _(spark, sf_dir):
     return records(spark, sf_dir).groupBy(block.alias("block")).agg(F.count("*").alias("records"))
 
 
-@query("identity_phonetic_matches", """SELECT c.constituent_id, o.lowest FROM (SELECT constituent_id, canonical_last_name FROM constituents) c
-JOIN (SELECT canonical_last_name, min(constituent_id) AS lowest FROM constituents GROUP BY 1) o
-ON CASE c.canonical_last_name WHEN 'Johnston' THEN 'Johnson' WHEN 'Schmitt' THEN 'Schmidt' ELSE c.canonical_last_name END
- = CASE o.canonical_last_name WHEN 'Johnston' THEN 'Johnson' WHEN 'Schmitt' THEN 'Schmidt' ELSE o.canonical_last_name END
-WHERE c.canonical_last_name <> o.canonical_last_name""", ("constituents",))
+# Soundex in SQL: code the letters, drop H and W, merge runs, drop vowels, pad
+_CODE = "translate(upper(n)[1] || regexp_replace(upper(n)[2:], '[HW]', '', 'g'), 'AEIOUYBFPVCGJKQSXZDTLMNR', '000000111122222222334556')"
+for _d in "0123456":
+    _CODE = f"regexp_replace({_CODE}, '{_d}+', '{_d}', 'g')"
+
+
+@query("identity_phonetic_groups", f"""SELECT rpad(upper(n)[1] || replace(({_CODE})[2:], '0', ''), 4, '0')[1:4] AS code, string_agg(DISTINCT n, '+' ORDER BY n) AS spellings, count(*) AS constituents
+FROM (SELECT canonical_last_name AS n FROM constituents) GROUP BY 1""", ("constituents",))
 def _(spark, sf_dir):
-    """Other spellings that sound alike, each shown by its first constituent. The SQL names the two pairs
-    whose Soundex codes would agree but for Johnston, which has one more consonant group."""
-    c = tpch.constituents(spark, sf_dir).select("constituent_id", "canonical_last_name", F.soundex("canonical_last_name").alias("s"))
-    o = c.groupBy("canonical_last_name", "s").agg(F.min("constituent_id").alias("lowest")).select(
-        F.col("canonical_last_name").alias("other"), "s", "lowest"
+    c = tpch.constituents(spark, sf_dir)
+    per = c.groupBy(F.soundex("canonical_last_name").alias("code"), "canonical_last_name").agg(F.count("*").alias("n"))
+    return per.groupBy("code").agg(
+        F.array_join(F.array_sort(F.collect_set("canonical_last_name")), "+").alias("spellings"), F.sum("n").alias("constituents")
     )
-    return c.join(o, "s").where("canonical_last_name <> other").select("constituent_id", "lowest")
+
+
+@query("identity_threshold_tuning", f"""WITH {PROFILES}, l AS (SELECT confidence, (profile_a LIKE '%:D%' OR profile_a LIKE '%:S%') AND (profile_b LIKE '%:D%' OR profile_b LIKE '%:S%')
+  AND regexp_extract(profile_a, '[0-9]+$') = regexp_extract(profile_b, '[0-9]+$') AS y FROM scored),
+t AS (SELECT confidence AS threshold, count(*) FILTER (y) AS p, count(*) FILTER (NOT y) AS n FROM l GROUP BY 1),
+c AS (SELECT threshold, sum(p) OVER (ORDER BY threshold DESC) AS tp, sum(n) OVER (ORDER BY threshold DESC) AS fp, sum(p) OVER () AS pos FROM t),
+f AS (SELECT threshold, tp / CAST(tp + fp AS DOUBLE) AS precision, tp / CAST(pos AS DOUBLE) AS recall FROM c)
+SELECT round(threshold, 9) AS threshold, round(precision, 9) AS precision, round(recall, 9) AS recall, round(2 * precision * recall / (precision + recall), 9) AS f1 FROM f
+ORDER BY 2 * precision * recall / (precision + recall) DESC NULLS LAST, threshold DESC LIMIT 1""", ("all_pairs",))
+def _(spark, sf_dir):
+    """Best review threshold when the customer number is taken as the truth."""
+    number = lambda c: F.regexp_extract(c, "[0-9]+$", 0)
+    person = lambda c: F.col(c).rlike(":[DS]")
+    same = person("profile_a") & person("profile_b") & (number("profile_a") == number("profile_b"))
+    scored = M.scored_matches(records(spark, sf_dir), CFG).withColumn("label", same.cast("int"))
+    best = M.tune_threshold(scored)
+    return best.select(*[F.round(c, 9).alias(c) for c in ("threshold", "precision", "recall", "f1")])
