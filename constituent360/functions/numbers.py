@@ -34,6 +34,3 @@ def band(c: Column, edges, labels) -> Column:
         out = F.when(c < edge, label) if out is None else out.when(c < edge, label)
     return out.otherwise(labels[-1])
 
-
-def two_decimals(c: Column) -> Column:
-    return F.format_string("%.2f", c.cast("double"))

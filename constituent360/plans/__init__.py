@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("tables", "metrics", "golden", "campaign", "quality", "identity")
+AREAS = ("tables", "metrics", "golden", "campaign", "quality", "identity", "models")
 
 
 def load_all():
