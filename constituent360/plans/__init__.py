@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("tables", "metrics", "golden", "campaign", "quality", "identity", "models")
+AREAS = ("tables", "sources", "metrics", "golden", "campaign", "quality", "identity", "models", "temporal", "lineage")
 
 
 def load_all():

@@ -12,7 +12,7 @@ from constituent360.operators import models as L
 from constituent360.operators import recommend as R
 from constituent360.plans.golden import churn_inputs
 from constituent360.plans.registry import query
-from constituent360.session import shared_dir
+from constituent360.session import scratch
 from constituent360.sources import tpch
 
 CUTOFF = dt.date(2001, 3, 1)
@@ -254,7 +254,7 @@ def _(spark, sf_dir):
     """Train, save, load and predict."""
     rows = training_rows(spark, sf_dir)
     model, _metrics = L.train_churn(rows, "churned", CUTOFF, SMALL)
-    path = f"{shared_dir(spark)}/models/churn"
+    path = scratch(spark, "churn-model")
     L.save_model(model, path)
     return L.predict_churn(L.load_model(path), rows, CUTOFF)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder, so a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
