@@ -5,8 +5,10 @@ so a shared mailbox with millions of records costs one row, and pair counts are
 
 For the weighted score, a pair can reach a threshold only if it agrees on something besides name and
 address. ``reachable`` works out from the weights which agreements are enough; each such case is one
-equi-join. The cases exclude each other, so no pair is produced twice and nothing needs a
-de-duplicating shuffle. Records with the same compared values form one profile and are scored once.
+equi-join on all the columns it needs (for an automatic match: phone block and zip, or phone block and
+domain). The cases exclude each other, so no pair is produced twice and nothing needs a
+de-duplicating shuffle. An upper bound inside the join drops pairs whose names and addresses cannot
+make up the rest. Records with the same compared values form one profile and are scored once.
 Large blocks are cut into tiles, so that no task holds more than two tiles of a block.
 """
 
@@ -15,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from constituent360.functions import text as T
@@ -182,56 +184,103 @@ def name_similarity(first: Column, last: Column) -> Column:
 
 @dataclass(frozen=True)
 class Family:
-    """One way for a pair to reach the threshold: the columns it must share, and which others it must not."""
+    """One way for a pair to reach the threshold: the columns it must share, and the column sets it must
+    not share as a whole because an earlier family covers those pairs."""
 
-    name: str
     equal: tuple[str, ...]
-    differ: tuple[str, ...]
+    unless: tuple[tuple[str, ...], ...]
+
+
+# agreement levels and the column that must be equal to reach them
+PHONE_LEVELS = ((0.0, None), (0.8, "phone_block"), (1.0, "phone"))
+DOMAIN_LEVELS = ((0.0, None), (1.0, "domain"))
+ZIP_LEVELS = ((0.0, None), (0.5, "zip3"), (1.0, "zip_code"))
+NAMED = ("first_part", "last_part", "address")
 
 
 def reachable(cfg: MatchConfig, threshold: float) -> list[Family]:
-    """The equi-joins that together find every pair able to reach the threshold, each pair once."""
-    best = lambda phone, domain, zip_code: cfg.score(1.0, 1.0, phone, domain, zip_code)
-    if best(0.0, 0.0, 0.0) >= threshold:
+    """The equi-joins that together find every pair able to reach the threshold, each pair once.
+
+    Of all combinations of agreements that can reach it with a perfect name and address, the smallest
+    are kept; larger ones share their columns too. Where nothing is left to spare, name and address must
+    be identical and join the key.
+    """
+    combos = [
+        ((p, d, z), tuple(c for c in (pc, dc, zc) if c))
+        for p, pc in PHONE_LEVELS for d, dc in DOMAIN_LEVELS for z, zc in ZIP_LEVELS
+    ]
+    spare = {levels: cfg.score(1.0, 1.0, *levels) - threshold for levels, _ in combos}
+    below = lambda x, y: x != y and all(i <= j for i, j in zip(x, y))
+    loose = [(lv, cols) for lv, cols in combos if spare[lv] > 1e-9]
+    tight = [(lv, cols) for lv, cols in combos if 0 <= spare[lv] <= 1e-9 and not any(below(o, lv) for o, _ in loose)]
+    least = [cols for lv, cols in loose if not any(below(o, lv) for o, _ in loose)]
+    least += [cols + NAMED for lv, cols in tight if not any(below(o, lv) for o, _ in tight)]
+    if () in least or NAMED in least:
         raise ValueError(
             "name and address alone reach the threshold, so no agreement can be required; raise the threshold or "
             "restrict the comparison with fuzzy_join and an explicit block"
         )
-    out = []
-    if best(1.0, 1.0, 1.0) >= threshold:
-        out.append(Family("phone", ("phone_block",), ()))
-    if best(0.0, 1.0, 1.0) >= threshold:
-        out.append(Family("zip5", ("zip_code",), ("phone_block",)))
-    if best(0.0, 1.0, 0.5) >= threshold:
-        out.append(Family("zip3_domain", ("zip3", "domain"), ("phone_block", "zip_code")))
-    if best(0.0, 0.0, 0.5) >= threshold:
-        # with nothing to spare, only an identical name and address get there
-        exact = best(0.0, 0.0, 0.5) - threshold < 1e-9
-        equal = ("zip3", "first_part", "last_part", "address") if exact else ("zip3",)
-        out.append(Family("zip3", equal, ("phone_block", "zip_code", "domain")))
-    if best(0.0, 1.0, 0.0) >= threshold:
-        out.append(Family("domain", ("domain",), ("phone_block", "zip3")))
-    return out
+    return [Family(cols, tuple(least[:i])) for i, cols in enumerate(least)]
 
 
-def block_pairs(p: DataFrame, equal: Sequence[str], keep, tile_rows: int, key: str = "profile") -> DataFrame:
+def block_pairs(
+    p: DataFrame, equal: Sequence[str], keep, tile_rows: int, key: str = "profile", apart: str | None = None
+) -> DataFrame:
     """Pairs (a, b) of rows that share the ``equal`` columns and pass ``keep``, each pair once.
 
-    A block of n rows is dealt into ceil(n / tile_rows) tiles and each pair of tiles meets under its own
-    join key, so the work of a hot block spreads over many tasks of bounded size.
+    A block of n rows is dealt into about n / tile_rows tiles and each pair of tiles meets under its own
+    join key, so the work of a hot block spreads over many tasks of bounded size. Rows that agree on
+    ``apart`` need no comparison: such a group, once larger than a tile, gets tiles of its own and those
+    are never paired with each other.
     """
+    equal = list(equal)
     present = p
     for c in equal:
         present = present.where(F.col(c).isNotNull())
-    sizes = present.groupBy(*equal).agg(F.count("*").alias("_n")).where("_n > 1")
-    tiles = F.ceil(F.col("_n") / tile_rows).cast("int")
-    dealt = present.join(sizes, list(equal)).withColumns(
-        {"_tiles": tiles, "_tile": F.pmod(F.xxhash64(key), tiles).cast("int")}
+    group = F.col(apart) if apart else F.lit(None).cast("string")
+    present = present.withColumn("_apart", group)
+
+    counts = present.groupBy(*equal, "_apart").agg(F.count("*").alias("_n"))
+    big = F.col("_apart").isNotNull() & (F.col("_n") > tile_rows)
+    tiles = lambda n: F.ceil(n / tile_rows).cast("int")
+    blocks = (
+        counts.groupBy(*equal)
+        .agg(
+            F.sum("_n").alias("_all"),
+            F.coalesce(F.sum(F.when(~big, F.col("_n"))), F.lit(0)).alias("_rest"),
+            F.coalesce(F.sum(F.when(big, tiles(F.col("_n")))), F.lit(0)).cast("int").alias("_own_tiles"),
+        )
+        .where("_all > 1")
+    )
+    # groups above the tile size: at most one per tile_rows rows
+    before = Window.partitionBy(*equal).orderBy("_apart").rowsBetween(Window.unboundedPreceding, -1)
+    large = counts.where(big).withColumn("_width", tiles(F.col("_n"))).select(
+        *equal, "_apart", "_width", F.coalesce(F.sum("_width").over(before), F.lit(0)).cast("int").alias("_start")
+    )
+    shared = tiles(F.col("_rest"))
+    spread = lambda n: F.pmod(F.xxhash64(key), n).cast("int")
+    alone = F.col("_width").isNotNull()
+    dealt = (
+        present.join(blocks, equal)
+        .join(large, [*equal, "_apart"], "left")
+        .withColumn(
+            "_tile",
+            F.when(alone, F.col("_start") + spread(F.col("_width")))
+            .otherwise(F.col("_own_tiles") + spread(F.greatest(shared, F.lit(1)))),
+        )
+        .withColumns(
+            {
+                "_from": F.when(alone, F.col("_start") + F.col("_width")).otherwise(F.col("_tile")),
+                "_to": F.when(alone, F.col("_start") - 1).otherwise(F.col("_tile")),
+                "_last": F.col("_own_tiles") + shared - 1,
+            }
+        )
     )
-    upward = F.sequence(F.col("_tile"), F.col("_tiles") - 1)
-    downward = F.sequence(F.lit(0), F.col("_tile"))
-    a = dealt.withColumns({"_low": F.col("_tile"), "_high": F.explode(upward)}).alias("a")
-    b = dealt.withColumns({"_low": F.explode(downward), "_high": F.col("_tile")}).alias("b")
+    span = lambda low, high: F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    upward = F.explode(span(F.col("_from"), F.col("_last")))
+    downward = F.explode(span(F.lit(0), F.col("_to")))
+    a = dealt.withColumns({"_low": F.col("_tile"), "_high": upward}).alias("a")
+    b = dealt.withColumns({"_low": downward, "_high": F.col("_tile")}).alias("b")
     on = (F.col("a._low") == F.col("b._low")) & (F.col("a._high") == F.col("b._high"))
     for c in equal:
         on = on & (F.col(f"a.{c}") == F.col(f"b.{c}"))
@@ -264,10 +313,15 @@ def candidate_pairs(p: DataFrame, cfg: MatchConfig, threshold: float, new_only:
 
     out = None
     for family in reachable(cfg, threshold):
-        differ = F.lit(True)
-        for c in family.differ:
-            differ = differ & ~_agree(*_ab(c))
-        pairs = block_pairs(p, family.equal, keep & differ, cfg.tile_rows).select(
+        fresh = F.lit(True)
+        for columns in family.unless:
+            covered = F.lit(True)
+            for c in columns:
+                covered = covered & _agree(*_ab(c))
+            fresh = fresh & ~covered
+        # equal e-mails and equal phones are matches already
+        apart = "full_phone" if "phone_block" in family.equal else "personal_email"
+        pairs = block_pairs(p, family.equal, keep & fresh, cfg.tile_rows, apart=apart).select(
             *[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ("profile", "copies", "first_part", "last_part", "address")],
             phone.alias("phone_score"), domain.alias("domain_score"), zip_code.alias("zip_score"),
         )
