@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from constituent360.functions.numbers import count_if
-from constituent360.operators.totals import quantiles
+from constituent360.operators.totals import collapse, quantiles_of
 
 # Bucket labels.
 FIRST_YEAR = "Additional gift target - first year of giving"
@@ -110,18 +110,21 @@ def dedupe_household(listing: DataFrame) -> DataFrame:
 
 
 def bucket_stats(listing: DataFrame) -> DataFrame:
-    """Count, share, mean, exact median, total and range of the recent gift per bucket."""
-    amount = F.col("most_recent_one_time_amount")
-    stats = listing.groupBy("DirectMailSubType").agg(
-        F.count("*").alias("households"),
-        (F.sum(amount).cast("double") / F.count(amount)).alias("mean_gift"),
-        F.sum(amount).cast("decimal(18,2)").alias("total_gifts"),
+    """Count, share, mean, exact median, total and range of the recent gift per bucket. Everything follows
+    from the number of households per bucket and amount, so the list is read once."""
+    counted = collapse(listing, "most_recent_one_time_amount", ["DirectMailSubType"], n=F.count("*"))
+    amount, n = F.col("most_recent_one_time_amount"), F.col("n")
+    total = F.sum(amount * n)
+    stats = counted.groupBy("DirectMailSubType").agg(
+        F.sum(n).alias("households"),
+        (total.cast("double") / F.sum(F.when(amount.isNotNull(), n))).alias("mean_gift"),
+        total.cast("decimal(18,2)").alias("total_gifts"),
         F.min(amount).alias("least_gift"),
         F.max(amount).alias("largest_gift"),
     )
     # one row per bucket: a window over it is a window over a handful of rows
     share = F.col("households") * 100.0 / F.sum("households").over(Window.partitionBy(F.lit(1)))
-    medians = quantiles(listing, "most_recent_one_time_amount", [0.5], ["DirectMailSubType"])
+    medians = quantiles_of(counted.where(amount.isNotNull()), "most_recent_one_time_amount", [0.5], ["DirectMailSubType"])
     return stats.withColumn("share_pct", share.cast("double")).join(
         medians.withColumnRenamed("q0", "median_gift"), "DirectMailSubType", "left"
     )
@@ -194,7 +197,8 @@ def sort_violations(written: DataFrame, position: str) -> DataFrame:
     key = F.struct("DirectMailSubType", "postal_code", "crm_household_id")
     here = written.select(F.col(position).alias("position"), key.alias("key"))
     before = written.select((F.col(position) + 1).alias("position"), key.alias("key_before"))
-    return here.join(before, "position").where(F.col("key") < F.col("key_before")).agg(F.count("*").alias("violations"))
+    met = here.join(before, "position", "left")
+    return met.agg(F.count("*").alias("rows"), count_if(F.col("key") < F.col("key_before")).alias("violations"))
 
 
 def campaign_report(listing: DataFrame, p: CampaignParams = CampaignParams()) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from constituent360.functions.numbers import count_if, safe_div
 from constituent360.operators.totals import collapse, previous_value, quantiles, running_totals
+from constituent360.session import cut_lineage
 
 
 def curve(scored: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
@@ -26,8 +27,11 @@ def curve(scored: DataFrame, score: str, label: str, group: Sequence[str] = ())
 
 def best_f1(scored: DataFrame, score: str, label: str) -> DataFrame:
     """The threshold with the greatest F1; the higher threshold wins a tie. One row."""
-    points = curve(scored, score, label)
-    positives = scored.where(F.col(score).isNotNull()).agg(F.sum(F.col(label).cast("int")).alias("p")).first()["p"] or 0
+    return _best_f1(curve(scored, score, label), score)
+
+
+def _best_f1(points: DataFrame, score: str) -> DataFrame:
+    positives = points.agg(F.sum("pos").alias("p")).first()["p"] or 0
     tp = F.col("cum_pos").cast("double")
     precision = tp / (F.col("cum_pos") + F.col("cum_neg"))
     recall = safe_div(tp, F.lit(float(positives)))
@@ -38,7 +42,10 @@ def best_f1(scored: DataFrame, score: str, label: str) -> DataFrame:
 
 def auc(scored: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve and average precision, ties counted by halves."""
-    points = curve(scored, score, label, group)
+    return _auc(curve(scored, score, label, group), group)
+
+
+def _auc(points: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     totals = points.groupBy(*group).agg(
@@ -77,13 +84,15 @@ def point_metrics(scored: DataFrame, score: str, label: str, threshold: float =
 def lift_at_k(scored: DataFrame, score: str, label: str, k: float) -> DataFrame:
     """Positive rate of the top share over the overall rate. Rows tied at the boundary count in
     proportion, which is their expected number whichever of them are taken."""
-    y = F.col(label).cast("int")
-    size = scored.agg(F.count("*").alias("n"), F.sum(y).alias("p")).first()
-    n, positives = size["n"], size["p"] or 0
+    return _lift(curve(scored, score, label), k)
+
+
+def _lift(points: DataFrame, k: float) -> DataFrame:
+    size = points.agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("p")).first()
+    n, positives = size["n"] or 0, size["p"] or 0
     top = int(n * k)
     if top == 0 or positives == 0:
-        return scored.sparkSession.range(1).select(F.lit(k).alias("k"), F.lit(0.0).alias("lift"))
-    points = curve(scored, score, label)
+        return points.agg(F.lit(k).alias("k"), F.lit(0.0).alias("lift"))
     here = F.col("pos") + F.col("neg")
     above = F.col("cum_pos") + F.col("cum_neg") - here
     taken = F.greatest(F.least(F.lit(top) - above, here), F.lit(0)) / here
@@ -105,16 +114,17 @@ def decile_analysis(scored: DataFrame, score: str, label: str, bins: int = 10) -
 
 
 def evaluate(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """(measure, value) rows: discrimination, calibration, best F1 and lift."""
+    """(measure, value) rows: discrimination, calibration, best F1 and lift, from one curve."""
+    points = cut_lineage(curve(scored, score, label))
     wide = [
-        auc(scored, score, label).select("auc_roc", "auc_pr"),
+        _auc(points).select("auc_roc", "auc_pr"),
         point_metrics(scored, score, label).select("log_loss", "brier_score"),
-        best_f1(scored, score, label).select(
+        _best_f1(points, score).select(
             F.col("threshold").alias("optimal_threshold"), F.col("precision").alias("precision_at_optimal"),
             F.col("recall").alias("recall_at_optimal"), F.col("f1").alias("f1_at_optimal"),
         ),
-        lift_at_k(scored, score, label, 0.1).select(F.col("lift").alias("lift_at_10pct")),
-        lift_at_k(scored, score, label, 0.2).select(F.col("lift").alias("lift_at_20pct")),
+        _lift(points, 0.1).select(F.col("lift").alias("lift_at_10pct")),
+        _lift(points, 0.2).select(F.col("lift").alias("lift_at_20pct")),
     ]
     out = None
     for df in wide:

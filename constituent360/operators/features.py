@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from constituent360.functions.dates import day, days_since, month_boundaries, months_ago
+from constituent360.functions.dates import day, days_ago, days_since, month_boundaries, months_ago
 from constituent360.functions.numbers import clip, count_if, safe_div
 from constituent360.operators.golden import email_rates
 
@@ -232,3 +232,15 @@ def gift_timing(donations: DataFrame, as_of) -> DataFrame:
         days_since(F.max(F.when(up, F.col("donation_date"))), as_of).alias("days_since_last_upgrade"),
         F.when(counts[0] == most, 1).when(counts[1] == most, 2).when(counts[2] == most, 3).otherwise(4).alias("peak_quarter"),
     )
+
+
+def extra_features(events: DataFrame, people: DataFrame, incomes: DataFrame, as_of, area: str) -> DataFrame:
+    """Visits of the last 30 days, kinds of content used, and the median income of the area."""
+    recent = F.col("event_date") >= days_ago(as_of, 30)
+    used = events.groupBy("constituent_id").agg(
+        count_if(recent & (F.col("event_type") == "view")).alias("website_visits_30d"),
+        F.array_sort(F.collect_set("event_type")).alias("content_types"),
+    )
+    return people.select("constituent_id", area).join(used, "constituent_id", "left").join(incomes, area, "left").withColumn(
+        "website_visits_30d", F.coalesce("website_visits_30d", F.lit(0))
+    )

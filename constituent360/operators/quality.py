@@ -111,43 +111,46 @@ def _result(position: int, check: Check, checked: Column, failed: Column, detail
 
 
 def validate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check, in the order given."""
-    aggregates, results, parts = [F.count("*").alias("rows")], [], []
+    """One row per check, in the order given. All row-wise checks share one aggregation; the first
+    uniqueness check rides on it too, as a grouping step in between, so the data is read once."""
+    sums, tops, results, unique = {"rows": F.count("*")}, {}, [], []
     for i, check in enumerate(checks):
         problem = _problem(df, check)
         if problem:
-            found = check.field in df.columns
-            size = F.lit(0) if found else F.col("rows")
+            size = F.col("rows") if check.field not in df.columns else F.lit(0)
             results.append(_result(i, check, size, size, problem, F.lit(False)))
         elif check.kind == "uniqueness":
-            parts.append(_uniqueness(df, i, check))
+            unique.append((i, check))
         elif check.kind == "timeliness" and check.max_age_hours is not None:
-            aggregates.append(F.max(check.field).alias(f"newest{i}"))
+            tops[f"newest{i}"] = F.max(check.field)
             age = F.timestamp_diff("SECOND", F.col(f"newest{i}").cast("timestamp_ntz"), F.lit(check.as_of).cast("timestamp_ntz"))
             late = F.coalesce(age > check.max_age_hours * 3600, F.lit(False))
             results.append(_result(i, check, F.col("rows"), F.when(late, F.col("rows")).otherwise(0)))
         else:
             seen, bad = _failing(df, check)
-            aggregates += [count_if(seen).alias(f"seen{i}"), count_if(bad).alias(f"bad{i}")]
+            sums[f"seen{i}"], sums[f"bad{i}"] = count_if(seen), count_if(bad)
             results.append(_result(i, check, F.col(f"seen{i}"), F.col(f"bad{i}")))
-    out = None
-    if results:
-        out = df.agg(*aggregates).select(F.inline(F.array(*results)))
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
+    measures = [c.alias(n) for n, c in {**sums, **tops}.items()]
+    if unique:
+        i, check = unique[0]
+        again = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in sums] + [F.max(n).alias(n) for n in tops]
+        repeated = F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("repeated")
+        totals = df.groupBy(check.field).agg(*measures).agg(*again, repeated)
+        results.append(_unique_result(i, check, F.col("rows"), F.col("repeated")))
+    else:
+        totals = df.agg(*measures)
+    out = totals.select(F.inline(F.array(*results))) if results else None
+    for i, check in unique[1:]:
+        counts = df.groupBy(check.field).agg(F.count("*").alias("rows"))
+        repeated = F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0))
+        one = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), repeated.alias("r"))
+        out = out.unionByName(one.select(F.inline(F.array(_unique_result(i, check, F.col("n"), F.col("r"))))))
     return out.orderBy("position")
 
 
-def _uniqueness(df: DataFrame, position: int, check: Check) -> DataFrame:
+def _unique_result(position: int, check: Check, checked: Column, repeated: Column) -> Column:
     """Every member of a repeated value fails; missing values count as equal to each other."""
-    counts = df.groupBy(check.field).count()
-    totals = counts.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("bad"),
-    )
-    return totals.select(
-        F.inline(F.array(_result(position, check, F.col("rows"), F.col("bad"), passed=F.col("bad") == 0)))
-    )
+    return _result(position, check, checked, repeated, passed=repeated == 0)
 
 
 def report(results: DataFrame, dataset: str) -> DataFrame:

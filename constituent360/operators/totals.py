@@ -14,13 +14,16 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from constituent360.session import cut_lineage
+
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
 
 
 def collapse(df: DataFrame, value: str, group: Sequence[str] = (), **sums) -> DataFrame:
-    """One row per (group, value) with the given sums."""
-    return df.groupBy(*group, value).agg(*[expr.alias(name) for name, expr in sums.items()])
+    """One row per (group, value) with the given sums, written once: the steps below read it several times
+    and must not rescan the source each time."""
+    return cut_lineage(df.groupBy(*group, value).agg(*[expr.alias(name) for name, expr in sums.items()]))
 
 
 def running_totals(
@@ -76,6 +79,13 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: columns q0, q1, ... per group, missing values left out."""
     counted = collapse(df.where(F.col(value).isNotNull()), value, group, n=F.count("*"))
+    return quantiles_of(counted, value, probabilities, group, rows_per_range)
+
+
+def quantiles_of(
+    counted: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Quantiles from one row per (group, value) with its count ``n``."""
     ranked = running_totals(counted, value, ["n"], group, rows_per_range=rows_per_range)
     sizes = counted.groupBy(*group).agg(F.sum("n").alias("_size"))
     if group:
@@ -120,3 +130,18 @@ def previous_value(
         .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag")))
         .drop("_period", "_lag", "_first", "_carried")
     )
+
+
+def number_rows(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """Consecutive row numbers, from 1, in the order of a sorted DataFrame. The sorted rows are written
+    first, so that partition sizes and numbers come from the same partitions."""
+    placed = cut_lineage(ordered.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
+    # one row per partition
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (
+        placed.join(starts, "_part")
+        .withColumn(name, F.col("_row") - F.col("_first") + F.col("_before") + 1)
+        .drop("_part", "_row", "_first", "_before")
+    )

@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from constituent360.operators import campaign as C
+from constituent360.operators.totals import number_rows
 from constituent360.plans.registry import query
+from constituent360.session import cut_lineage
 from constituent360.sources import tpch
 
 PARAMS = C.CampaignParams(dt.date(2000, 7, 1), dt.date(2001, 7, 31), dt.date(2000, 2, 1))
@@ -102,3 +104,9 @@ def _(spark, sf_dir):
   CAST(sum(most_recent_one_time_amount) AS DOUBLE) / count(*) AS average_value FROM listing""", TABLES)
 def _(spark, sf_dir):
     return C.campaign_report(listing(spark, sf_dir), PARAMS)
+
+
+@query("campaign_sort_check", f"WITH {CTES} SELECT count(*) AS rows, 0 AS violations FROM listing", TABLES)
+def _(spark, sf_dir):
+    numbered = cut_lineage(number_rows(listing(spark, sf_dir)))
+    return C.sort_violations(numbered, "position").select(F.col("rows"), "violations")

@@ -10,6 +10,7 @@ from constituent360.operators import features as X
 from constituent360.operators import golden as G
 from constituent360.operators import metrics as M
 from constituent360.operators import recommend as R
+from constituent360.operators.totals import quantiles
 from constituent360.plans.registry import query
 from constituent360.plans.sql_domain import AS_OF, EVENTS_AS_OF, listed
 from constituent360.sources import tpch
@@ -297,3 +298,13 @@ def _(spark, sf_dir):
     return e.groupBy("event_type").agg(
         F.sum(parse_attributes(F.col("event_attributes"))["k"].cast("int")).alias("k_total"), F.count("*").alias("n")
     )
+
+
+@query("extra_features", f"""SELECT c.constituent_id, c.canonical_state, coalesce(v, 0) AS website_visits_30d, kinds AS content_types, round(income, 4) AS median_income FROM constituents c
+LEFT JOIN (SELECT constituent_id, count(*) FILTER (event_type = 'view' AND event_date >= {EVENTS_AS_OF} - 30) AS v, string_agg(DISTINCT event_type, '+' ORDER BY event_type) AS kinds FROM engagement GROUP BY 1) e USING (constituent_id)
+LEFT JOIN (SELECT canonical_state, quantile_cont(CAST(lifetime_value_estimate AS DOUBLE), 0.5) AS income FROM constituents GROUP BY 1) i ON i.canonical_state = c.canonical_state""", ("constituents", "engagement"))
+def _(spark, sf_dir):
+    c = tpch.constituents(spark, sf_dir)
+    incomes = quantiles(c, "lifetime_value_estimate", [0.5], ["canonical_state"]).withColumnRenamed("q0", "median_income")
+    x = X.extra_features(tpch.engagement_events(spark, sf_dir), c, incomes, tpch.EVENTS_AS_OF, "canonical_state")
+    return x.withColumns({"content_types": F.array_join("content_types", "+"), "median_income": F.round("median_income", 4)})

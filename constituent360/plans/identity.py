@@ -207,3 +207,22 @@ def _(spark, sf_dir):
     scored = M.scored_matches(records(spark, sf_dir), CFG).withColumn("label", same.cast("int"))
     best = M.tune_threshold(scored)
     return best.select(*[F.round(c, 9).alias(c) for c in ("threshold", "precision", "recall", "f1")])
+
+
+OVERRIDES = """o AS (SELECT 'donations:D' || c_custkey AS key_a, 'subscriptions:S' || c_custkey AS key_b, 'unmatch' AS action FROM customer WHERE c_custkey % 10 = 1
+  UNION ALL SELECT 'donations:D' || c_custkey, 'donations:D' || (c_custkey - 1), 'match' FROM customer WHERE c_custkey % 10 = 2)"""
+
+
+@query("identity_overrides", f"""WITH {OVERRIDES}, g AS (SELECT email, min(record_key) AS rep FROM records WHERE NOT generic_email GROUP BY 1 HAVING count(*) > 1),
+e AS (SELECT least(record_key, rep) AS a, greatest(record_key, rep) AS b FROM records JOIN g USING (email) WHERE record_key <> rep
+  UNION SELECT least(key_a, key_b), greatest(key_a, key_b) FROM o WHERE action = 'match')
+SELECT a, b FROM e WHERE (a, b) NOT IN (SELECT (least(key_a, key_b), greatest(key_a, key_b)) FROM o WHERE action = 'unmatch')""", ("records",))
+def _(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = tpch.table(spark, sf_dir, "customer").select("c_custkey")
+    name = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    overrides = c.where(k % 10 == 1).select(
+        name("donations:D", k).alias("key_a"), name("subscriptions:S", k).alias("key_b"), F.lit("unmatch").alias("action")
+    ).unionByName(c.where(k % 10 == 2).select(name("donations:D", k).alias("key_a"), name("donations:D", k - 1).alias("key_b"), F.lit("match").alias("action")))
+    r = records(spark, sf_dir)
+    return I.apply_overrides(M.star_edges(r, M.email_groups(r), "personal_email"), overrides)
