@@ -224,7 +224,7 @@ CATALOG: dict[str, Metric] = {
             rules=(
                 _POSITIVE,
                 Rule("reasonable_range", "value BETWEEN 50000 AND 150000", "warning"),
-                Rule("day_over_day_change", "abs(value - previous_value) / previous_value < 0.05", "warning"),
+                Rule("day_over_day_change", "abs(value - previous_value) / nullif(previous_value, 0) < 0.05", "warning"),
             ),
             caveats=("No grace month; see active_member_with_grace.", "Ticket-only buyers do not count."),
         ),
@@ -263,7 +263,7 @@ CATALOG: dict[str, Metric] = {
                 "by_campaign": _column("campaign_code"),
                 "by_channel": _column("source_channel"),
             },
-            rules=(_POSITIVE, Rule("month_over_month", "abs(value - previous_value) / previous_value < 0.20", "warning")),
+            rules=(_POSITIVE, Rule("month_over_month", "abs(value - previous_value) / nullif(previous_value, 0) < 0.20", "warning")),
         ),
         Metric(
             "average_gift_amount", "Average Gift Amount", "revenue", "VP, Development", "average_gift_amount",
@@ -360,7 +360,7 @@ def with_previous(results: DataFrame) -> DataFrame:
 
 
 def check_metrics(results: DataFrame) -> DataFrame:
-    """Apply each metric's rules. A rule that needs a previous value passes when there is none."""
+    """Apply each metric's rules. A rule that needs a previous value passes when there is none, or zero."""
     checks = F.array(
         *[
             F.struct(

@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
         },
     )
