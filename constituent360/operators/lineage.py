@@ -13,6 +13,7 @@ TABLE_PATTERN = r"(?i)(?:from|join|into|update)\s+([\w.\[\]]+)"
 DYNAMIC_PATTERN = r"(?i)EXEC\(|sp_executesql"
 WRITER_PATTERN = r"(?is)INSERT|MERGE|SELECT.*INTO"
 MAX_ROUNDS = 1000
+ROUNDS_PER_TABLE = 16
 
 
 def clean_name(c: Column) -> Column:
@@ -77,7 +78,7 @@ def view_columns(views: DataFrame, columns: DataFrame, dependencies: DataFrame)
 
 def downstream(edges: DataFrame, roots: DataFrame, source: str = "referenced", target: str = "object_name") -> DataFrame:
     """(node, distance) of everything reachable from the roots. Each round follows the newly reached
-    nodes only, and its result is written before the next."""
+    nodes only and writes them; the written rounds together are what has been seen."""
     e = edges.select(F.col(source).alias("s"), F.col(target).alias("t")).distinct()
     frontier = cut_lineage(roots.select(F.col(roots.columns[0]).alias("node")).distinct())
     seen = frontier.withColumn("distance", F.lit(0))
@@ -86,7 +87,9 @@ def downstream(edges: DataFrame, roots: DataFrame, source: str = "referenced", t
         frontier = cut_lineage(reached.join(seen.select("node"), "node", "left_anti"))
         if frontier.isEmpty():
             return seen.where("distance > 0")
-        seen = cut_lineage(seen.unionByName(frontier.withColumn("distance", F.lit(step))))
+        seen = seen.unionByName(frontier.withColumn("distance", F.lit(step)))
+        if step % ROUNDS_PER_TABLE == 0:
+            seen = cut_lineage(seen)
     raise RuntimeError("closure did not settle")
 
 

@@ -23,6 +23,8 @@ from constituent360.operators.recommend import best_path, churn_tier
 from constituent360.operators.totals import previous_value, quantiles
 from constituent360.session import cut_lineage
 
+EXACT_SPLIT_ROWS = 100_000
+_HASHES = 1 << 52
 UPGRADE_TARGETS = ("to_sustainer", "sustainer_increase", "to_major")
 
 
@@ -40,21 +42,26 @@ UPGRADE_PARAMS = TreeParams(depth=5)
 
 def _hash_column(seed: int, key: str) -> Column:
     """A number in [0, 2^52) that depends only on the key and the seed."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52))
+    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_HASHES))
 
 
 def split(df: DataFrame, key: str, share: float = 0.8, stratify: str | None = None, seed: int = 42):
-    """(train, validation). Rows are ranked by a hash of their key, within each class when stratified;
-    the cut is an exact quantile, so class shares agree to within one row."""
+    """(train, validation) by a hash of the key, per class when stratified. Up to EXACT_SPLIT_ROWS rows
+    of a class are cut at the exact quantile of their hashes, so that a rare class keeps its share to
+    within one row; a larger class is cut at that share of the hash range, which needs no ranking."""
     hashed = df.withColumn("_h", _hash_column(seed, key))
     group = [stratify] if stratify else []
-    cuts = quantiles(hashed, "_h", [share], group).collect()
+    sizes = hashed.groupBy(*group).agg(F.count("*").alias("n")).collect()  # one row per class
+    cuts = {r[stratify] if stratify else None: _HASHES * share for r in sizes if r["n"] > EXACT_SPLIT_ROWS}
+    small = [r[stratify] if stratify else None for r in sizes if r["n"] <= EXACT_SPLIT_ROWS]
+    if small:
+        rows = hashed.where(F.col(stratify).isin(small)) if stratify else hashed
+        for r in quantiles(rows, "_h", [share], group).collect():
+            cuts[r[stratify] if stratify else None] = r["q0"]
     first = F.lit(False)
-    for cut in cuts:
-        mine = F.col("_h") <= cut["q0"]
-        if stratify:
-            mine = mine & (F.col(stratify) == F.lit(cut[stratify]))
-        first = first | mine
+    for value, cut in cuts.items():
+        mine = F.col("_h") <= cut
+        first = first | (mine & (F.col(stratify) == F.lit(value)) if stratify else mine)
     return hashed.where(first).drop("_h"), hashed.where(~first).drop("_h")
 
 
