@@ -7,14 +7,20 @@ pairs that cannot reach a threshold before any string leaves the JVM.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 _CELLS_PER_SLICE = 1 << 18
 
+# the kernel travels with the job, so the package need not be installed on the executors
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _code_points(values: np.ndarray, width: int) -> np.ndarray:
     fixed = values.astype(f"U{width}")

@@ -52,10 +52,10 @@ def donations(spark, sf_dir) -> DataFrame:
         F.col("o_custkey").cast("string").alias("constituent_id"),
         F.col("o_orderdate").cast("date").alias("donation_date"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("donation_amount"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "recurring").otherwise("one_time").alias("donation_type"),
-        F.when(F.col("o_orderstatus") == "F", "completed")
-        .when(F.col("o_orderstatus") == "O", "pending")
-        .otherwise("refunded")
+        F.when(F.col("o_orderpriority").eqNullSafe("1-URGENT"), "recurring").otherwise("one_time").alias("donation_type"),
+        # nested and null-safe, so that a test for "completed" folds to the stored column and reaches the scan
+        F.when(F.col("o_orderstatus").eqNullSafe("F"), "completed")
+        .otherwise(F.when(F.col("o_orderstatus").eqNullSafe("O"), "pending").otherwise("refunded"))
         .alias("donation_status"),
         F.col("o_orderpriority").alias("campaign_code"),
         pick(CHANNELS, key % 4).alias("source_channel"),
