@@ -255,7 +255,7 @@ def dim_campaign(donations: DataFrame, campaigns: DataFrame, as_of) -> DataFrame
     )
 
 
-def pipeline_counts(stages: dict[str, DataFrame]) -> DataFrame:
+def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Rows per stage and their total."""
     out = None
     for name, df in stages.items():

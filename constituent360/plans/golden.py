@@ -162,10 +162,10 @@ def _(spark, sf_dir):
     return G.dim_campaign(d, campaigns, tpch.AS_OF)
 
 
-@query("pipeline_counts", """WITH s AS (SELECT 'donations' AS stage, count(*) AS records FROM donations UNION ALL SELECT 'subscriptions', count(*) FROM subscriptions
+@query("stage_counts", """WITH s AS (SELECT 'donations' AS stage, count(*) AS records FROM donations UNION ALL SELECT 'subscriptions', count(*) FROM subscriptions
   UNION ALL SELECT 'emails', count(*) FROM emails) SELECT * FROM s UNION ALL SELECT 'total', sum(records) FROM s""", ("donations", "subscriptions", "emails"))
 def _(spark, sf_dir):
-    return G.pipeline_counts({
+    return G.stage_counts({
         "donations": tpch.donations(spark, sf_dir), "subscriptions": tpch.subscriptions(spark, sf_dir), "emails": tpch.email_engagement(spark, sf_dir),
     })
 
