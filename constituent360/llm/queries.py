@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import line_dedup, mixing, sql
+from constituent360.llm import line_dedup, mixing, secrets, sql
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -15,6 +15,16 @@ def _(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_secrets", sql.SECRETS)
+def _(spark, sf_dir):
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    every = F.array_sort(F.concat("base", "extra"))
+    return found.select(
+        "doc_id", *[secrets.count(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS[:3]],
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(every).alias("spans"),
+    )
+
+
 @query("op10_line_dedup", sql.LINE_DEDUP)
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

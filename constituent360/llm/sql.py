@@ -52,3 +52,60 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+SECRETS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+patterns(kind, pattern, grp, least) AS (VALUES
+  ('assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  ('access', 'AKIA[A-Z0-9]+', 0, 20),
+  ('hex', '[0-9a-f]+', 0, 24),
+  ('run', '[A-Za-z0-9+/_=-]+', 0, 20)),
+hits AS (
+  SELECT doc_id, 'assign' AS kind, regexp_split_to_array(text, p.pattern) AS gaps, regexp_extract_all(text, p.pattern) AS found,
+         regexp_extract_all(text, p.pattern, 2) AS vals, 6 AS least
+  FROM d, (SELECT pattern FROM patterns WHERE kind = 'assign') p
+  UNION ALL
+  SELECT doc_id, kind, regexp_split_to_array(text, pattern), regexp_extract_all(text, pattern), regexp_extract_all(text, pattern), least
+  FROM d, patterns WHERE kind <> 'assign'),
+each AS (
+  SELECT doc_id, kind, least, unnest(found) AS hit, unnest(vals) AS val, unnest(gaps[1:len(found)]) AS gap,
+         generate_subscripts(found, 1) AS nth
+  FROM hits WHERE len(found) > 0),
+placed AS (
+  SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY nth) AS stop FROM each),
+spans AS (
+  SELECT doc_id, kind, CAST(stop - length(hit) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, hit
+  FROM placed WHERE length(val) >= least),
+base AS (SELECT * FROM spans WHERE kind <> 'run'),
+runs AS (
+  SELECT doc_id, start, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 2.95 ELSE 3.95 END AS bits
+  FROM spans
+  WHERE kind = 'run' AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
+    AND NOT regexp_matches(hit, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
+    AND NOT regexp_matches(hit, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND NOT regexp_matches(hit, '/.*/.*/')
+    AND NOT regexp_matches(hit, '[eE][xX][aA][mM][pP][lL][eE]|[sS][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD]|[xX]{4}|[tT][eE][sS][tT]')),
+windows AS (
+  SELECT doc_id, start, hit, bits, unnest(range(0, length(hit) - 19)) AS off FROM runs),
+peaks AS (
+  SELECT doc_id, start, min(off) AS first, max(off) AS last
+  FROM windows WHERE list_aggregate(string_split(substring(hit, CAST(off AS INTEGER) + 1, 20), ''), 'entropy') >= bits
+  GROUP BY doc_id, start, hit),
+extra AS (
+  SELECT doc_id, 'entropy' AS kind, start + first AS start, start + last + 20 AS stop FROM peaks p
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = p.doc_id AND b.start <= p.start + p.first AND b.stop >= p.start + p.last + 20)),
+every AS (
+  SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT doc_id, kind, start, stop FROM extra),
+ordered AS (
+  SELECT doc_id, kind, kind || ':' || start || ':' || stop AS span, start,
+         list_position(['assign', 'access', 'hex', 'entropy'], kind) AS nth
+  FROM every),
+joined AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY start, nth) FILTER (WHERE kind <> 'entropy') AS base,
+         string_agg(span, ',' ORDER BY start, nth) AS spans
+  FROM ordered GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN joined j ON d.doc_id = j.doc_id
+"""
