@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import line_dedup, mixing, secrets, sql
+from constituent360.llm import bpe, language_id, line_dedup, mixing, secrets, sql
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
 
+def vocabulary() -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op1_language_id")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.trained(docs))
+    return found.select("doc_id", language_id.is_held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("op2_mixing", sql.MIXING)
 def _(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -25,6 +38,11 @@ def _(spark, sf_dir):
     )
 
 
+@query("op6_bpe")
+def _(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query("op10_line_dedup", sql.LINE_DEDUP)
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
