@@ -218,4 +218,4 @@ def trained(docs: DataFrame, folds: int = 3, held_out: int = 1, **settings) -> M
 
 
 def is_held_out(folds: int, held_out: int):
-    return F.crc32(F.col("doc_id").cast("string")) % folds == held_out
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held_out, F.lit(False))

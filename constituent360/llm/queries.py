@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, language_id, line_dedup, mixing, secrets, sql
+from constituent360.llm import bpe, language_id, line_dedup, mixing, secrets, sql, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -38,6 +38,15 @@ def _(spark, sf_dir):
     )
 
 
+@query("op4_toxicity")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity.is_held_out().alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
+    )
+
+
 @query("op6_bpe")
 def _(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
