@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, language_id, line_dedup, mixing, secrets, sql, toxicity
+from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -52,6 +52,12 @@ def _(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op9_minhash", sql.NEAR_DUPLICATES)
+def _(spark, sf_dir):
+    found = minhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 @query("op10_line_dedup", sql.LINE_DEDUP)
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

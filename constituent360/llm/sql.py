@@ -109,3 +109,25 @@ SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesc
        CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN joined j ON d.doc_id = j.doc_id
 """
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reached AS (
+  SELECT a AS doc_id, a AS other FROM links UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, w.doc_id) AS component_id,
+       coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS c FROM reached GROUP BY doc_id) r ON r.doc_id = w.doc_id
+"""
