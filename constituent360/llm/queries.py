@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, toxicity
+from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -52,6 +52,11 @@ def _(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op8_suffix_dedup")
+def _(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op9_minhash", sql.NEAR_DUPLICATES)
 def _(spark, sf_dir):
     found = minhash.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
