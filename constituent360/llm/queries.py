@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, toxicity
+from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, topk, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -47,6 +47,11 @@ def _(spark, sf_dir):
     )
 
 
+@query("op5_topk", sql.TOP_K)
+def _(spark, sf_dir):
+    return topk.top_k(topk.whole_vectors(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0)
+
+
 @query("op6_bpe")
 def _(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())

@@ -131,3 +131,16 @@ SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, w.doc
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id
 LEFT JOIN (SELECT doc_id, min(other) AS c FROM reached GROUP BY doc_id) r ON r.doc_id = w.doc_id
 """
+
+TOP_K = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
