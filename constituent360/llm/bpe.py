@@ -286,3 +286,18 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("d
         }
 
     return _mapped(docs, keep, "text", vocabulary, columns, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+def tokenized(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, n_tokens, ids and exact (the ids decode to the bytes of the text) of every row."""
+
+    def columns(own, texts):
+        texts = [t or "" for t in texts]
+        ids = own.encode(texts)
+        return {
+            "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+            "ids": pa.array(ids, pa.list_(pa.int32())),
+            "exact": pa.array([own.decode(x) == t.encode("utf-8", "surrogatepass") for x, t in zip(ids, texts)], pa.bool_()),
+        }
+
+    return _mapped(docs, keep, "text", vocabulary, columns, "n_tokens bigint, ids array<int>, exact boolean")

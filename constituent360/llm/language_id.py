@@ -211,6 +211,16 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "lang_pred", "score")
 
 
+def recognised(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """``docs`` without the rows whose text has no letter or in which no language stands out (a score under ``least``);
+    a null lang is filled in."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    found = identify(rows, model, keep=("row",)).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    own = {c: F.col("row")[c] for c in docs.columns}
+    own["lang"] = F.coalesce(own["lang"], F.col("lang_pred"))
+    return found.select(*[x.alias(c) for c, x in own.items()])
+
+
 def trained(docs: DataFrame, folds: int = 3, held_out: int = 1, **settings) -> Model:
     """A model of the rows whose crc32 of the id, modulo ``folds``, is not ``held_out``."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & ~is_held_out(folds, held_out))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, topk, toxicity
+from constituent360.llm import bpe, graph_ann, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, topk, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -57,6 +57,12 @@ def _(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op7_graph_ann")
+def _(spark, sf_dir):
+    vectors = graph_ann.sound_vectors(table(spark, sf_dir, "embeddings"))
+    return graph_ann.search(graph_ann.index(vectors, 20), vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 @query("op8_suffix_dedup")
 def _(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
