@@ -113,7 +113,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str, n_lines: str,
     lines = split_lines(F.col("_row.text"))
     kept = F.filter(lines, lambda x, i: ~dropped(F.col("_bits"), i))
     joined = own.join(
-        packed, (F.col("_row.doc_id") == F.col("_of")) & (F.xxhash64("_row.text") == F.col("_copy")), "left"
+        packed.hint("merge"), (F.col("_row.doc_id") == F.col("_of")) & (F.xxhash64("_row.text") == F.col("_copy")), "left"
     )
     out = joined.select(
         "_row",

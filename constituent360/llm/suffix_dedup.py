@@ -196,7 +196,9 @@ def _short_runs(docs: DataFrame, firsts: DataFrame, length: int, anchor: int) ->
         F.collect_list("at").alias("runs")
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), text_hash(F.col("text")).alias("fp"), F.col("text"))
-    rows = rows.where(F.octet_length("text") >= length).join(stored(wanted, "wanted-runs"), ["doc", "fp"])
+    rows = rows.where(F.octet_length("text") >= length).join(
+        stored(wanted, "wanted-runs").hint("merge"), ["doc", "fp"]
+    )
 
     def cut(batch):
         texts, ids = _binary(batch.column("text")), batch.column("doc").to_numpy(False)
@@ -368,7 +370,7 @@ def apply(docs: DataFrame, found: DataFrame, columns, schema: str, length: int =
     """doc_id and what ``columns`` makes of the bytes of every text and the mask of those that go (None: none)."""
     rows = docs.select("doc_id", text_hash(F.col("text")).alias("_fp"), F.col("text"))
     rows = rows.join(
-        found, (F.col("doc_id").cast("long") == F.col("doc")) & (F.col("_fp") == F.col("fp")), "left"
+        found.hint("merge"), (F.col("doc_id").cast("long") == F.col("doc")) & (F.col("_fp") == F.col("fp")), "left"
     ).select("doc_id", "text", "runs")
     kind = rows.schema["doc_id"].dataType.simpleString()
 

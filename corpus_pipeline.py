@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing
 from constituent360.llm.common import stored, table
@@ -21,6 +22,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a document with a smaller id already holds."""
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), "text", "_n_lines", "_n_dropped")
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
     return kept.select(*docs.columns)
 
 
