@@ -102,12 +102,11 @@ def _cuts(sizes: DataFrame, plan: DataFrame, digits: int) -> DataFrame:
 def mix(
     docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0, seed: str = "mix"
 ) -> DataFrame:
-    """``docs`` with size, source_size, target, copies and taken.
+    """row (all columns of ``docs``), size, source_size, target, copies and taken.
 
     ``weights`` repeat over the sources in code point order, ``share`` is the wanted total as a part of all
     words and ``most`` the number of times that a source may be repeated.
     """
-    added = ("size", "source_size", "target", "copies", "taken")
     sizes = stored(
         docs.select("source", n_words(F.col("text")).alias("size"), _ticket(seed).alias("ticket")), "sizes"
     )
@@ -131,16 +130,17 @@ def mix(
         ),
         "source-plan",
     )
-    own = docs.select(F.struct(*docs.columns).alias("_row"), n_words(F.col("text")).alias("size"), _ticket(seed).alias("_ticket"))
+    own = docs.select(F.struct(*docs.columns).alias("row"), n_words(F.col("text")).alias("size"), _ticket(seed).alias("_ticket"))
     copies = F.col("whole") + (F.col("_ticket") <= F.col("cut")).cast("long")
     return (
-        own.join(plan, F.col("_row.source").eqNullSafe(F.col("_planned")))
+        own.join(plan, F.col("row.source").eqNullSafe(F.col("_planned")))
         .withColumn("copies", copies)
         .withColumn("taken", F.col("size") * F.col("copies"))
-        .select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in added], *added)
+        .select("row", "size", "source_size", "target", "copies", "taken")
     )
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
+def repeated(docs: DataFrame, **settings) -> DataFrame:
     """The rows of the mix itself: every document as often as it was taken."""
-    return mixed.withColumn("_nth", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*columns)
+    nth = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return mix(docs, **settings).select("row", nth).select("row.*")

@@ -25,7 +25,7 @@ def _(spark, sf_dir):
 @query("op2_mixing", sql.MIXING)
 def _(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op3_secrets", sql.SECRETS)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from constituent360.llm import bpe, language_id, line_dedup, minhash, mixing
-from constituent360.llm.common import stored, table
+from constituent360.llm.common import fresh, stored, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a document with a smaller id already holds."""
-    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), "text", "_n_lines", "_n_dropped")
+    counts = fresh(docs, "n_lines"), fresh(docs, "n_dropped")
+    kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), "text", *counts)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
     return kept.select(*docs.columns)
@@ -34,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    return mixing.repeated(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
