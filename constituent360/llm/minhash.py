@@ -6,13 +6,15 @@ random permutation per bin), so that bins match with the probability of the Jacc
 ``ROWS`` bins are bucket keys: at a similarity of 0.85 a pair meets in some bucket with a probability of 1 - 3e-7.
 
 Documents with equal sets are one class first, and only the classes' representatives (least ids) go into buckets. Inside a bucket
-the edges form a star: the least member against all others. Where the verified links leave a bucket with several
-components, the next members become hubs too, twice as many in each round, against the members of other components, until every
-bucket is one component or all its members were hubs. So no pair of a bucket is lost, and a bucket whose members are
-linked costs one edge per member. Candidates first compare their signatures (one byte per bin), and
+the edges form a star: the least member against all others. Candidates first compare their signatures (one byte per bin), and
 what remains is decided on the full sets: rows are dealt out by hub and slice and sorted with the hub in front,
 so that a task holds one hub's set and streams the others past it; the slices split a hub with many partners.
 
+A star can miss a link between two members that are both too far from the hub. So where the links leave a bucket with several
+components, its members are compared with each other inside a task: only across components, in the first bucket that the two share,
+and where sizes and signatures allow it; a bucket beyond BLOCK_ROWS members or SLICE shingles is cut into
+blocks whose pairs are tasks of their own. Only links come out, never pairs, and no pair of a bucket is lost.
+
 Defined cases: a null text or one without words has an empty set and is linked with nothing; a text with fewer words than a
 shingle has its whole sequence as its one shingle; a row without id keeps a null component; rows that repeat an id share the
 component of that id, which the row with the least set fingerprint stands for; other columns are ignored.
@@ -26,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from constituent360.llm.common import fresh, stored, tasks
 from constituent360.operators.components import connected_components
@@ -38,8 +39,10 @@ BANDS = BINS // ROWS
 AGREE = 0.69
 #: Shingles that are aimed at for one slice of a hub's partners.
 SLICE = 400_000
+#: Members of one block of a bucket at most, about.
+BLOCK_ROWS = 1024
 #: Bytes of text that are hashed at once.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 
 _RANDOM = np.random.default_rng(20240229)
 _odd = lambda n: _RANDOM.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -165,12 +168,16 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, fp long, n long, s1 long, s2 long, bands array<long>, sig binary")
 
 
+def _least_agreement(num: int, den: int) -> int:
+    return int(AGREE * BINS * (num / den) / 0.85)
+
+
 def _likely(pairs: DataFrame, signatures: DataFrame, num: int, den: int) -> DataFrame:
     """hub, rep, n of the pairs whose sizes and signatures allow the similarity num / den."""
     a = signatures.select(F.col("rep").alias("hub"), F.col("n").alias("n_hub"), F.col("sig").alias("sig_hub"))
     both = pairs.join(signatures, "rep").join(a, "hub")
     both = both.where((F.least("n", "n_hub") * den >= F.greatest("n", "n_hub") * num))
-    least = int(AGREE * BINS * (num / den) / 0.85)
+    least = _least_agreement(num, den)
 
     def run(batches):
         for batch in batches:
@@ -224,91 +231,184 @@ def _verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFra
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _open_members(buckets: DataFrame, named: DataFrame, kept: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components and a pair that the star left out, dealt into blocks.
+
+    A bucket of many members is cut into blocks by a hash, and each pair of blocks (lo, hi) is a group; ``block`` is the
+    member's own.
+    """
+    own = buckets.join(named, "rep", "left").select("key", "hub", "rep", F.coalesce("component", "rep").alias("component"))
+    several = own.groupBy("key").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n")
+    )
+    several = several.where((F.col("_low") < F.col("_high")) & (F.col("_n") > 2)).select("key")
+    members = stored(own.join(several, "key").join(kept, "rep"), "open-members")
+    blocks = members.groupBy("key").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / SLICE)).cast("int").alias("blocks")
+    )
+    members = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return members.select(
+        "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "component",
+        "n", (F.col("rep") == F.col("hub")).alias("tried"), "sig", "bands",
+    )
+
+
+def _groups(batches, columns: list[str]) -> Iterator[dict[str, list]]:
+    """The groups (key, lo, hi) of rows that are sorted by them."""
+    last, rows = None, {c: [] for c in columns}
+    for batch in batches:
+        data = {c: batch.column(c).to_pylist() for c in columns}
+        keys = list(zip(data["key"], data["lo"], data["hi"]))
+        start = 0
+        for i, key in enumerate(keys):
+            if key != last:
+                for c in columns:
+                    rows[c] += data[c][start:i]
+                if rows["key"]:
+                    yield rows
+                rows, last, start = {c: [] for c in columns}, key, i
+        for c in columns:
+            rows[c] += data[c][start:]
+    if rows["key"]:
+        yield rows
+
+
+class _Group:
+    """A group's members as arrays, and the partners that each has to be compared with."""
+
+    def __init__(self, rows: dict[str, list], num: int, den: int):
+        self.num, self.den, self.least = num, den, _least_agreement(num, den)
+        self.key = rows["key"][0]
+        self.rep, self.n = np.array(rows["rep"], np.int64), np.array(rows["n"], np.int64)
+        self.block, self.within = np.array(rows["block"]), rows["lo"][0] == rows["hi"][0]
+        self.component, self.tried = np.array(rows["component"], np.int64), np.array(rows["tried"], bool)
+        self.bands = np.array(rows["bands"], np.int64)
+        self.sig = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(-1, BINS)
+        self.band = int((self.bands[0] == self.key).argmax())
+
+    def partners(self, i: int) -> np.ndarray:
+        """Members behind i in another component, whose first common bucket with i this is, and whose sizes and signatures
+        allow the similarity. Pairs with the bucket's hub were compared before."""
+        if self.tried[i]:
+            return np.zeros(0, np.int64)
+        rest = slice(i + 1, None)
+        n = self.n[rest]
+        likely = (self.component[rest] != self.component[i]) & ~self.tried[rest]
+        likely &= np.minimum(n, self.n[i]) * self.den >= np.maximum(n, self.n[i]) * self.num
+        if not self.within:
+            likely &= self.block[rest] != self.block[i]
+        at = np.flatnonzero(likely) + i + 1
+        if len(at):
+            at = at[(self.sig[at] == self.sig[i]).sum(axis=1) >= self.least]
+        if len(at):
+            at = at[(self.bands[at] == self.bands[i]).argmax(axis=1) == self.band]
+        return at
+
+
+_MEMBER = ["key", "lo", "hi", "block", "rep", "component", "n", "tried", "sig", "bands"]
+
+
+def _needed(members: DataFrame, num: int, den: int) -> DataFrame:
+    """key, lo, hi, rep of the members that have a partner in their group: their texts have to be read."""
+
+    def run(batches):
+        for rows in _groups(batches, _MEMBER):
+            group = _Group(rows, num, den)
+            needed = np.zeros(len(group.rep), bool)
+            for i in range(len(needed)):
+                at = group.partners(i)
+                needed[at] = True
+                needed[i] |= len(at) > 0
+            found = group.rep[needed]
+            same = [pa.array([rows[c][0]] * len(found), t) for c, t in (("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(found)], names=["key", "lo", "hi", "rep"])
+
+    return _by_group(members.select(_MEMBER)).mapInArrow(run, "key long, lo int, hi int, rep long")
+
+
+def _by_group(rows: DataFrame) -> DataFrame:
+    return rows.repartition(tasks(rows.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep")
+
+
+def _group_links(members: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b of the pairs of partners whose full sets reach the similarity, but for those that others already join."""
+    columns = [*_MEMBER, "text"]
+
+    def run(batches):
+        for rows in _groups(batches, columns):
+            group = _Group(rows, num, den)
+            sets: dict[int, np.ndarray] = {}
+            data = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
+            for start, end in _slices(data):
+                sets.update(zip(range(start, end), shingle_sets(data[start:end])))
+            found_a, found_b = [], []
+            for i in range(len(data)):
+                at = group.partners(i)
+                if not len(at):
+                    continue
+                own = sets[i]
+                others = np.concatenate([sets[j] for j in at.tolist()])
+                place = np.searchsorted(own, others)
+                place[place == len(own)] = 0
+                sizes = group.n[at]
+                common = np.add.reduceat(own[place] == others, np.cumsum(sizes) - sizes, dtype=np.int64)
+                linked = at[common * den >= num * (len(own) + sizes - common)]
+                for j in linked.tolist():
+                    found_a.append(int(group.rep[i]))
+                    found_b.append(int(group.rep[j]))
+                    group.component[group.component == group.component[j]] = group.component[i]
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+    return _by_group(members.join(texts, "rep").select(columns)).mapInArrow(run, "a long, b long")
+
+
 def components(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id per row: documents are linked if den * intersection >= num * union."""
     drawn = stored(sketches(docs), "sketches")
     nodes = (
         drawn.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-        .groupBy("doc_id").agg(F.min(F.struct("s1", "s2", "n", "fp")).alias("k"))
-        .select("doc_id", "k.s1", "k.s2", "k.n", "k.fp")
+        .groupBy("doc_id").agg(F.min(F.struct("s1", "s2", "n", "fp")).alias("k"), F.count(F.lit(1)).alias("rows"))
+        .select("doc_id", "k.s1", "k.s2", "k.n", "k.fp", "rows")
     )
     nodes = stored(nodes, "set-nodes")
     classes = nodes.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "fp")).alias("r"))
     classes = stored(classes.select("s1", "s2", "n", F.col("r.doc_id").alias("rep"), F.col("r.fp").alias("fp")), "set-classes")
-    kept = drawn.select(F.col("doc_id").alias("rep"), "fp", "bands", "sig").join(
-        classes.select("rep", "fp", "n"), ["rep", "fp"]
-    )
-    kept = stored(kept, "class-sketches")
+    repeated = not nodes.where(F.col("rows") > 1).isEmpty()
+    once = (lambda df: df.dropDuplicates(["rep"])) if repeated else (lambda df: df)
+    kept = drawn.select(F.col("doc_id").alias("rep"), "fp", "bands", "sig").join(classes.select("rep", "fp", "n"), ["rep", "fp"])
+    kept = stored(once(kept), "class-sketches")
     members = kept.select("rep", F.explode("bands").alias("key"))
     hubs = members.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))
     hubs = stored(hubs.where(F.col("hub") < F.col("last")).select("key", "hub"), "hubs")
     buckets = stored(members.join(hubs, "key"), "buckets")
-    signatures = kept.select("rep", "n", "sig")
-    tested = stored(buckets.where(F.col("rep") != F.col("hub")).select("hub", "rep").distinct(), "star-edges")
-    likely = stored(_likely(tested, signatures, num, den), "likely")
-    wanted = likely.select("rep").union(likely.select("hub")).distinct()
-    texts = _texts(docs, wanted, classes, "texts-0")
-    links = stored(_verified(likely, texts, num, den), "links-0")
-    turn, named = 0, _named(links)
-    while True:
-        turn += 1
-        open_ = _open_buckets(buckets, named, 2 ** (turn - 1))
-        open_ = stored(open_, f"open-{turn}")
-        if open_.isEmpty():
-            break
-        first = open_.withColumn("_nth", F.row_number().over(Window.partitionBy("key").orderBy("rep")))
-        first = first.where(F.col("_nth") <= 2**turn).select("key", F.col("rep").alias("hub"), F.col("component").alias("_c"))
-        pairs = open_.join(first, "key").where((F.col("component") != F.col("_c")) & (F.col("rep") != F.col("hub")))
-        pairs = pairs.select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
-        pairs = stored(pairs.join(tested, ["hub", "rep"], "left_anti"), f"pairs-{turn}")
-        tested = tested.unionByName(pairs)
-        likely = stored(_likely(pairs, signatures, num, den), f"likely-{turn}")
-        if likely.isEmpty():
-            continue
-        wanted = likely.select("rep").union(likely.select("hub")).distinct()
-        more = _verified(likely, _texts(docs, wanted, classes, f"texts-{turn}"), num, den)
-        links = stored(links.unionByName(more), f"links-{turn}")
-        named = _named(links)
-    of_class = classes.join(named, "rep", "left").select(
-        "s1", "s2", "n", F.coalesce("component", "rep").alias("component_id")
-    )
-    of_doc = nodes.join(of_class, ["s1", "s2", "n"]).select(F.col("doc_id").alias("_of"), "component_id")
-    of_doc = stored(of_doc, "doc-components")
+    wanted = stored(classes.join(buckets.select("rep").distinct(), "rep").select("rep", "fp"), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("fp"), F.col("text"))
+    # the list grows with the documents: it is merged with them, never sent to every task
+    texts = stored(once(texts.join(wanted.hint("merge"), ["rep", "fp"]).select("rep", "text")), "texts")
+
+    edges = buckets.where(F.col("rep") != F.col("hub")).select("hub", "rep").distinct()
+    likely = stored(_likely(edges, kept.select("rep", "n", "sig"), num, den), "star-edges")
+    links = stored(_verified(likely, texts, num, den), "star-links")
+    open_ = stored(_open_members(buckets, _named(links), kept.select("rep", "n", "sig", "bands")), "open-groups")
+    if not open_.isEmpty():
+        needed = stored(_needed(open_, num, den), "needed")
+        more = stored(_group_links(open_.join(needed, ["key", "lo", "hi", "rep"]), texts, num, den), "group-links")
+        links = links.unionByName(more)
+    of_class = classes.join(_named(links), "rep", "left").select("s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
+    of_doc = nodes.join(stored(of_class, "class-components"), ["s1", "s2", "n"])
+    of_doc = stored(of_doc.select(F.col("doc_id").alias("_of"), "component_id"), "doc-components")
     return drawn.join(of_doc, F.col("doc_id") == F.col("_of"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-    """rep, text of the representatives that are compared."""
-    ids = stored(classes.select("rep", "fp").join(wanted, "rep"), f"{name}-ids")
-    own = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("fp"), F.col("text"))
-    found = own.join(ids, ["rep", "fp"]).select("rep", "text")
-    return stored(found.dropDuplicates(["rep"]) if _repeats(docs) else found, name)
-
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether an id occurs more than once."""
-    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return not ids.where(F.col("n") > 1).isEmpty()
-
-
 def _named(links: DataFrame) -> DataFrame:
     """rep, component of the linked representatives."""
     nodes = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).distinct()
     return stored(connected_components(nodes, links, "rep"), "components")
 
 
-def _open_buckets(buckets: DataFrame, named: DataFrame, tried: int) -> DataFrame:
-    """key, rep, component of the buckets with several components and a pair of members neither of which was a hub."""
-    own = buckets.join(named, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    several = own.groupBy("key").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n")
-    )
-    several = several.where((F.col("_low") < F.col("_high")) & (F.col("_n") > tried + 1)).select("key")
-    return own.join(several, "key")
-
-
 def representatives(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` without the documents whose component holds a smaller id; rows without id stay."""
     found = components(docs, num, den).where(F.col("component_id") < F.col("doc_id"))
