@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from constituent360.functions.numbers import count_if, safe_div
-from constituent360.operators.totals import collapse, previous_value, quantiles, running_totals
+from constituent360.operators.totals import collapse, previous_values, quantiles, running_totals
 from constituent360.session import cut_lineage
 
 
@@ -178,7 +178,7 @@ def prediction_monitor(predictions: DataFrame) -> DataFrame:
 
 def model_drift(log: DataFrame, value: str = "auc_roc") -> DataFrame:
     """Each evaluation of a model with the one before it and the change."""
-    out = previous_value(log, ["model_name"], "evaluation_date", value, F.trunc("evaluation_date", "year"), "prev_auc")
+    out = previous_values(log, ["model_name"], "evaluation_date", value, ["prev_auc"])
     return out.withColumn("auc_change", F.col(value) - F.col("prev_auc"))
 
 

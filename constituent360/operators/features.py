@@ -218,11 +218,11 @@ def rfm_summary(donations: DataFrame, as_of) -> DataFrame:
 def gift_timing(donations: DataFrame, as_of) -> DataFrame:
     """Timing signals per giver: last gift against the mean, upgrades (a gift above the one before),
     days since the last upgrade, and the calendar quarter with most gifts."""
-    from constituent360.operators.totals import previous_value
+    from constituent360.operators.totals import previous_values
 
     done = donations.where((F.col("donation_status") == "completed") & (F.col("donation_date") <= day(as_of)))
     days = done.groupBy("constituent_id", "donation_date").agg(F.max("donation_amount").alias("amount"))
-    seq = previous_value(days, ["constituent_id"], "donation_date", "amount", F.trunc("donation_date", "year"))
+    seq = previous_values(days, ["constituent_id"], "donation_date", "amount")
     up, q = F.col("amount") > F.col("previous"), F.quarter("donation_date")
     counts = [count_if(q == i) for i in (1, 2, 3, 4)]
     most = F.greatest(*counts)

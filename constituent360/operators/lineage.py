@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,6 @@ from constituent360.session import cut_lineage
 TABLE_PATTERN = r"(?i)(?:from|join|into|update)\s+([\w.\[\]]+)"
 DYNAMIC_PATTERN = r"(?i)EXEC\(|sp_executesql"
 WRITER_PATTERN = r"(?is)INSERT|MERGE|SELECT.*INTO"
-MAX_ROUNDS = 1000
 ROUNDS_PER_TABLE = 16
 
 
@@ -82,7 +83,7 @@ def downstream(edges: DataFrame, roots: DataFrame, source: str = "referenced", t
     e = edges.select(F.col(source).alias("s"), F.col(target).alias("t")).distinct()
     frontier = cut_lineage(roots.select(F.col(roots.columns[0]).alias("node")).distinct())
     seen = frontier.withColumn("distance", F.lit(0))
-    for step in range(1, MAX_ROUNDS):
+    for step in count(1):  # to the fix-point: every round reaches a new node or ends
         reached = frontier.join(e, F.col("node") == F.col("s")).select(F.col("t").alias("node")).distinct()
         frontier = cut_lineage(reached.join(seen.select("node"), "node", "left_anti"))
         if frontier.isEmpty():
@@ -90,7 +91,6 @@ def downstream(edges: DataFrame, roots: DataFrame, source: str = "referenced", t
         seen = seen.unionByName(frontier.withColumn("distance", F.lit(step)))
         if step % ROUNDS_PER_TABLE == 0:
             seen = cut_lineage(seen)
-    raise RuntimeError("closure did not settle")
 
 
 def upstream(edges: DataFrame, roots: DataFrame, source: str = "referenced", target: str = "object_name") -> DataFrame:
@@ -120,9 +120,7 @@ def cycles(edges: DataFrame, source: str = "referenced", target: str = "object_n
     loops = e.where("s = t").select(F.col("s").alias("node"), F.col("s").alias("cycle"))
     rest = _trim(cut_lineage(e.where("s <> t")))
     found = None
-    for _ in range(MAX_ROUNDS):
-        if rest.isEmpty():
-            break
+    while not rest.isEmpty():  # every round settles the least node that is left
         nodes = rest.select(F.explode(F.array("s", "t")).alias("node")).distinct()
         colour = cut_lineage(nodes.withColumn("c", F.col("node")))
         while True:

@@ -207,7 +207,8 @@ def _column(name: str):
     return lambda as_of: F.col(name)
 
 
-_POSITIVE = Rule("positive_value", "value >= 0", "error")
+# Names, titles, owners, rules and thresholds of the metric definitions.
+_POSITIVE = Rule("positive_count", "value >= 0", "error")
 
 CATALOG: dict[str, Metric] = {
     m.name: m
@@ -246,7 +247,6 @@ CATALOG: dict[str, Metric] = {
                 "by_monthly_amount": lambda as_of: band(F.col("recurring_monthly_amount"), *MONTHLY_AMOUNT),
                 "by_tenure": lambda as_of: band(month_boundaries(F.col("sustainer_start_date"), as_of), *TENURE),
             },
-            rules=(_POSITIVE,),
         ),
         Metric(
             "lapsed_member", "Lapsed Member", "membership", "Director, Membership", "lapsed_member_count", _lapsed,
@@ -263,7 +263,7 @@ CATALOG: dict[str, Metric] = {
                 "by_campaign": _column("campaign_code"),
                 "by_channel": _column("source_channel"),
             },
-            rules=(_POSITIVE, Rule("month_over_month", "abs(value - previous_value) / nullif(previous_value, 0) < 0.20", "warning")),
+            rules=(Rule("revenue_positive", "value >= 0", "error"), Rule("month_over_month_variance", "abs(value - previous_value) / nullif(previous_value, 0) < 0.20", "warning")),
         ),
         Metric(
             "average_gift_amount", "Average Gift Amount", "revenue", "VP, Development", "average_gift_amount",
@@ -354,9 +354,9 @@ def compute_metrics(tables: dict[str, DataFrame], names, as_of: dt.date) -> Data
 
 def with_previous(results: DataFrame) -> DataFrame:
     """Metric values with the value at the measurement before."""
-    from constituent360.operators.totals import previous_value
+    from constituent360.operators.totals import previous_values
 
-    return previous_value(results, ["metric"], "as_of", "value", F.trunc("as_of", "year"), "previous_value")
+    return previous_values(results, ["metric"], "as_of", "value", ["previous_value"])
 
 
 def check_metrics(results: DataFrame) -> DataFrame:

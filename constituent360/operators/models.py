@@ -20,10 +20,9 @@ from constituent360.functions.numbers import count_if
 from constituent360.operators.evaluation import auc, point_metrics
 from constituent360.operators.features import CHURN_FEATURES, UPGRADE_FEATURES, churn_features, upgrade_features
 from constituent360.operators.recommend import best_path, churn_tier
-from constituent360.operators.totals import previous_value, quantiles
+from constituent360.operators.totals import previous_values, quantiles
 from constituent360.session import cut_lineage
 
-EXACT_SPLIT_ROWS = 100_000
 _HASHES = 1 << 52
 UPGRADE_TARGETS = ("to_sustainer", "sustainer_increase", "to_major")
 
@@ -46,23 +45,17 @@ def _hash_column(seed: int, key: str) -> Column:
 
 
 def split(df: DataFrame, key: str, share: float = 0.8, stratify: str | None = None, seed: int = 42):
-    """(train, validation) by a hash of the key, per class when stratified. Up to EXACT_SPLIT_ROWS rows
-    of a class are cut at the exact quantile of their hashes, so that a rare class keeps its share to
-    within one row; a larger class is cut at that share of the hash range, which needs no ranking."""
+    """(train, validation) by a hash of the key, cut at the exact quantile of the hashes, of each class when
+    stratified; a null class is a class. Every row is in one of the two."""
     hashed = df.withColumn("_h", _hash_column(seed, key))
-    group = [stratify] if stratify else []
-    sizes = hashed.groupBy(*group).agg(F.count("*").alias("n")).collect()  # one row per class
-    cuts = {r[stratify] if stratify else None: _HASHES * share for r in sizes if r["n"] > EXACT_SPLIT_ROWS}
-    small = [r[stratify] if stratify else None for r in sizes if r["n"] <= EXACT_SPLIT_ROWS]
-    if small:
-        rows = hashed.where(F.col(stratify).isin(small)) if stratify else hashed
-        for r in quantiles(rows, "_h", [share], group).collect():
-            cuts[r[stratify] if stratify else None] = r["q0"]
-    first = F.lit(False)
-    for value, cut in cuts.items():
-        mine = F.col("_h") <= cut
-        first = first | (mine & (F.col(stratify) == F.lit(value)) if stratify else mine)
-    return hashed.where(first).drop("_h"), hashed.where(~first).drop("_h")
+    if stratify is None:
+        cut = quantiles(hashed, "_h", [share]).first()["q0"]
+        parted = hashed.withColumn("_first", F.coalesce(F.col("_h") <= F.lit(cut), F.lit(False)))
+    else:
+        cuts = quantiles(hashed, "_h", [share], [stratify]).withColumnsRenamed({stratify: "_class", "q0": "_cut"})
+        parted = hashed.join(cuts, F.col(stratify).eqNullSafe(F.col("_class"))).withColumn("_first", F.col("_h") <= F.col("_cut"))
+    own = df.columns
+    return parted.where("_first").select(own), parted.where(~F.col("_first")).select(own)
 
 
 def time_split(df: DataFrame, ts: str, share: float = 0.8):
@@ -224,9 +217,9 @@ def segment_kmeans(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int
 
 
 def survival_fit(df: DataFrame, columns: Sequence[str], duration: str, event: str):
-    """Time-to-churn regression with censoring; durations must be positive."""
+    """Time-to-churn regression with censoring; a duration under a day counts as a day, so that every row is in."""
     assembled = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
-        df.where(F.col(duration) > 0).withColumns({"_d": F.col(duration).cast("double"), "_e": F.col(event).cast("double")})
+        df.withColumns({"_d": F.greatest(F.col(duration).cast("double"), F.lit(1.0)), "_e": F.col(event).cast("double")})
     )
     model = AFTSurvivalRegression(featuresCol="_features", labelCol="_d", censorCol="_e", predictionCol="expected_duration").fit(assembled)
     return model, model.transform(assembled).drop("_features", "_d", "_e")
@@ -250,10 +243,8 @@ def third_failures(payments: DataFrame) -> DataFrame:
         "constituent_id", "payment_date", F.struct("payment_date", "payment_id").alias("_at"),
         F.col("failed").cast("int").alias("failed"),
     )
-    year = F.trunc("payment_date", "year")
-    one = previous_value(rows, ["constituent_id"], "_at", "failed", year, "before")
-    two = previous_value(one, ["constituent_id"], "_at", "before", year, "before2")
-    return two.where((F.col("failed") == 1) & (F.col("before") == 1) & (F.col("before2") == 1)).select(
+    seen = previous_values(rows, ["constituent_id"], "_at", "failed", ["before", "before2"])
+    return seen.where((F.col("failed") == 1) & (F.col("before") == 1) & (F.col("before2") == 1)).select(
         "constituent_id", F.col("payment_date").alias("failed_on")
     )
 
@@ -271,7 +262,7 @@ def churn_labels(donations: DataFrame, changes: DataFrame, payments: DataFrame,
     ).where(F.col("last_gift").isNotNull())
     window = lambda c: (F.col(c) > cutoff) & (F.col(c) <= end)
     left = changes.where((F.col("change_type") == "cancelled") & window("change_date")).select("constituent_id")
-    failed = third_failures(payments).where(window("failed_on")).select("constituent_id")
+    failed = third_failures(payments.where(F.col("payment_date") <= end)).where(window("failed_on")).select("constituent_id")
     gone = left.unionByName(failed).distinct().withColumn("_gone", F.lit(True))
     due = F.add_months("last_gift", 13)
     silent = (due <= end) & (F.col("next_gift").isNull() | (F.col("next_gift") > due))

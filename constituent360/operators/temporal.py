@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from constituent360.functions.dates import day
+from constituent360.sources.writers import KeyedTable
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -81,6 +82,12 @@ def incremental_upsert(
     return kept.select(*fresh.columns).unionByName(fresh)
 
 
+def upsert_into(table: KeyedTable, source: DataFrame, modified: str, low, high, tie: Sequence[str] = ()) -> None:
+    """The same for a stored table: only the folders that the changed rows fall into are read and replaced."""
+    fresh = latest_per_key(changed_since(source, modified, low, high), table.keys, [modified, *tie])
+    table.upsert(fresh, lambda old, new: old.join(new.select(*table.keys), table.keys, "left_anti").select(new.columns).unionByName(new))
+
+
 def change_log(
     before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str], *, who: str, why: str, where: str, when
 ) -> DataFrame:

@@ -1,23 +1,35 @@
-"""Running totals, ranks and exact quantiles over data of any size.
+"""Running totals, ranks, exact quantiles and earlier values over data of any size.
 
-A window without a partition, or one partitioned by a hot key, sorts everything in a single task.
-Here equal values are first collapsed to one row each. If few rows remain (the count is checked),
-one window does the rest. Otherwise the value axis is cut into ranges of about equal size, each range
-is totalled on its own, and only the per-range sums, a bounded set, run through a second window.
+A window without a partition, or one partitioned by a hot key, sorts everything in a single task. Here rows are dealt out
+in sorted ranges (of group and value, so that a large group or a single hot value spans as many ranges as it needs) and
+written; each range is worked on by itself, and one row per group and range carries the rest across. There is one path
+for every size. Nulls sort first going up and last going down, NaN is the largest number, and null groups and keys are
+groups and keys like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from constituent360.session import cut_lineage
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+
+def _joined(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right``, which has one row per value of ``columns``."""
+    names = {c: f"_right_{c}" for c in columns}
+    right = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[n]) for c, n in names.items()])
+    return left.join(right, same, "left").drop(*names.values())
+
+
+def in_ranges(df: DataFrame, group: Sequence[str], order: Column, ranges: int | None = None) -> DataFrame:
+    """The rows with ``_range``, a number that grows with (group, order); written, since a second run might cut elsewhere."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(n, *[F.col(g) for g in group], order).withColumn("_range", F.spark_partition_id()))
 
 
 def collapse(df: DataFrame, value: str, group: Sequence[str] = (), **sums) -> DataFrame:
@@ -27,69 +39,41 @@ def collapse(df: DataFrame, value: str, group: Sequence[str] = (), **sums) -> Da
 
 
 def running_totals(
-    collapsed: DataFrame,
-    value: str,
-    sums: Sequence[str],
-    group: Sequence[str] = (),
-    descending: bool = False,
-    rows_per_range: int = ROWS_PER_RANGE,
+    collapsed: DataFrame, value: str, sums: Sequence[str], group: Sequence[str] = (), descending: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<name>`` for each summed column: the total up to and including the row's value."""
     order = F.col(value).desc() if descending else F.col(value).asc()
-    rows = collapsed.count()
-    ranges = min(MAX_RANGES, -(-rows // rows_per_range))
-    if ranges <= 1:
-        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return collapsed.select("*", *[F.sum(s).over(w).alias(f"cum_{s}") for s in sums])
-
-    numeric = collapsed.withColumn("_axis", F.col(value).cast("double"))
-    cuts = numeric.approxQuantile("_axis", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="_axis", outputCol="_range").transform(numeric)
-
-    per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    range_order = F.col("_range").desc() if descending else F.col("_range").asc()
-    before = (
-        Window.partitionBy(*group).orderBy(range_order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = per_range.select(
-        *group, "_range",
-        *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_before_{s}") for s in sums],
-    )
-    inside = (
-        Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    ranged = in_ranges(collapsed, group, order, ranges)
     keys = [*group, "_range"]
-    return (
-        ranged.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
-        .join(offsets, keys)
-        .select(
-            *collapsed.columns,
-            *[(F.col(f"_in_{s}") + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums],
-        )
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(*keys).agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+        .select(*keys, *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_before_{s}") for s in sums])
+    )
+    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = ranged.select("*", *[F.sum(s).over(inside).alias(f"_in_{s}") for s in sums])
+    return _joined(totals, offsets, keys).select(
+        *collapsed.columns, *[(F.col(f"_in_{s}") + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums]
     )
 
 
 def quantiles(
-    df: DataFrame,
-    value: str,
-    probabilities: Sequence[float],
-    group: Sequence[str] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: columns q0, q1, ... per group, missing values left out."""
     counted = collapse(df.where(F.col(value).isNotNull()), value, group, n=F.count("*"))
-    return quantiles_of(counted, value, probabilities, group, rows_per_range)
+    return quantiles_of(counted, value, probabilities, group, ranges)
 
 
 def quantiles_of(
-    counted: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
+    counted: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Quantiles from one row per (group, value) with its count ``n``."""
-    ranked = running_totals(counted, value, ["n"], group, rows_per_range=rows_per_range)
+    ranked = running_totals(counted, value, ["n"], group, ranges=ranges)
     sizes = counted.groupBy(*group).agg(F.sum("n").alias("_size"))
     if group:
-        sized = ranked.join(sizes, list(group))
+        sized = _joined(ranked, sizes, list(group))
     else:
         first = sizes.first()
         sized = ranked.withColumn("_size", F.lit(first["_size"] if first else None).cast("bigint"))
@@ -104,32 +88,44 @@ def quantiles_of(
             F.max(position - F.floor(position)).alias(f"_part{i}"),
         ]
     found = sized.groupBy(*group).agg(*aggregates)
+    # where both neighbours are the same there is nothing to interpolate (their difference is no number if they are infinite)
+    between = lambda i: (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")
     return found.select(
         *group,
         *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")).alias(f"q{i}")
+            F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(F.col(f"_lo{i}") + between(i)).alias(f"q{i}")
             for i in range(len(probabilities))
         ],
     )
 
 
-def previous_value(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, period, name: str = "previous"
+def previous_values(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, names: Sequence[str] = ("previous",), ranges: int | None = None
 ) -> DataFrame:
-    """The value of the row before, per key. ``period`` maps the order column to a coarser step that
-    keeps the order (a month, say), so no window holds more than one key's rows of one period."""
-    spread = df.withColumn("_period", period)
-    inside = Window.partitionBy(*keys, "_period").orderBy(order)
-    last = spread.groupBy(*keys, "_period").agg(F.max_by(value, order).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_period")
-    carried = last.select(*keys, "_period", F.lag("_last").over(across).alias("_carried"))
-    return (
-        spread.withColumn("_lag", F.lag(value).over(inside))
-        .withColumn("_first", F.row_number().over(inside) == 1)
-        .join(carried, [*keys, "_period"])
-        .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag")))
-        .drop("_period", "_lag", "_first", "_carried")
+    """The values of the rows before, per key, in the order of ``order`` (a null first): the last one under the first name, the
+    one before it under the second, and so on. A key with very many rows spans several ranges; each range hands
+    its last values on."""
+    k = len(names)
+    ranged = in_ranges(df, keys, F.col(order).asc(), ranges)
+    within = [*keys, "_range"]
+    inside = Window.partitionBy(*within).orderBy(order)
+    boxed = F.struct(F.col(value).alias("v"))  # a box tells a null value from no row
+    placed = ranged.withColumns({f"_lag{i}": F.lag(boxed, i + 1).over(inside) for i in range(k)})
+    placed = placed.withColumn("_nth", F.row_number().over(inside))
+    from_end = Window.partitionBy(*within).orderBy(F.col(order).desc(), F.col("_nth").desc())
+    tail = (
+        placed.select(*within, order, "_nth", boxed.alias("_box")).withColumn("_back", F.row_number().over(from_end))
+        .where(F.col("_back") <= k)
+        .groupBy(*within).agg(F.array_sort(F.collect_list(F.struct("_back", "_box"))).alias("_tail"))
     )
+    earlier = Window.partitionBy(*keys).orderBy(F.col("_range").desc()).rowsBetween(1, k)
+    carried = tail.select(*within, F.flatten(F.collect_list("_tail").over(earlier)).alias("_carried"))
+    both = _joined(placed, carried, within)
+    # the first rows of a range look into what was handed on
+    found = {
+        name: F.coalesce(F.col(f"_lag{i}"), F.get("_carried", F.lit(i + 1) - F.col("_nth"))["_box"])["v"] for i, name in enumerate(names)
+    }
+    return both.withColumns(found).drop("_range", "_nth", "_carried", *[f"_lag{i}" for i in range(k)])
 
 
 def number_rows(ordered: DataFrame, name: str = "position") -> DataFrame:

@@ -170,6 +170,10 @@ def _(spark, sf_dir):
     })
 
 
+#: Days by which event dates lie behind the order calendar.
+EVENT_SHIFT = 8200
+
+
 def churn_inputs(spark, sf_dir):
     """Constituents with an engagement date from their web events."""
     seen = tpch.engagement_events(spark, sf_dir).groupBy("constituent_id").agg(F.max("event_date").alias("d"))
@@ -177,8 +181,7 @@ def churn_inputs(spark, sf_dir):
         "constituent_id", "email_open_rate_30d", "email_click_rate_30d"
     )
     c = tpch.constituents(spark, sf_dir).join(seen, "constituent_id", "left").join(rates, "constituent_id", "left")
-    # event dates lie 23 years after the order dates: shift them onto the order calendar
-    return c.withColumn("last_engagement_date", F.date_sub("d", 8200)).drop("d")
+    return c.withColumn("last_engagement_date", F.date_sub("d", EVENT_SHIFT)).drop("d")
 
 
 _INPUTS = f"""inputs AS (SELECT c.*, d - 8200 AS last_engagement_date, email_open_rate_30d, email_click_rate_30d FROM constituents c

@@ -166,12 +166,12 @@ def _(spark, sf_dir):
 
 @query("metric_rule_checks", f"""WITH {MONTHLY}, rules AS (
   SELECT metric, as_of, value, previous_value, unnest(CASE metric
-    WHEN 'active_member' THEN [{{'r': 'positive_value', 's': 'error', 'p': value >= 0}},
+    WHEN 'active_member' THEN [{{'r': 'positive_count', 's': 'error', 'p': value >= 0}},
       {{'r': 'reasonable_range', 's': 'warning', 'p': value BETWEEN 50000 AND 150000}},
       {{'r': 'day_over_day_change', 's': 'warning', 'p': abs(value - previous_value) / nullif(previous_value, 0) < 0.05}}]
-    WHEN 'total_revenue_t12m' THEN [{{'r': 'positive_value', 's': 'error', 'p': value >= 0}},
-      {{'r': 'month_over_month', 's': 'warning', 'p': abs(value - previous_value) / nullif(previous_value, 0) < 0.20}}]
-    ELSE [{{'r': 'positive_value', 's': 'error', 'p': value >= 0}}] END) AS c FROM lagged)
+    WHEN 'total_revenue_t12m' THEN [{{'r': 'revenue_positive', 's': 'error', 'p': value >= 0}},
+      {{'r': 'month_over_month_variance', 's': 'warning', 'p': abs(value - previous_value) / nullif(previous_value, 0) < 0.20}}]
+    ELSE [] END) AS c FROM lagged)
 SELECT metric, as_of, value, previous_value, c.r AS rule, c.s AS severity, coalesce(c.p, true) AS passed FROM rules""", ("donations",))
 def _(spark, sf_dir):
     return M.check_metrics(monthly_values(spark, sf_dir))

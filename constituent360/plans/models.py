@@ -10,7 +10,8 @@ from constituent360.operators import evaluation as E
 from constituent360.operators import features as X
 from constituent360.operators import models as L
 from constituent360.operators import recommend as R
-from constituent360.plans.golden import churn_inputs
+from constituent360.operators import golden as G
+from constituent360.plans.golden import EVENT_SHIFT
 from constituent360.plans.registry import query
 from constituent360.session import scratch
 from constituent360.sources import tpch
@@ -225,8 +226,17 @@ def _(spark, sf_dir):
 
 
 def training_rows(spark, sf_dir):
-    """Features from before the cutoff, labels from after it."""
-    seen = churn_inputs(spark, sf_dir).select("constituent_id", "last_engagement_date", "email_open_rate_30d", "email_click_rate_30d", "consecutive_failed_payments")
+    """Features from up to the cutoff, labels from after it. What has no history (the count of failed payments is a state of
+    today) is left out; events and mails count by their date on the calendar of the gifts."""
+    until = CUTOFF + dt.timedelta(days=EVENT_SHIFT)
+    events = tpch.engagement_events(spark, sf_dir).where(F.col("event_date") <= until)
+    events = events.groupBy("constituent_id").agg(F.date_sub(F.max("event_date"), EVENT_SHIFT).alias("last_engagement_date"))
+    mails = tpch.email_engagement(spark, sf_dir).where(F.col("send_date") <= until)
+    mails = G.email_rates(mails, until).select("constituent_id", "email_open_rate_30d", "email_click_rate_30d")
+    seen = (
+        tpch.constituents(spark, sf_dir).select("constituent_id")
+        .join(events, "constituent_id", "left").join(mails, "constituent_id", "left")
+    )
     past = tpch.donations(spark, sf_dir).where(F.col("donation_date") <= CUTOFF)
     from constituent360.operators.metrics import giving_summary
 
@@ -299,8 +309,10 @@ def _(spark, sf_dir):
 
 @query("survival_model")
 def _(spark, sf_dir):
+    """Who has been silent for thirteen months was lost with the last gift; all others are observed until today."""
     s = X.rfm_summary(tpch.donations(spark, sf_dir), tpch.AS_OF).withColumn("churned", (F.col("T") - F.col("recency") > 395).cast("int"))
-    return L.survival_fit(s, ["frequency", "monetary_value"], "recency", "churned")[1].select("constituent_id", "expected_duration")
+    s = s.withColumn("observed", F.when(F.col("churned") == 1, F.col("recency")).otherwise(F.col("T")))
+    return L.survival_fit(s, ["frequency", "monetary_value"], "observed", "churned")[1].select("constituent_id", "expected_duration")
 
 
 @query("uplift_scores")

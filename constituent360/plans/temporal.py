@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from constituent360.operators import temporal as H
 from constituent360.plans.registry import query
+from constituent360.session import scratch
 from constituent360.sources import tpch
+from constituent360.sources.writers import KeyedTable
 
 DAY1, DAY2 = dt.date(2001, 1, 1), dt.date(2001, 6, 1)
 KEYS, ATTRS = ["constituent_id"], ["segment", "balance"]
@@ -68,8 +70,10 @@ def _(spark, sf_dir):
         F.col("o_orderkey").alias("change_no"), F.col("o_orderpriority").alias("status"),
     )
     end, later = dt.date(2000, 12, 31), dt.date(2001, 6, 30)
-    target = H.latest_per_key(H.changed_since(source, "modified_at", None, end), KEYS, ["modified_at", "change_no"])
-    return H.incremental_upsert(target, source, KEYS, "modified_at", end, later, ["change_no"])
+    table = KeyedTable(spark, f"{scratch(spark, 'upsert')}/table", KEYS, 8)
+    H.upsert_into(table, source, "modified_at", None, end, ["change_no"])
+    H.upsert_into(table, source, "modified_at", end, later, ["change_no"])
+    return table.read()
 
 
 WHEN = dt.date(2006, 8, 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,22 +28,23 @@ def build_session(app: str = "constituent360", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only for local runs."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a local master may leave it unset: it then gets
+    a folder of its own in the warehouse, since driver and executors are one process."""
     context = spark.sparkContext
-    current = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can read")
-        current = tempfile.mkdtemp(prefix="constituent360-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(current)
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate-{context.applicationId}"
     return current
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder, so a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them back: a lost executor costs no recomputation, and later steps
+    read only the columns and rows that they need."""
+    path = scratch(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -18,12 +18,13 @@ def text_schema(columns) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def read_table(spark: SparkSession, base: str, name: str, schema) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, schema, multi_line: bool = False) -> DataFrame:
     """``<name>.csv`` with a header if there is one, else ``<name>.json`` holding an array of records.
-    Both may be folders of part files."""
+    Both may be folders of part files. CSV files are split among tasks, unless ``multi_line`` says that fields hold line
+    breaks: then a file is one task."""
     if exists(spark, f"{base}/{name}.csv"):
         return (
-            spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+            spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
             .csv(f"{base}/{name}.csv")
         )
     if exists(spark, f"{base}/{name}.json"):
@@ -47,14 +48,12 @@ def load_source_records(df: DataFrame, source_system: str, mapping: dict[str, st
     )
 
 
-def to_source_records(df: DataFrame, source_system: str, id_col: str, order: str, first_per: str | None = None, limit: int | None = None) -> DataFrame:
-    """Contact rows from transactions: optionally the first row per person, then the first ``limit`` rows."""
+def to_source_records(df: DataFrame, source_system: str, id_col: str, order: str, first_per: str | None = None) -> DataFrame:
+    """Contact rows from transactions: optionally only the first row per person."""
     rows = df
     if first_per:
         others = [c for c in df.columns if c != first_per]
         rows = df.groupBy(first_per).agg(F.min_by(F.struct(*others), order).alias("_r")).select(first_per, "_r.*")
-    if limit is not None:
-        rows = rows.orderBy(order).limit(limit)
     return rows.withColumns({"source_system": F.lit(source_system), "source_id": F.col(id_col).cast("string")})
 
 

@@ -1,13 +1,17 @@
-"""Writers: data sets, partitioned facts, the mailing list, and versioned tables."""
+"""Writers: data sets, partitioned facts, the mailing list, and keyed tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from constituent360.functions.dates import year_month
+from constituent360.session import cut_lineage
+from constituent360.sources.readers import exists
+
+BUCKET = "_bucket"
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str) -> None:
@@ -20,12 +24,13 @@ def write_dataset(df: DataFrame, path: str, fmt: str) -> None:
     writer.format(fmt).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, date: str, name: str, salt: int = 1) -> None:
-    """Facts by month. Rows are brought together per month first, so a month has few files; ``salt``
-    spreads a heavy month over that many tasks."""
+def write_partitioned(df: DataFrame, path: str, date: str, name: str, salt: int | None = None) -> None:
+    """Facts by month. Rows are dealt out by month and by ``salt`` slices of a month (as many as there are shuffle
+    partitions unless given); small slices are put together again and large ones split when their sizes are known."""
     keyed = df.withColumn(name, year_month(F.col(date)))
-    spread = [F.col(name)] if salt <= 1 else [F.col(name), F.pmod(F.xxhash64(*df.columns), F.lit(salt))]
-    keyed.repartition(*spread).write.mode("overwrite").partitionBy(name).parquet(path)
+    slices = salt or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = keyed.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(slices)))
+    keyed.hint("rebalance", name, "_slice").drop("_slice").write.mode("overwrite").partitionBy(name).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -40,41 +45,31 @@ def write_mailing_list(listing: DataFrame, path: str) -> None:
     ordered.withColumn(date, F.date_format(date, "yyyy-MM-dd")).write.mode("overwrite").option("header", True).csv(path)
 
 
-class VersionedTable:
-    """A Parquet table that is replaced as a whole: each version goes to its own folder and a small
-    pointer file, renamed into place, names the current one. Readers never see a half-written table."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+class KeyedTable:
+    """A Parquet table with one row per key, in folders by a hash of the key. An upsert reads and replaces only the
+    folders that its rows fall into. Applying the same rows again leaves the table as it is, so a replayed
+    batch needs no record of what was applied, whatever its number."""
 
-    def _fs(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 32):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
 
-    def _pointers(self) -> list[int]:
-        target, fs = self._fs(f"{self.path}/_pointers")
-        if not fs.exists(target):
-            return []
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(target) if s.getPath().getName().isdigit())
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-    def version(self) -> int | None:
-        found = self._pointers()
-        return found[-1] if found else None
+    def _stored(self) -> DataFrame | None:
+        return self.spark.read.parquet(self.path) if exists(self.spark, self.path) else None
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        current = self.version() if version is None else version
-        return None if current is None else self.spark.read.parquet(f"{self.path}/v={current}")
+    def read(self) -> DataFrame | None:
+        found = self._stored()
+        return None if found is None else found.drop(BUCKET)
 
-    def commit(self, df: DataFrame, version: int) -> None:
-        """Write a version, then publish it. A version already published is left as it is."""
-        current = self.version()
-        if current is not None and version <= current:
+    def upsert(self, rows: DataFrame, pick: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Put ``rows`` in; ``pick`` makes the new rows of the touched folders of (old rows, new rows)."""
+        fresh = cut_lineage(self._dealt(rows))
+        touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # one number per folder
+        if not touched:
             return
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        folder, fs = self._fs(f"{self.path}/_pointers")
-        fs.mkdirs(folder)
-        draft, _ = self._fs(f"{self.path}/_pointers/.draft-{version}")
-        final, _ = self._fs(f"{self.path}/_pointers/{version}")
-        fs.create(draft, True).close()
-        if not fs.rename(draft, final) and not fs.exists(final):
-            raise RuntimeError(f"could not publish version {version} of {self.path}")
+        old = self._stored()
+        merged = fresh if old is None else pick(old.where(F.col(BUCKET).isin(touched)).select(fresh.columns), fresh)
+        # written aside first: a folder is only replaced by rows that are all there
+        replace_partitions(cut_lineage(merged).repartition(F.col(BUCKET)), self.path, [BUCKET])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from constituent360.operators.temporal import latest_per_key
-from constituent360.sources.writers import VersionedTable
+from constituent360.sources.writers import BUCKET, KeyedTable
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, pattern: str | None = None, files_per_batch: int = 100) -> DataFrame:
@@ -33,61 +34,44 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Keep a table at the latest row per key. A batch becomes one version of the table, and a batch
-    that is replayed after a failure finds its version published and does nothing."""
-    keys, order = list(keys), list(order)
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        current = table.version()
-        if current is not None and current >= batch_id:
-            return
-        base = table.read()
-        fresh = latest_per_key(batch, keys, order)
-        if base is None:
-            merged = fresh
-        else:
-            # a late row must not replace a newer one: the kept row is the later of the two
-            touched = base.join(fresh.select(*keys), keys, "left_semi")
-            merged = base.join(fresh.select(*keys), keys, "left_anti").unionByName(
-                latest_per_key(touched.unionByName(fresh), keys, order)
-            )
-        table.commit(merged, batch_id)
-
+def _start(stream: DataFrame, apply, checkpoint: str, mode: str = "append") -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        stream.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
 
-def metric_refresh(stream: DataFrame, ts: str, value: str, by: Sequence[str], window: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Count and sum per time window and label; rows later than the watermark are dropped."""
+def upsert_stream(stream: DataFrame, table: KeyedTable, order: Sequence[str], checkpoint: str) -> StreamingQuery:
+    """Keep a table at the latest row per key. A late row does not replace a newer one: the later of the two stays.
+    A batch that is applied twice, or again under a new checkpoint, changes nothing."""
+
+    def latest(old: DataFrame, new: DataFrame) -> DataFrame:
+        return latest_per_key(old.unionByName(new), [BUCKET, *table.keys], list(order)).select(new.columns)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(latest_per_key(batch, table.keys, list(order)), latest)
+
+    return _start(stream, apply, checkpoint)
+
+
+def metric_refresh(
+    stream: DataFrame, ts: str, value: str, by: Sequence[str], window: str = "1 hour", late: str | None = None
+) -> DataFrame:
+    """Count and sum per time window and label. With ``late``, windows are closed that long after the latest time seen and
+    rows for them are dropped: for live feeds. Without it nothing is dropped, as history in any order needs."""
+    rows = stream if late is None else stream.withWatermark(ts, late)
     return (
-        stream.withWatermark(ts, late)
-        .groupBy(F.window(ts, window).alias("w"), *by)
+        rows.groupBy(F.window(ts, window).alias("w"), *by)
         .agg(F.count("*").alias("n"), F.sum(value).alias("total"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n", "total")
     )
 
 
-def refresh_table(metric: DataFrame, table: VersionedTable, keys: Sequence[str], checkpoint: str) -> StreamingQuery:
+def refresh_table(metric: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
     """Write the changed windows of each batch into the table."""
-    keys = list(keys)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        try:
-            if not rows.isEmpty():
-                publish(rows, batch_id)
-        finally:
-            rows.unpersist()
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        base = table.read()
-        kept = None if base is None else base.join(batch.select(*keys), keys, "left_anti")
-        table.commit(batch if kept is None else kept.unionByName(batch), batch_id)
+    def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [old[k].eqNullSafe(new[k]) for k in [BUCKET, *table.keys]])
+        return old.join(new, same, "left_anti").unionByName(new)
 
-    return (
-        metric.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    return _start(metric, lambda batch, batch_id: table.upsert(batch, replaced), checkpoint, "update")

@@ -92,6 +92,15 @@ def test_stratified_split(spark):
     assert train.count() + valid.count() == 1000 and train.join(valid, "id").count() == 0
 
 
+def test_split_keeps_null_classes(spark):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 5 > 0, (F.col("id") % 5 == 1).cast("int")).alias("y"))
+    train, valid = L.split(df, "id", 0.8, "y")
+    assert train.count() + valid.count() == 1000 and train.where("y is null").count() == 160
+    assert train.columns == valid.columns == ["id", "y"]
+    empty = L.split(df.limit(0), "id", 0.8)
+    assert empty[0].isEmpty() and empty[1].isEmpty()
+
+
 def test_third_failure_across_years(spark):
     rows = [("a", dt.date(2023, 12, d), i, f) for i, (d, f) in enumerate([(1, True), (15, True)])] + [("a", dt.date(2024, 1, 1), 9, True), ("b", dt.date(2024, 1, 1), 1, True), ("b", dt.date(2024, 1, 1), 2, False)]
     df = spark.createDataFrame(rows, "constituent_id string, payment_date date, payment_id int, failed boolean")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from constituent360.operators import lineage as N
 from constituent360.operators import temporal as H
-from constituent360.sources.writers import VersionedTable
+from constituent360.sources.writers import KeyedTable
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)
 
@@ -54,13 +54,17 @@ def test_restricted_view(spark):
     assert out.columns == ["id", "secret"] and len(out.first()["secret"]) == 64 and out.count() == 1
 
 
-def test_versioned_table(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+def test_upsert_into_a_table(spark, tmp_path):
+    source = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("a", 3, "z"), ("c", 4, "w")], "id string, m int, v string")
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], 4)
     assert table.read() is None
-    table.commit(spark.range(3), 0)
-    table.commit(spark.range(5), 1)
-    table.commit(spark.range(9), 1)
-    assert table.version() == 1 and table.read().count() == 5 and table.read(0).count() == 3
+    H.upsert_into(table, source, "m", None, 2)
+    assert {tuple(r) for r in table.read().collect()} == {("a", 1, "x"), ("b", 2, "y")}
+    for _ in range(2):  # a second run of an interval changes nothing
+        H.upsert_into(table, source, "m", 2, 9)
+        assert {tuple(r) for r in table.read().collect()} == {("a", 3, "z"), ("b", 2, "y"), ("c", 4, "w")}
+    H.upsert_into(table, source, "m", 9, 10)
+    assert table.read().count() == 3
 
 
 EDGES = [("b", "a"), ("c", "b"), ("a", "c"), ("d", "c"), ("e", "d"), ("d", "e"), ("f", "e"), ("g", "g"), ("h", "f")]
