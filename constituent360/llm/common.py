@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from constituent360.session import scratch
 
@@ -40,3 +41,20 @@ def ascii_lower(column):
 
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def few_of_each(rows: DataFrame, by: str, most: int, margin: int = 4) -> DataFrame:
+    """The ``most`` rows of each value of ``by`` with the least hashes of doc_id (ties by id).
+
+    The number of rows of each value comes first (one row per value, to the driver); it gives a bound on the hash that
+    about ``margin`` times as many rows pass, so that only these are sorted, however many rows there are.
+    """
+    steps = 1 << 31
+    ticket = F.pmod(F.xxhash64("doc_id"), F.lit(steps))
+    counts = rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return rows.limit(0)
+    bounds = F.create_map(*[F.lit(x) for r in counts for x in (r[by], min(steps, steps * margin * most // r["n"] + 1))])
+    order = Window.partitionBy(by).orderBy("_ticket", "doc_id")
+    low = rows.where(F.col(by).isNotNull()).withColumn("_ticket", ticket).where(F.col("_ticket") < F.element_at(bounds, F.col(by)))
+    return low.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most).drop("_ticket", "_nth")

@@ -26,7 +26,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from constituent360.llm.common import few_of_each
 
 WINDOW, STRIDE, LEVEL = 128, 112, 9
 CUT = 0.3
@@ -39,20 +40,20 @@ WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = 900, passage: int = 4000) -> tuple[list, dict]:
     """(toxic, passage) of the sample, and the number of labelled documents by class."""
-    known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_of")).agg(F.max("toxic").alias("_toxic"))
-    rows = docs.select("doc_id", "text").where(F.col("text") != "").join(known, F.col("doc_id") == F.col("_of"))
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # the labels are picked before any text is read: at most per_class rows a class, safe to send to every task
+    picked = few_of_each(known, "toxic", per_class).select(F.col("doc_id").alias("_of"), F.col("toxic").alias("_toxic"))
     at = F.xxhash64("doc_id")
     start = F.pmod(at, F.greatest(F.char_length("text") - passage, F.lit(1))).cast("int") + 1
-    picked = (
-        rows.select("doc_id", "_toxic", at.alias("_at"), F.substring(F.col("text"), start, F.lit(passage)).alias("passage"))
-        .withColumn("_nth", F.row_number().over(Window.partitionBy("_toxic").orderBy("_at", "doc_id")))
-        .where(F.col("_nth") <= per_class)
-        .orderBy("_toxic", "_nth")
-        .select("_toxic", "passage")
+    rows = (
+        docs.select("doc_id", "text").where(F.col("text") != "")
+        .join(F.broadcast(picked), F.col("doc_id") == F.col("_of"))
+        .select("_toxic", at.alias("_at"), "doc_id", F.substring(F.col("text"), start, F.lit(passage)).alias("passage"))
+        .orderBy("_toxic", "_at", "doc_id", "passage")
         .collect()
     )
-    totals = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [(r["_toxic"], r["passage"]) for r in picked], totals
+    return [(r["_toxic"], r["passage"]) for r in rows], totals
 
 
 def lowered(text: str | None) -> bytes:
