@@ -26,7 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from constituent360.llm.common import few_of_each
 
 BLOCK = 256
 #: Characters that one step of the parser works on at most, unless one text is longer.
@@ -38,15 +39,11 @@ TEMPER = 16.0
 
 def labelled_sample(docs: DataFrame, per_language: int = 400, passage: int = 250) -> dict[str, list[str]]:
     """Passages by language; ``docs`` holds the rows one may learn from."""
-    order = Window.partitionBy("lang").orderBy("_at", "doc_id")
-    start = F.pmod(F.col("_at"), F.greatest(F.char_length("text") - passage, F.lit(1))).cast("int") + 1
+    at = F.pmod(F.xxhash64("doc_id"), F.greatest(F.char_length("text") - passage, F.lit(1))).cast("int") + 1
+    known = docs.where(F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")))
     rows = (
-        docs.where(F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")))
-        .withColumn("_at", F.xxhash64("doc_id"))
-        .withColumn("_nth", F.row_number().over(order))
-        .where(F.col("_nth") <= per_language)
-        .select("lang", "_nth", F.substring(F.col("text"), start, F.lit(passage)).alias("passage"))
-        .orderBy("lang", "_nth")
+        few_of_each(known.select("doc_id", "lang", F.substring(F.col("text"), at, F.lit(passage)).alias("passage")), "lang", per_language)
+        .orderBy("lang", F.xxhash64("doc_id"), "doc_id", "passage")
         .collect()
     )
     sample = defaultdict(list)
