@@ -18,12 +18,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Has Spark remove the shuffle files of a job when it ends, not when the driver next collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as Parquet to the shared folder and read them back, so that later jobs neither
-    recompute them nor depend on an executor that may be lost."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    recompute them nor depend on an executor that may be lost. The shuffle files behind them go at once."""
+    spark = df.sparkSession
+    path, before = scratch(spark, name), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

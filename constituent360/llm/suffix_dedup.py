@@ -4,7 +4,7 @@ A byte goes if it lies in a string of ``length`` bytes that also starts earlier:
 further up in the same document. Suffix arrays decide this, but not one over everything: strings that are equal have to
 meet in one task, and nothing else has to.
 
-1.  Every string of ``length`` bytes has an anchor, the substring of 2/5 of its length with the least hash. Strings that start
+1.  Every string of ``length`` bytes has an anchor, the substring of a third of its length with the least hash. Strings that start
     side by side and share the anchor form a run. Runs whose anchor occurs once have no equals and are
     left. Of equal runs all but the first are repeats as a whole. What remains are different runs around equal anchors.
 2.  Their bytes are read again and cut into runs with longer anchors (9/10 of the length), with the same two rules. A run is now
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from constituent360.llm.common import stored, tasks
+from constituent360.llm.common import discard, stored, tasks
 from constituent360.llm.lyndon import suffix_array
 
 LENGTH = 100
@@ -155,12 +155,12 @@ def all_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 row = np.array(rows)[runs.owner]
                 doc = ids[row]
                 at = _place(prints[row], runs.start + np.array(offsets)[runs.owner], runs.count)
-                order = np.lexsort((at, doc, runs.c, runs.h))
-                h, c, doc, at = runs.h[order].view(np.int64), runs.c[order].view(np.int64), doc[order], at[order]
-                again = np.zeros(len(h), bool)
-                again[1:] = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-                same = np.zeros(len(h), bool)  # rows that are equal in all are one document
-                same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])
+                h, c = runs.h.view(np.int64), runs.c.view(np.int64)
+                order = np.lexsort((at, doc, c, h))
+                alike = lambda x: x[order][1:] == x[order][:-1]
+                again, same = np.zeros(len(h), bool), np.zeros(len(h), bool)
+                again[order[1:]] = alike(h) & alike(c)
+                same[order[1:]] = alike(h) & alike(c) & alike(doc) & alike(at)  # rows that are equal in all are one document
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[~same], mask=m) for x, m in ((h, again[~same]), (c, None), (doc, None), (at, None))],
                     names=["h", "c", "doc", "at"],
@@ -326,13 +326,15 @@ def _repeats_by_string(rows: DataFrame, length: int, anchor: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, at of everything repeated: at holds the text's hash, the offset and the number of strings that start from there."""
-    short, long = max(1, length * 2 // 5), max(1, length * 9 // 10)
+    short, long = max(1, length // 3), max(1, length * 9 // 10)
     runs = stored(all_runs(docs, length, short), "runs")
     counts = runs.where(F.col("h").isNotNull()).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     again = stored(counts.where(F.col("n") > 1).select("h"), "repeated-anchors")
     kept = stored(runs.join(again, "h"), "repeated-runs")
+    found = [stored(runs.where(F.col("h").isNull()).select("doc", "at"), "repeated-in-batch")]
+    discard(runs)
     firsts = stored(_collapsed(kept), "different-runs")
-    found = [runs.where(F.col("h").isNull()).select("doc", "at"), _later(kept, firsts)]
+    found.append(_later(kept, firsts))
     open_ = firsts.join(_shared(firsts, "shared-anchors").select("h"), "h")
     pieces = stored(_short_runs(docs, open_, length, long), "short-runs")
     firsts = stored(_collapsed(pieces, "left", "right"), "different-short-runs")
