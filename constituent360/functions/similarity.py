@@ -103,6 +103,15 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return jaro_winkler_batch(left, right)
 
 
+@F.pandas_udf(DoubleType())
+def _computed_once(left: pd.Series, right: pd.Series) -> pd.Series:
+    return jaro_winkler_batch(left, right)
+
+
+# the same for columns that are filtered on and kept: a filter pushed below it would compute it a second time
+jaro_winkler_once = _computed_once.asNondeterministic()
+
+
 def char_mask(c: Column) -> Column:
     """One bit per distinct character (code modulo 64)."""
     return F.aggregate(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from constituent360.functions import text as T
-from constituent360.functions.similarity import char_mask, inverse_length, jaro_winkler, score_ceiling
+from constituent360.functions.similarity import char_mask, inverse_length, jaro_winkler, jaro_winkler_once, score_ceiling
 from constituent360.session import cut_lineage
 
 EMAIL, PHONE, AUTO, REVIEW, NONE = (
@@ -175,7 +175,7 @@ def domain_similarity(a: Column, b: Column) -> Column:
 
 def text_similarity(a: Column, b: Column) -> Column:
     """Jaro-Winkler, 0 when either side is empty."""
-    return F.when((a != "") & (b != ""), jaro_winkler(a, b)).otherwise(0.0)
+    return F.when((a != "") & (b != ""), jaro_winkler_once(a, b)).otherwise(0.0)
 
 
 def name_similarity(first: Column, last: Column) -> Column:
@@ -288,6 +288,79 @@ def block_pairs(
     return a.join(b, on & once & keep)
 
 
+# equality on the left implies equality on the right
+IMPLIED = {"phone": "phone_block", "zip_code": "zip3"}
+
+
+def spare_score(family: Family, cfg: MatchConfig, threshold: float) -> float:
+    """What name and address of a family's pairs can lose together and still reach the threshold."""
+    best = -1.0
+    for p, pc in PHONE_LEVELS:
+        for d, dc in DOMAIN_LEVELS:
+            for z, zc in ZIP_LEVELS:
+                shared = {c for c in (pc, dc, zc) if c}
+                shared |= {IMPLIED[c] for c in shared if c in IMPLIED}
+                if set(family.equal) <= shared | set(NAMED) and not any(set(u) <= shared for u in family.unless):
+                    best = max(best, cfg.score(1.0, 1.0, p, d, z) - threshold)
+    return best
+
+
+def similar_names(p: DataFrame, least: float, tile_rows: int) -> DataFrame:
+    """(last_part, near): pairs of different last names, in order, with at least that similarity, and every name with
+    itself. It compares distinct names, of which there are far fewer than rows, in tiles of bounded size."""
+    names = p.where(F.col("last_part") != "").groupBy("last_part").agg(
+        *[F.first(f"{c}_last_part").alias(f"{c}_last_part") for c in ("len", "inv", "mask")]
+    )
+    names = cut_lineage(names)
+    ceiling = score_ceiling(*[c for k in ("len", "inv", "mask") for c in _ab(f"{k}_last_part")])
+    pairs = block_pairs(
+        names.withColumn("_every", F.lit(1)), ["_every"], ceiling >= least - 1e-9, tile_rows, key="last_part"
+    ).select(F.least(*_ab("last_part")).alias("last_part"), F.greatest(*_ab("last_part")).alias("near"))
+    similar = pairs.where(jaro_winkler(F.col("last_part"), F.col("near")) >= least - 1e-9)
+    return cut_lineage(similar.unionByName(names.select("last_part", F.col("last_part").alias("near"))))
+
+
+def tiled(a: DataFrame, b: DataFrame, on: Sequence[str], key_a: Sequence[str], key_b: Sequence[str], tile_rows: int):
+    """Both sides of a join on ``on`` with tile numbers _ta and _tb to join on as well: a hot key's rows are dealt into tiles on
+    either side, and every pair of tiles is a key of its own."""
+    on = list(on)
+    count = lambda df, name: df.groupBy(*on).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias(name))
+    sizes = cut_lineage(count(a, "_na").join(count(b, "_nb"), on))
+    tile = lambda key, n: F.pmod(F.xxhash64(*key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = a.join(sizes, on).withColumn("_ta", tile(key_a, "_na")).withColumn("_tb", every("_nb")).drop("_na", "_nb")
+    right = b.join(sizes, on).withColumn("_tb", tile(key_b, "_nb")).withColumn("_ta", every("_na")).drop("_na", "_nb")
+    return left, right
+
+
+def near_pairs(
+    p: DataFrame, equal: Sequence[str], near: DataFrame, keep, tile_rows: int, filled: Sequence[str], new_only: bool = False
+) -> list[DataFrame]:
+    """Pairs (a, b) of rows that share the ``equal`` columns, have similar last names and pass ``keep``, each pair once.
+    Rows that lack one of ``filled`` can't reach the threshold and are left out."""
+    present = p
+    for c in equal:
+        present = present.where(F.col(c).isNotNull())
+    for c in filled:
+        present = present.where(F.col(c) != "")
+    on = [*equal, "near"]
+    own = present.join(near, "last_part")
+    there = present.withColumn("near", F.col("last_part"))
+    sides = [(own, there)]
+    if new_only:  # new rows against all, and old rows against new ones
+        sides = [(own.where("is_new"), there), (own.where("not is_new"), there.where("is_new"))]
+    out = []
+    for left, right in sides:
+        a, b = tiled(left, right, on, ["profile"], ["profile"], tile_rows)
+        a, b = a.alias("a"), b.alias("b")
+        same = (F.col("a._ta") == F.col("b._ta")) & (F.col("a._tb") == F.col("b._tb"))
+        for c in on:
+            same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+        once = (F.col("a.last_part") < F.col("b.last_part")) | (F.col("a.profile") < F.col("b.profile"))
+        out.append(a.join(b, same & once & keep))
+    return out
+
+
 def _ab(name: str) -> tuple[Column, Column]:
     return F.col(f"a.{name}"), F.col(f"b.{name}")
 
@@ -311,8 +384,16 @@ def candidate_pairs(p: DataFrame, cfg: MatchConfig, threshold: float, new_only:
     if new_only:
         keep = keep & (F.col("a.is_new") | F.col("b.is_new"))
 
+    families = reachable(cfg, threshold)
+    # how far name and address have to agree where little else does
+    by_name = cfg.score(1.0, 0.0, 0.0, 0.0, 0.0)
+    lost = {f: spare_score(f, cfg, threshold) for f in families}
+    last = {f: 1 - lost[f] / (by_name * 0.6) for f in families}
+    wide = [f for f in families if "phone_block" not in f.equal and "last_part" not in f.equal and last[f] > 0]
+    near = similar_names(p, min(last[f] for f in wide), cfg.tile_rows) if wide else None
+
     out = None
-    for family in reachable(cfg, threshold):
+    for family in families:
         fresh = F.lit(True)
         for columns in family.unless:
             covered = F.lit(True)
@@ -321,11 +402,18 @@ def candidate_pairs(p: DataFrame, cfg: MatchConfig, threshold: float, new_only:
             fresh = fresh & ~covered
         # equal e-mails and equal phones are matches already
         apart = "full_phone" if "phone_block" in family.equal else "personal_email"
-        pairs = block_pairs(p, family.equal, keep & fresh, cfg.tile_rows, apart=apart).select(
-            *[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ("profile", "copies", "first_part", "last_part", "address")],
-            phone.alias("phone_score"), domain.alias("domain_score"), zip_code.alias("zip_score"),
-        )
-        out = pairs if out is None else out.unionByName(pairs)
+        if family in wide:
+            needed = {"first_part": by_name * 0.4, "address": cfg.score(0.0, 1.0, 0.0, 0.0, 0.0)}
+            filled = ["last_part", *(c for c, weight in needed.items() if lost[family] < weight - 1e-9)]
+            found = near_pairs(p, family.equal, near, keep & fresh, cfg.tile_rows, filled, new_only)
+        else:
+            found = [block_pairs(p, family.equal, keep & fresh, cfg.tile_rows, apart=apart)]
+        for joined in found:
+            pairs = joined.select(
+                *[F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ("profile", "copies", "first_part", "last_part", "address")],
+                phone.alias("phone_score"), domain.alias("domain_score"), zip_code.alias("zip_score"),
+            )
+            out = pairs if out is None else out.unionByName(pairs)
     return out
 
 
@@ -416,18 +504,20 @@ def block_key(last: Column, zip_code: Column) -> Column:
 
 
 def fuzzy_join(
-    left: DataFrame, right: DataFrame, block: Sequence[str], left_text: str, right_text: str, threshold: float
+    left: DataFrame, right: DataFrame, block: Sequence[str], left_text: str, right_text: str, threshold: float,
+    tile_rows: int = 4096,
 ) -> DataFrame:
-    """Rows of two tables that share the block columns and whose texts are similar. The JVM-side ceiling
+    """Rows of two tables that share the block columns and whose texts are similar; a hot block is dealt into tiles. The JVM-side ceiling
     inside the join drops hopeless pairs; only the rest reaches the similarity function."""
-    def side(df, column, alias):
+    def side(df, column):
         c = F.col(column)
-        return df.withColumns({"_len": F.length(c), "_inv": inverse_length(c), "_mask": char_mask(c)}).alias(alias)
+        return df.withColumns({"_len": F.length(c), "_inv": inverse_length(c), "_mask": char_mask(c)})
 
-    a, b = side(left, left_text, "l"), side(right, right_text, "r")
+    a, b = tiled(side(left, left_text), side(right, right_text), block, left.columns, right.columns, tile_rows)
+    a, b = a.alias("l"), b.alias("r")
     bound = score_ceiling(*[F.col(f"{s}.{c}") for c in ("_len", "_inv", "_mask") for s in "lr"])
     on = bound >= threshold - 1e-9
-    for c in block:
+    for c in [*block, "_ta", "_tb"]:
         on = on & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     similarity = text_similarity(F.col(f"l.{left_text}"), F.col(f"r.{right_text}"))
     keep = [F.col(f"l.{c}") for c in left.columns] + [

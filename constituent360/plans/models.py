@@ -13,12 +13,11 @@ from constituent360.operators import recommend as R
 from constituent360.operators import golden as G
 from constituent360.plans.golden import EVENT_SHIFT
 from constituent360.plans.registry import query
-from constituent360.session import scratch
+from constituent360.plans.sql_domain import AS_OF
+from constituent360.session import cut_lineage, scratch
 from constituent360.sources import tpch
 
 CUTOFF = dt.date(2001, 3, 1)
-# fewer and shallower trees than the defaults, so that a local run takes seconds
-SMALL = L.TreeParams(trees=10, depth=4)
 
 
 def scored(spark, sf_dir):
@@ -254,35 +253,81 @@ def training_rows(spark, sf_dir):
     })
 
 
+_FITTED: dict[tuple, tuple] = {}
+
+
+def fitted(spark, sf_dir, kind):
+    """(model or models, metrics, training rows) of a session and input, fitted once for all queries that read them."""
+    key = spark.sparkContext.applicationId, sf_dir, kind
+    if key not in _FITTED:
+        rows = cut_lineage(training_rows(spark, sf_dir))
+        train = (lambda: L.train_churn(rows, "churned", CUTOFF)) if kind == "churn" else (lambda: L.train_upgrade(rows, CUTOFF))
+        model, metrics = train()
+        _FITTED[key] = model, cut_lineage(metrics), rows
+    return _FITTED[key]
+
+
 @query("churn_model_metrics")
 def _(spark, sf_dir):
-    return L.train_churn(training_rows(spark, sf_dir), "churned", CUTOFF, SMALL)[1]
+    return fitted(spark, sf_dir, "churn")[1]
 
 
-@query("churn_model_predictions")
-def _(spark, sf_dir):
+def churn_predictions(spark, sf_dir):
     """Train, save, load and predict."""
-    rows = training_rows(spark, sf_dir)
-    model, _metrics = L.train_churn(rows, "churned", CUTOFF, SMALL)
+    model, _metrics, rows = fitted(spark, sf_dir, "churn")
     path = scratch(spark, "churn-model")
     L.save_model(model, path)
     return L.predict_churn(L.load_model(path), rows, CUTOFF)
 
 
+@query("churn_model_predictions")
+def _(spark, sf_dir):
+    return churn_predictions(spark, sf_dir)
+
+
+@query("churn_model_checks", f"""WITH {LABELS} SELECT constituent_id, true AS in_range, true AS tier_fits, DATE '{CUTOFF}' AS prediction_date FROM labels_of
+  WHERE constituent_id IN (SELECT constituent_id FROM constituents)""", ("donations", "status_changes", "constituents"))
+def _(spark, sf_dir):
+    """Every labelled constituent has one score in [0, 1], and the tier that belongs to it."""
+    score = F.col("churn_score")
+    tier = F.when(score >= 0.85, "critical").when(score >= 0.6, "high").when(score >= 0.3, "medium").otherwise("low")
+    return churn_predictions(spark, sf_dir).select(
+        "constituent_id", score.between(0, 1).alias("in_range"), (F.col("churn_tier") == tier).alias("tier_fits"), "prediction_date"
+    )
+
+
 @query("churn_model_importance")
 def _(spark, sf_dir):
-    return L.feature_importance(L.train_churn(training_rows(spark, sf_dir), "churned", CUTOFF, SMALL)[0], X.CHURN_FEATURES)
+    return L.feature_importance(fitted(spark, sf_dir, "churn")[0], X.CHURN_FEATURES)
+
+
+@query("churn_model_importance_checks", "SELECT CAST(count(*) AS BIGINT) AS features, true AS sums_to_one FROM range(10)")
+def _(spark, sf_dir):
+    found = L.feature_importance(fitted(spark, sf_dir, "churn")[0], X.CHURN_FEATURES)
+    return found.agg(F.count("*").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"))
 
 
 @query("upgrade_model_metrics")
 def _(spark, sf_dir):
-    return L.train_upgrade(training_rows(spark, sf_dir), CUTOFF, params=SMALL)[1]
+    return fitted(spark, sf_dir, "upgrade")[1]
+
+
+def upgrade_predictions(spark, sf_dir):
+    models, _metrics, rows = fitted(spark, sf_dir, "upgrade")
+    return L.predict_upgrade(models, rows, CUTOFF)
 
 
 @query("upgrade_model_predictions")
 def _(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    return L.predict_upgrade(L.train_upgrade(rows, CUTOFF, params=SMALL)[0], rows, CUTOFF)
+    return upgrade_predictions(spark, sf_dir)
+
+
+@query("upgrade_model_checks", f"""WITH {LABELS} SELECT constituent_id, true AS in_range FROM labels_of
+  WHERE constituent_id IN (SELECT constituent_id FROM constituents)""", ("donations", "status_changes", "constituents"))
+def _(spark, sf_dir):
+    """Every labelled constituent has a score in [0, 1] for every target."""
+    scores = [F.col(f"{t}_score").between(0, 1) for t in L.UPGRADE_TARGETS]
+    return upgrade_predictions(spark, sf_dir).select("constituent_id", (scores[0] & scores[1] & scores[2]).alias("in_range"))
 
 
 def model_features(spark, sf_dir):
@@ -292,8 +337,9 @@ def model_features(spark, sf_dir):
 
 @query("model_comparison")
 def _(spark, sf_dir):
+    """Fifteen fits; the trees are few and flat, since only their order against each other is asked for."""
     params = L.TreeParams(trees=5, depth=3)
-    return L.compare_models(model_features(spark, sf_dir), X.CHURN_FEATURES, "label", "constituent_id", L.classifiers("label", params), 3)
+    return L.compare_models(model_features(spark, sf_dir), X.CHURN_FEATURES, "label", "constituent_id", L.classifiers("label", params))
 
 
 @query("model_calibration")
@@ -301,24 +347,43 @@ def _(spark, sf_dir):
     return L.calibrate(scored(spark, sf_dir), "score", "label")[1].select("prediction_id", "score", "calibrated")
 
 
+@query("donor_segment_sizes", """SELECT true AS five_or_fewer, CAST(count(DISTINCT constituent_id) AS BIGINT) AS donors FROM donations
+  WHERE donation_status = 'completed' AND donation_date <= """ + AS_OF, ("donations",))
+def _(spark, sf_dir):
+    """The segments of all donors add up to the donors."""
+    s = X.rfm_summary(tpch.donations(spark, sf_dir), tpch.AS_OF)
+    found = L.segment_kmeans(s.withColumn("age", F.col("T")), ["frequency", "recency", "age", "monetary_value"])
+    return found.groupBy("segment").agg(F.count("*").alias("n")).agg((F.count("*") <= 5).alias("five_or_fewer"), F.sum("n").alias("donors"))
+
+
+@query("survival_model_rows", """SELECT DISTINCT constituent_id, true AS positive FROM donations WHERE donation_status = 'completed' AND donation_date <= """ + AS_OF, ("donations",))
+def _(spark, sf_dir):
+    """Every donor has a positive expected time."""
+    return survival(spark, sf_dir).select("constituent_id", (F.col("expected_duration") > 0).alias("positive"))
+
+
 @query("donor_segments")
 def _(spark, sf_dir):
     s = X.rfm_summary(tpch.donations(spark, sf_dir), tpch.AS_OF)
     return L.segment_kmeans(s.withColumn("age", F.col("T")), ["frequency", "recency", "age", "monetary_value"]).groupBy("segment").agg(F.count("*").alias("n"))
 
 
-@query("survival_model")
-def _(spark, sf_dir):
+def survival(spark, sf_dir):
     """Who has been silent for thirteen months was lost with the last gift; all others are observed until today."""
     s = X.rfm_summary(tpch.donations(spark, sf_dir), tpch.AS_OF).withColumn("churned", (F.col("T") - F.col("recency") > 395).cast("int"))
     s = s.withColumn("observed", F.when(F.col("churned") == 1, F.col("recency")).otherwise(F.col("T")))
     return L.survival_fit(s, ["frequency", "monetary_value"], "observed", "churned")[1].select("constituent_id", "expected_duration")
 
 
+@query("survival_model")
+def _(spark, sf_dir):
+    return survival(spark, sf_dir)
+
+
 @query("uplift_scores")
 def _(spark, sf_dir):
     rows = model_features(spark, sf_dir).withColumn("contacted", F.pmod(F.xxhash64("constituent_id"), F.lit(2)))
-    return L.uplift_scores(rows, X.CHURN_FEATURES, "contacted", "label", SMALL).select("constituent_id", "uplift")
+    return L.uplift_scores(rows, "constituent_id", X.CHURN_FEATURES, "contacted", "label").select("constituent_id", "uplift")
 
 
 @query("class_weights", f"""WITH {LABELS}, p AS (SELECT avg(churned) AS p FROM labels_of) SELECT churned, count(*) AS n, round(CASE WHEN churned = 1 THEN (1 - max(p)) / max(p) ELSE 1 END, 9) AS weight FROM labels_of, p GROUP BY 1""", ("donations", "status_changes"))
