@@ -262,3 +262,44 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
         row = df.agg(F.count("*").alias("records")).select(F.lit(name).alias("stage"), "records")
         out = row if out is None else out.unionByName(row)
     return out.unionByName(out.agg(F.lit("total").alias("stage"), F.sum("records").alias("records")))
+
+
+def golden_of_records(
+    people: DataFrame, gifts: DataFrame, subscriptions: DataFrame, as_of, major_gift: float = 1000.0, active_days: int = 90
+) -> DataFrame:
+    """The wide golden record of unified people: contact fields and their quality, giving, recurring gifts, subscription,
+    first and last engagement, and stage. Facts come with the constituent that their source record is linked to; facts
+    without one belong to nobody and are left to the caller. Each fact table is aggregated once."""
+    from constituent360.operators.quality import quality_flags
+
+    done = F.col("donation_status") == "completed"
+    regular = done & (F.col("donation_type") == "recurring")
+    date, amount = F.col("donation_date"), F.col("donation_amount")
+    n = count_if(done)
+    giving = gifts.where(F.col("constituent_id").isNotNull()).groupBy("constituent_id").agg(
+        F.sum(F.when(done, amount)).cast("decimal(18,2)").alias("total_lifetime_giving"), n.alias("total_gift_count"),
+        F.max(F.when(done, amount)).alias("largest_single_gift"),
+        safe_div(F.sum(F.when(done, amount)).cast("double"), n).alias("average_gift_amount"),
+        F.min(F.when(done, date)).alias("first_donation_date"), F.max(F.when(done, date)).alias("last_donation_date"),
+        F.coalesce(F.bool_or(regular), F.lit(False)).alias("is_sustainer"),
+        F.min(F.when(regular, date)).alias("sustainer_start_date"),
+        F.max(F.when(regular, date)).alias("last_successful_payment_date"),
+        F.min_by("campaign_code", F.when(done, F.struct(date, F.col("donation_id")))).alias("acquisition_campaign"),
+    )
+    subscribed = latest_subscription(subscriptions.where(F.col("constituent_id").isNotNull()))
+    wide = people.join(giving, "constituent_id", "left").join(subscribed, "constituent_id", "left")
+    wide = quality_flags(wide, "canonical_email", "canonical_phone", "canonical_address_line1")
+    paid = F.col("last_successful_payment_date") >= days_ago(as_of, active_days)
+    first = F.least("first_donation_date", "subscription_start_date")
+    wide = wide.withColumns(
+        {
+            "canonical_full_name": full_name(F.col("canonical_first_name"), F.col("canonical_last_name")),
+            "total_lifetime_giving": F.coalesce("total_lifetime_giving", F.lit(0).cast("decimal(18,2)")),
+            "total_gift_count": F.coalesce("total_gift_count", F.lit(0)),
+            "is_sustainer": F.coalesce("is_sustainer", F.lit(False)),
+            "is_subscriber": F.coalesce("is_subscriber", F.lit(False)),
+            "recurring_status": F.when(F.col("is_sustainer"), F.when(paid, "active").otherwise("failed")),
+            "acquisition_date": first,
+        }
+    )
+    return wide.withColumn("lifecycle_stage", lifecycle_stage(as_of, major_gift))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from constituent360.functions import text as T
+from constituent360.operators import golden as G
 from constituent360.operators import identity as I
 from constituent360.operators import matching as M
 from constituent360.plans.registry import query
+from constituent360.plans.sql_domain import AS_OF
 from constituent360.session import cut_lineage
 from constituent360.sources import tpch
 
@@ -226,3 +228,69 @@ def _(spark, sf_dir):
     ).unionByName(c.where(k % 10 == 2).select(name("donations:D", k).alias("key_a"), name("donations:D", k - 1).alias("key_b"), F.lit("match").alias("action")))
     r = records(spark, sf_dir)
     return I.apply_overrides(M.star_edges(r, M.email_groups(r), "personal_email"), overrides)
+
+
+# ---- source records -> constituents -> facts -> golden record, as one job
+
+LINKED = """linked AS (SELECT source_system, source_id, 'UC-' || sha256(cluster)[1:16] AS cid FROM records JOIN clusters USING (record_key)),
+gifts AS (SELECT l.cid, d.* FROM donations d LEFT JOIN linked l ON l.source_system = 'donations' AND l.source_id = 'D' || d.constituent_id),
+subs AS (SELECT l.cid, s.* FROM subscriptions s LEFT JOIN linked l ON l.source_system = 'subscriptions' AND l.source_id = 'S' || s.constituent_id)"""
+
+
+def facts_of(facts, system: str, letter: str, links):
+    """Facts whose owner is a record of a source system, with the constituent of that record (null if there is none)."""
+    keyed = facts.withColumn("source_system", F.lit(system)).withColumn("source_record_id", F.concat(F.lit(letter), "constituent_id"))
+    return G.attach_constituents(keyed.drop("constituent_id"), links)
+
+
+def linked_facts(spark, sf_dir):
+    u = unified(spark, sf_dir)
+    links = cut_lineage(u.links.select("source_system", "source_record_id", "constituent_id"))
+    gifts = facts_of(tpch.donations(spark, sf_dir), "donations", "D", links)
+    subscribed = facts_of(tpch.subscriptions(spark, sf_dir), "subscriptions", "S", links)
+    mails = facts_of(tpch.email_engagement(spark, sf_dir), "mail", "M", links)  # a system without records: nobody's
+    return u, gifts, subscribed, mails
+
+
+@query("pipeline_links", f"""WITH RECURSIVE {CLUSTERS}, {LINKED}
+SELECT 'gift' AS fact, cid AS constituent_id, count(*) AS n FROM gifts GROUP BY 2
+UNION ALL SELECT 'subscription', cid, count(*) FROM subs GROUP BY 2 UNION ALL SELECT 'mail', NULL, count(*) FROM emails""",
+       ("all_pairs", "donations", "subscriptions", "emails"))
+def _(spark, sf_dir):
+    """Every fact is kept, with the constituent that the identity job found for its source record, or none."""
+    _u, *facts = linked_facts(spark, sf_dir)
+    out = None
+    for name, rows in zip(("gift", "subscription", "mail"), facts):
+        part = rows.groupBy("constituent_id").agg(F.count("*").alias("n")).withColumn("fact", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("pipeline_golden", f"""{GOLDEN}, {LINKED},
+g AS (SELECT cid, CAST(sum(donation_amount) FILTER (donation_status = 'completed') AS DECIMAL(18,2)) AS total, count(*) FILTER (donation_status = 'completed') AS n,
+  max(donation_amount) FILTER (donation_status = 'completed') AS largest, min(donation_date) FILTER (donation_status = 'completed') AS first, max(donation_date) FILTER (donation_status = 'completed') AS last,
+  count(*) FILTER (donation_status = 'completed' AND donation_type = 'recurring') > 0 AS regular, min(donation_date) FILTER (donation_status = 'completed' AND donation_type = 'recurring') AS since,
+  max(donation_date) FILTER (donation_status = 'completed' AND donation_type = 'recurring') AS paid,
+  arg_min(campaign_code, {{'d': donation_date, 'i': donation_id}}) FILTER (donation_status = 'completed') AS campaign FROM gifts GROUP BY 1),
+s AS (SELECT cid, subscription_type, subscription_status, start_date FROM subs QUALIFY row_number() OVER (PARTITION BY cid ORDER BY start_date DESC, subscription_id DESC) = 1),
+w AS (SELECT o.*, g.*, s.cid AS sub, subscription_type, subscription_status, start_date FROM golden o LEFT JOIN g ON g.cid = o.constituent_id LEFT JOIN s ON s.cid = o.constituent_id)
+SELECT constituent_id, canonical_email, canonical_phone, canonical_first_name, canonical_last_name, place.a AS canonical_address_line1, record_count, sources AS source_systems,
+  coalesce(total, 0) AS total_lifetime_giving, coalesce(n, 0) AS total_gift_count, largest AS largest_single_gift, CAST(total AS DOUBLE) / nullif(n, 0) AS average_gift_amount,
+  first AS first_donation_date, last AS last_donation_date, coalesce(regular, false) AS is_sustainer, since AS sustainer_start_date, paid AS last_successful_payment_date,
+  CASE WHEN regular THEN CASE WHEN paid >= {AS_OF} - 90 THEN 'active' ELSE 'failed' END END AS recurring_status,
+  sub IS NOT NULL AS is_subscriber, subscription_type, subscription_status, start_date AS subscription_start_date, campaign AS acquisition_campaign,
+  least(first, start_date) AS acquisition_date,
+  CASE WHEN coalesce(n, 0) = 0 THEN 'prospect' WHEN last < CAST({AS_OF} - INTERVAL 12 MONTH AS DATE) THEN 'lapsed' WHEN largest >= 400000 THEN 'major_donor'
+    WHEN regular AND paid >= {AS_OF} - 90 THEN 'sustainer' ELSE 'one_time_donor' END AS lifecycle_stage FROM w""",
+       ("all_pairs", "donations", "subscriptions"))
+def _(spark, sf_dir):
+    """Golden records whose ids and facts come from the identity job."""
+    u, gifts, subscribed, _mails = linked_facts(spark, sf_dir)
+    wide = G.golden_of_records(u.constituents, gifts, subscribed, tpch.AS_OF, 400000)
+    return wide.withColumn("source_systems", F.array_join("source_systems", "+")).select(
+        "constituent_id", "canonical_email", "canonical_phone", "canonical_first_name", "canonical_last_name", "canonical_address_line1",
+        "record_count", "source_systems", "total_lifetime_giving", "total_gift_count", "largest_single_gift", "average_gift_amount",
+        "first_donation_date", "last_donation_date", "is_sustainer", "sustainer_start_date", "last_successful_payment_date",
+        "recurring_status", "is_subscriber", "subscription_type", "subscription_status", "subscription_start_date",
+        "acquisition_campaign", "acquisition_date", "lifecycle_stage",
+    )
