@@ -334,11 +334,14 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = [stored(runs.where(F.col("h").isNull()).select("doc", "at"), "repeated-in-batch")]
     discard(runs)
     firsts = stored(_collapsed(kept), "different-runs")
-    found.append(_later(kept, firsts))
+    found.append(stored(_later(kept, firsts), "later-runs"))
+    discard(kept)
     open_ = firsts.join(_shared(firsts, "shared-anchors").select("h"), "h")
     pieces = stored(_short_runs(docs, open_, length, long), "short-runs")
+    discard(firsts)
     firsts = stored(_collapsed(pieces, "left", "right"), "different-short-runs")
-    found.append(_later(pieces, firsts))
+    found.append(stored(_later(pieces, firsts), "later-short-runs"))
+    discard(pieces)
     shared = _shared(firsts, "shared-long-anchors")
     open_ = stored(firsts.join(shared, "h"), "runs-to-sort")
     found.append(_repeats_by_sorting(open_.where(F.col("runs") <= MOST_RUNS), length, long))
