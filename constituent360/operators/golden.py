@@ -199,14 +199,26 @@ def department_marts(golden: DataFrame) -> dict[str, DataFrame]:
     return {name: golden.select(*[c for c in cols if c in golden.columns]) for name, cols in views.items()}
 
 
-def dim_date(spark: SparkSession, start: dt.date, end: dt.date, fiscal_first_month: int = 7) -> DataFrame:
-    """One row per calendar day with week, month, quarter, year and fiscal attributes."""
+def dim_date(spark: SparkSession, start: dt.date, end: dt.date, fiscal_first_month: int = 7, **named) -> DataFrame:
+    """One row for every calendar day of a range, without holes; see ``calendar``."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date"))
-    return calendar(days, fiscal_first_month)
+    return calendar(days, fiscal_first_month, **named)
 
 
-def calendar(days: DataFrame, fiscal_first_month: int = 7) -> DataFrame:
+def _first_that_holds(cases) -> F.Column:
+    """The name of the first (condition, name) that holds."""
+    return F.coalesce(*[F.when(c, F.lit(name)) for c, name in cases], F.lit(None).cast("string"))
+
+
+def calendar(
+    days: DataFrame, fiscal_first_month: int = 7, drives: tuple[tuple[dt.date, dt.date, str], ...] = (),
+    holidays: tuple[tuple[int, int, str], ...] = (),
+) -> DataFrame:
+    """Week, month, quarter, year and fiscal attributes of each day, the pledge drive (first day, last day, name) that it
+    lies in and the holiday (month, day, name) that it is."""
     d = F.col("full_date")
+    drive = _first_that_holds([(d.between(a, b), name) for a, b, name in drives])
+    holiday = _first_that_holds([((F.month(d) == m) & (F.dayofmonth(d) == n), name) for m, n, name in holidays])
     week_start = F.date_sub(d, F.dayofweek(d) - 1)
     weekend = F.dayofweek(d).isin(1, 7)
     quarter_start = F.trunc(d, "quarter")
@@ -237,6 +249,8 @@ def calendar(days: DataFrame, fiscal_first_month: int = 7) -> DataFrame:
         fiscal_year(d, fiscal_first_month).alias("fiscal_year"),
         fiscal_quarter(d, fiscal_first_month).alias("fiscal_quarter"),
         fiscal_month(d, fiscal_first_month).alias("fiscal_month"),
+        drive.isNotNull().alias("is_pledge_drive"), drive.alias("pledge_drive_name"),
+        holiday.isNotNull().alias("is_holiday"), holiday.alias("holiday_name"),
     )
 
 

@@ -139,11 +139,16 @@ _mart("marketing", "constituent_id, email_open_rate_30d, email_click_rate_30d, s
   day(last_day(d)) AS days_in_month, quarter(d) AS quarter, 'Q' || quarter(d) AS quarter_name, CAST(date_trunc('quarter', d) AS DATE) AS quarter_start_date,
   CAST(date_trunc('quarter', d) + INTERVAL 3 MONTH AS DATE) - 1 AS quarter_end_date, year(d) AS year, CAST(date_trunc('year', d) AS DATE) AS year_start_date,
   CAST(date_trunc('year', d) + INTERVAL 12 MONTH AS DATE) - 1 AS year_end_date, CASE WHEN month(d) >= 7 THEN year(d) + 1 ELSE year(d) END AS fiscal_year,
-  ((month(d) + 5) % 12) // 3 + 1 AS fiscal_quarter, (month(d) + 5) % 12 + 1 AS fiscal_month
-FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)""")
+  ((month(d) + 5) % 12) // 3 + 1 AS fiscal_quarter, (month(d) + 5) % 12 + 1 AS fiscal_month,
+  d BETWEEN DATE '1997-03-10' AND DATE '1997-03-21' AS is_pledge_drive, CASE WHEN d BETWEEN DATE '1997-03-10' AND DATE '1997-03-21' THEN 'spring' END AS pledge_drive_name,
+  strftime(d, '%m-%d') IN ('01-01', '12-25') AS is_holiday, CASE strftime(d, '%m-%d') WHEN '01-01' THEN 'new year' WHEN '12-25' THEN 'christmas' END AS holiday_name
+FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)""")
 def _(spark, sf_dir):
-    days = tpch.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
-    return G.calendar(days)
+    """Every day from the first order to the last."""
+    day = F.col("o_orderdate").cast("date")
+    ends = tpch.table(spark, sf_dir, "orders").agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    drives = ((dt.date(1997, 3, 10), dt.date(1997, 3, 21), "spring"),)
+    return G.dim_date(spark, ends["a"], ends["b"], drives=drives, holidays=((1, 1, "new year"), (12, 25, "christmas")))
 
 
 _CAMPAIGNS = """SELECT campaign_code, min(donation_date) AS start_date, CAST('2001-08-31' AS DATE) AS end_date,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from constituent360.operators import metrics as M
 from constituent360.plans.registry import query
 from constituent360.plans.sql_domain import AS_OF, EVENTS_AS_OF
+from constituent360.session import cut_lineage
 from constituent360.sources import tpch
 
 ACTIVE = f"""SELECT {{label}}count(DISTINCT constituent_id) AS {{name}} FROM constituents c
@@ -113,30 +114,33 @@ def _register(name, dimension, tables, as_of, sql):
         return M.metric(load(spark, sf_dir, *tables), name, as_of, dimension)
 
 
-for _case in _CASES:
-    if _case[0] == "active_member_fiscal":
-        # the fiscal year that began on 2001-07-01
-        _case = (*_case[:4], _case[4].replace(f"CAST({AS_OF} - INTERVAL 1 MONTH AS DATE)", "DATE '2001-07-01'"))
-    _register(*_case)
-
-
+# the fiscal year that began on 2001-07-01
+_CASES = [
+    (*c[:4], c[4].replace(f"CAST({AS_OF} - INTERVAL 1 MONTH AS DATE)", "DATE '2001-07-01'")) if c[0] == "active_member_fiscal" else c
+    for c in _CASES
+]
 _LONG = []
 for _name, _dim, _tables, _day, _sql in _CASES:
-    if _name in ("active_member", "lapsed_member", "total_revenue_t12m", "active_subscriber"):
-        _value = M.CATALOG[_name].value
-        _label = "CAST(dimension_value AS VARCHAR)" if _dim else "CAST(NULL AS VARCHAR)"
-        _LONG.append(
-            f"SELECT '{_name}' AS metric, CAST({_value} AS DOUBLE) AS value, {AS_OF} AS as_of, '1.0.0' AS version, "
-            + (f"'{_dim}'" if _dim else "CAST(NULL AS VARCHAR)")
-            + f" AS dimension, {_label} AS dimension_value FROM ({_sql})"
-        )
+    _register(_name, _dim, _tables, _day, _sql)
+    _value = M.CATALOG[_name].value
+    _label = "CAST(dimension_value AS VARCHAR)" if _dim else "CAST(NULL AS VARCHAR)"
+    _LONG.append(
+        f"SELECT '{_name}' AS metric, CAST({_value} AS DOUBLE) AS value, DATE '{_day}' AS as_of, '1.0.0' AS version, "
+        + (f"'{_dim}'" if _dim else "CAST(NULL AS VARCHAR)")
+        + f" AS dimension, {_label} AS dimension_value FROM ({_sql})"
+    )
 
 
-@query("metric_results", " UNION ALL ".join(_LONG), ("constituents", "donations", "subscriptions"))
+@query("metric_results", " UNION ALL ".join(_LONG), ("constituents", "donations", "subscriptions", "emails", "status_changes"))
 def _(spark, sf_dir):
-    t = load(spark, sf_dir, "constituents", "donations", "subscriptions")
-    names = ["active_member", "lapsed_member", "total_revenue_t12m", "active_subscriber"]
-    return M.compute_metrics(t, names, tpch.AS_OF)
+    """All metrics with all their dimensions; the constituents are put together once for all of them."""
+    t = load(spark, sf_dir, "constituents", "donations", "subscriptions", "emails", "status_changes")
+    t["constituents"] = cut_lineage(t["constituents"])
+    out = None
+    for as_of in sorted({c[3] for c in _CASES}):
+        part = M.compute_metrics(t, list(dict.fromkeys(c[0] for c in _CASES if c[3] == as_of)), as_of)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def monthly_values(spark, sf_dir):

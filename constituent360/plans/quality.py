@@ -97,9 +97,9 @@ _P = lambda c, num: f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - c
          f"CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR) AS least, CAST(CAST(max({c}) AS DOUBLE) AS VARCHAR) AS greatest, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev") + " FROM customer"
 
 
-@query("quality_profile", " UNION ALL ".join([_P("c_custkey", True), _P("c_name", False), _P("c_acctbal", True), _P("c_mktsegment", False)]))
+@query("quality_profile", " UNION ALL ".join([_P("c_custkey", True), _P("c_nationkey", True), _P("c_name", False), _P("c_acctbal", True), _P("c_mktsegment", False)]))
 def _(spark, sf_dir):
-    columns = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    columns = ["c_custkey", "c_nationkey", "c_name", "c_acctbal", "c_mktsegment"]
     p = Q.profile(tpch.table(spark, sf_dir, "customer"), columns, exact_distinct=True)
     return p.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 

@@ -70,9 +70,18 @@ def _(spark, sf_dir):
     return IN.to_source_records(o, "gifts", "o_orderkey", "o_orderkey", "person").select("source_id", "source_system", "person")
 
 
-@query("source_extract_audit", "SELECT 'warehouse' AS source, 'lineitem' AS \"table\", true AS success, count(*) AS records_extracted FROM lineitem")
+_AUDIT = """SELECT 'warehouse' AS source, 'lineitem' AS "table", count(*) >= {least} AS success, count(*) AS records_extracted, TIMESTAMP '2001-08-01 02:00:00' AS extracted_at,
+  CAST(90 AS DOUBLE) AS duration_seconds, CASE WHEN count(*) < {least} THEN 'expected {least} records or more, got ' || count(*) END AS error_message FROM lineitem"""
+
+
+@query("source_extract_audit", f"{_AUDIT.format(least=1)} UNION ALL {_AUDIT.format(least=10**12)}")
 def _(spark, sf_dir):
-    return IN.extract_audit(tpch.table(spark, sf_dir, "lineitem"), "warehouse", "lineitem")
+    """An extract that is large enough, and the same one held to a number that it can't reach."""
+    import datetime as dt
+
+    lines, started = tpch.table(spark, sf_dir, "lineitem"), dt.datetime(2001, 8, 1, 2)
+    audit = lambda least: IN.extract_audit(lines, "warehouse", "lineitem", started, started + dt.timedelta(seconds=90), least)
+    return audit(1).unionByName(audit(10**12))
 
 
 @query("sink_partitioned_facts", "SELECT *, strftime(donation_date, '%Y-%m') AS donation_year_month FROM donations WHERE donation_date BETWEEN DATE '1998-02-10' AND DATE '1998-05-05'", ("donations",))

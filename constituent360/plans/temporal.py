@@ -84,6 +84,17 @@ def _(spark, sf_dir):
     return H.apply_retention(tpch.donations(spark, sf_dir), "donation_date", H.SCHEDULE["donations"], WHEN).select("donation_id", "donation_date")
 
 
+@query("retention_events", "SELECT event_id, event_date FROM engagement WHERE event_date >= DATE '2024-01-20'", ("engagement",))
+def _(spark, sf_dir):
+    return H.apply_retention(tpch.engagement_events(spark, sf_dir), "event_date", H.SCHEDULE["events"], dt.date(2029, 1, 20)).select("event_id", "event_date")
+
+
+@query("retention_logs", "SELECT event_id, event_date FROM engagement WHERE event_date >= DATE '2024-01-10'", ("engagement",))
+def _(spark, sf_dir):
+    """Web events taken as access logs, which are kept for a year."""
+    return H.apply_retention(tpch.engagement_events(spark, sf_dir), "event_date", H.SCHEDULE["logs"], dt.date(2025, 1, 10)).select("event_id", "event_date")
+
+
 @query("retention_contacts", """SELECT constituent_id, last_donation_date, CASE WHEN last_donation_date < DATE '2000-08-01' THEN NULL ELSE canonical_email END AS canonical_email,
   CASE WHEN last_donation_date < DATE '2000-08-01' THEN NULL ELSE canonical_last_name END AS canonical_last_name FROM constituents""", ("constituents",))
 def _(spark, sf_dir):

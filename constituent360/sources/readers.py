@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -92,10 +94,18 @@ def read_jdbc(spark: SparkSession, url: str, table_or_query: str, properties: di
     return spark.read.format("jdbc").options(**options).load()
 
 
-def extract_audit(df: DataFrame, source: str, table: str, started: Column | None = None) -> DataFrame:
-    """One audit row per extract: records read and whether any came."""
+def extract_audit(
+    df: DataFrame, source: str, table: str, started: dt.datetime, ended: dt.datetime, least: int = 1
+) -> DataFrame:
+    """One audit row per extract: when it ran and for how long, the records read, and whether there were as many as
+    expected at ``least``."""
+    enough = F.col("records_extracted") >= least
     return df.agg(F.count("*").alias("records_extracted")).select(
-        F.lit(source).alias("source"), F.lit(table).alias("table"), F.lit(True).alias("success"), "records_extracted",
+        F.lit(source).alias("source"), F.lit(table).alias("table"), enough.alias("success"), "records_extracted",
+        F.lit(started).cast("timestamp_ntz").alias("extracted_at"),
+        F.lit((ended - started).total_seconds()).alias("duration_seconds"),
+        F.when(~enough, F.concat(F.lit(f"expected {least} records or more, got "), F.col("records_extracted").cast("string")))
+        .alias("error_message"),
     )
 
 
