@@ -136,8 +136,25 @@ def giving_features(donations: DataFrame, as_of) -> DataFrame:
     ).withColumn("rfm_score", rfm_score(F.col("recency_days"), F.col("frequency_annual"), F.col("avg_gift_amount")))
 
 
+def payment_features(donations: DataFrame, as_of) -> DataFrame:
+    """Failed payments of the last twelve months, and how often a recurring gift was above or below the one before."""
+    from constituent360.operators.totals import previous_values
+
+    date = F.col("donation_date")
+    seen = donations.where(date <= day(as_of))
+    failed = (F.col("donation_status") != "completed") & (date >= months_ago(as_of, 12))
+    failures = seen.groupBy("constituent_id").agg(count_if(failed).alias("payment_failures_12m"))
+    regular = seen.where((F.col("donation_status") == "completed") & (F.col("donation_type") == "recurring"))
+    rows = regular.select("constituent_id", F.struct("donation_date", "donation_id").alias("_at"), "donation_amount")
+    steps = previous_values(rows, ["constituent_id"], "_at", "donation_amount").groupBy("constituent_id").agg(
+        count_if(F.col("donation_amount") > F.col("previous")).alias("upgrade_count"),
+        count_if(F.col("donation_amount") < F.col("previous")).alias("downgrade_count"),
+    )
+    return failures.join(steps, "constituent_id", "left")
+
+
 def constituent_features(constituents, donations, subscriptions, emails, events, as_of) -> DataFrame:
-    """The feature table for one date: five per-constituent aggregates joined one to one."""
+    """The feature table for one date: per-constituent aggregates joined one to one."""
     activity = events.groupBy("constituent_id").agg(
         F.max("event_date").alias("last_event"),
         count_if((F.col("event_type") == "purchase") & (F.col("event_date") >= months_ago(as_of, 12))).alias("events_attended_12m"),
@@ -148,6 +165,7 @@ def constituent_features(constituents, donations, subscriptions, emails, events,
     wide = (
         constituents.select("constituent_id", "is_sustainer", "sustainer_start_date")
         .join(giving_features(donations, as_of), "constituent_id", "left")
+        .join(payment_features(donations, as_of), "constituent_id", "left")
         .join(e, "constituent_id", "left")
         .join(activity, "constituent_id", "left")
         .join(subscribed, "constituent_id", "left")
@@ -165,7 +183,8 @@ def constituent_features(constituents, donations, subscriptions, emails, events,
         zero("emails_received_30d"), zero("emails_opened_30d"), "tenure_months", zero("total_gifts"), "total_giving",
         "avg_gift_amount", "max_gift_amount", "min_gift_amount", "stddev_gift_amount", zero("gifts_last_12m"),
         "giving_last_12m", zero("gifts_prior_12m"), "giving_prior_12m", "gift_amount_trend", "is_sustainer",
-        month_boundaries(F.col("sustainer_start_date"), as_of).alias("sustainer_months"), "recency_days",
+        month_boundaries(F.col("sustainer_start_date"), as_of).alias("sustainer_months"),
+        zero("payment_failures_12m"), zero("upgrade_count"), zero("downgrade_count"), "recency_days",
         "frequency_annual", F.col("avg_gift_amount").alias("monetary_avg"), "rfm_score", zero("events_attended_12m"),
         zero("events_attended_all"),
         (gave.cast("int") + sub.cast("int") + came.cast("int")).alias("num_source_systems"),

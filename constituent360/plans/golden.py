@@ -243,21 +243,32 @@ def _(spark, sf_dir):
     return X.giving_features(tpch.donations(spark, sf_dir), tpch.AS_OF).withColumn("stddev_gift_amount", F.round("stddev_gift_amount", 4))
 
 
-@query("constituent_features", f"""SELECT c.constituent_id, {EVENTS_AS_OF} AS feature_date, datediff('day', last_event, {EVENTS_AS_OF}) AS days_since_last_engagement,
-  coalesce(received, 0) AS emails_received_30d, events_attended_12m, events_attended_all, coalesce(g.n, 0) AS total_gifts, is_sustainer,
-  (g.n IS NOT NULL)::INT + (s.constituent_id IS NOT NULL)::INT + coalesce(events_attended_all > 0, false)::INT AS num_source_systems
-FROM constituents c LEFT JOIN (SELECT constituent_id, count(*) AS n FROM donations WHERE donation_status = 'completed' GROUP BY 1) g USING (constituent_id)
-LEFT JOIN (SELECT DISTINCT constituent_id FROM subscriptions) s USING (constituent_id)
-LEFT JOIN (SELECT constituent_id, count(*) FILTER (send_date >= {EVENTS_AS_OF} - 30) AS received FROM emails GROUP BY 1) USING (constituent_id)
-LEFT JOIN (SELECT constituent_id, max(event_date) AS last_event, count(*) FILTER (event_type = 'purchase') AS a FROM engagement GROUP BY 1) e USING (constituent_id),
-LATERAL (SELECT coalesce(e.a, 0) AS events_attended_12m, coalesce(e.a, 0) AS events_attended_all)""", ("constituents", "donations", "subscriptions", "emails", "engagement"))
+@query("constituent_features", f"""WITH giving AS ({GIVING_SCORED.replace(AS_OF, EVENTS_AS_OF)}),
+pay AS (SELECT constituent_id, count(*) FILTER (donation_status <> 'completed' AND donation_date >= CAST({EVENTS_AS_OF} - INTERVAL 12 MONTH AS DATE)) AS failures FROM donations GROUP BY 1),
+steps AS (SELECT constituent_id, donation_amount AS a, lag(donation_amount) OVER (PARTITION BY constituent_id ORDER BY donation_date, donation_id) AS b FROM donations
+  WHERE donation_status = 'completed' AND donation_type = 'recurring'),
+moved AS (SELECT constituent_id, count(*) FILTER (a > b) AS up, count(*) FILTER (a < b) AS down FROM steps GROUP BY 1),
+mail AS (SELECT constituent_id, count(*) FILTER (m) AS received, count(*) FILTER (m AND opened) AS opened_30, count(*) FILTER (m AND clicked) AS clicked_30, count(*) FILTER (q) AS received_90,
+  count(*) FILTER (q AND opened) AS opened_90, max(send_date) FILTER (opened) AS last_open
+  FROM (SELECT *, send_date >= {EVENTS_AS_OF} - 30 AS m, send_date >= {EVENTS_AS_OF} - 90 AS q FROM emails WHERE send_date <= {EVENTS_AS_OF}) GROUP BY 1),
+act AS (SELECT constituent_id, max(event_date) AS last_event, count(*) FILTER (event_type = 'purchase' AND event_date >= CAST({EVENTS_AS_OF} - INTERVAL 12 MONTH AS DATE)) AS year_of, count(*) FILTER (event_type = 'purchase') AS ever FROM engagement GROUP BY 1)
+SELECT c.constituent_id, {EVENTS_AS_OF} AS feature_date, datediff('day', last_event, {EVENTS_AS_OF}) AS days_since_last_engagement, recency_days AS days_since_last_donation,
+  datediff('day', last_open, {EVENTS_AS_OF}) AS days_since_last_email_open, CAST(opened_30 AS DOUBLE) / nullif(received, 0) AS email_open_rate_30d, CAST(opened_90 AS DOUBLE) / nullif(received_90, 0) AS email_open_rate_90d,
+  CAST(clicked_30 AS DOUBLE) / nullif(received, 0) AS email_click_rate_30d, coalesce(received, 0) AS emails_received_30d, coalesce(opened_30, 0) AS emails_opened_30d, tenure_months,
+  coalesce(total_gifts, 0) AS total_gifts, total_giving, avg_gift_amount, max_gift_amount, min_gift_amount, stddev_gift_amount, coalesce(gifts_last_12m, 0) AS gifts_last_12m, giving_last_12m,
+  coalesce(gifts_prior_12m, 0) AS gifts_prior_12m, giving_prior_12m, gift_amount_trend, is_sustainer, {boundaries('sustainer_start_date', EVENTS_AS_OF)} AS sustainer_months,
+  coalesce(failures, 0) AS payment_failures_12m, coalesce(up, 0) AS upgrade_count, coalesce(down, 0) AS downgrade_count, recency_days, frequency_annual, avg_gift_amount AS monetary_avg, rfm_score,
+  coalesce(year_of, 0) AS events_attended_12m, coalesce(ever, 0) AS events_attended_all, (total_gifts IS NOT NULL)::INT + (s.constituent_id IS NOT NULL)::INT + coalesce(ever > 0, false)::INT AS num_source_systems,
+  total_gifts IS NOT NULL AS has_donation, s.constituent_id IS NOT NULL AS has_subscription, coalesce(ever > 0, false) AS has_event_attendance
+FROM constituents c LEFT JOIN giving USING (constituent_id) LEFT JOIN pay USING (constituent_id) LEFT JOIN moved USING (constituent_id) LEFT JOIN mail USING (constituent_id)
+LEFT JOIN act USING (constituent_id) LEFT JOIN (SELECT DISTINCT constituent_id FROM subscriptions) s ON s.constituent_id = c.constituent_id""", ("constituents", "donations", "subscriptions", "emails", "engagement"))
 def _(spark, sf_dir):
+    """All columns of the feature table."""
     f = X.constituent_features(
         tpch.constituents(spark, sf_dir), tpch.donations(spark, sf_dir), tpch.subscriptions(spark, sf_dir),
         tpch.email_engagement(spark, sf_dir), tpch.engagement_events(spark, sf_dir), tpch.EVENTS_AS_OF,
     )
-    return f.select("constituent_id", "feature_date", "days_since_last_engagement", "emails_received_30d", "events_attended_12m",
-                    "events_attended_all", "total_gifts", "is_sustainer", "num_source_systems")
+    return f.withColumn("stddev_gift_amount", F.round("stddev_gift_amount", 4))
 
 
 @query("feature_refresh", f"""SELECT constituent_id, {AS_OF} AS feature_date, CAST(NULL AS INTEGER) AS days_since_last_engagement,
