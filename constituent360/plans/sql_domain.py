@@ -59,15 +59,13 @@ LEFT JOIN (
   ON g.constituent_id = CAST(c_custkey AS VARCHAR)""")
 
 TABLES["subscriptions"] = ((), """
-SELECT r.l_orderkey || '-' || r.l_linenumber AS subscription_id, CAST(o_custkey AS VARCHAR) AS constituent_id,
+SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS subscription_id, CAST(o_custkey AS VARCHAR) AS constituent_id,
   CASE l_returnflag WHEN 'A' THEN 'DIGITAL' WHEN 'N' THEN 'WEEKEND' ELSE 'DAILY' END AS subscription_type,
   CAST(l_quantity AS DECIMAL(10,2)) AS monthly_rate,
   CASE WHEN l_linestatus = 'F' THEN 'active' ELSE 'cancelled' END AS subscription_status,
   CAST(l_shipdate AS DATE) AS start_date,
   CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_shipdate AS DATE) + 365 END AS end_date
-FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey,
-        l_quantity, l_extendedprice, l_returnflag, l_linestatus) AS rn FROM lineitem) r
-JOIN orders ON l_orderkey = o_orderkey WHERE rn = 1""")
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 TABLES["emails"] = ((), f"""
 SELECT CAST(event_id AS VARCHAR) AS engagement_id, CAST(user_id AS VARCHAR) AS constituent_id,

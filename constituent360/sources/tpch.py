@@ -126,27 +126,23 @@ def constituents(spark, sf_dir) -> DataFrame:
 
 
 def subscriptions(spark, sf_dir) -> DataFrame:
-    """Subscriptions: one per (order, line). The pair repeats in the source, so the least row is kept."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min(
-            F.struct(
-                "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
-            )
-        ).alias("r")
-    )
+    """Subscriptions: one per order line. Order and line number repeat in the source, so the id also names part,
+    supplier and day."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("start_date", F.col("l_shipdate").cast("date"))
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    start = F.col("r.l_shipdate").cast("date")
     return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("subscription_id"),
+        F.concat_ws(
+            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("start_date", "yyyyMMdd")
+        ).alias("subscription_id"),
         F.col("o_custkey").cast("string").alias("constituent_id"),
-        F.when(F.col("r.l_returnflag") == "A", "DIGITAL")
-        .when(F.col("r.l_returnflag") == "N", "WEEKEND")
+        F.when(F.col("l_returnflag") == "A", "DIGITAL")
+        .when(F.col("l_returnflag") == "N", "WEEKEND")
         .otherwise("DAILY")
         .alias("subscription_type"),
-        F.col("r.l_quantity").cast("decimal(10,2)").alias("monthly_rate"),
-        F.when(F.col("r.l_linestatus") == "F", "active").otherwise("cancelled").alias("subscription_status"),
-        start.alias("start_date"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.date_add(start, 365)).alias("end_date"),
+        F.col("l_quantity").cast("decimal(10,2)").alias("monthly_rate"),
+        F.when(F.col("l_linestatus") == "F", "active").otherwise("cancelled").alias("subscription_status"),
+        "start_date",
+        F.when(F.col("l_linenumber") % 3 == 0, F.date_add("start_date", 365)).alias("end_date"),
     )
 
 
