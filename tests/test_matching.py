@@ -231,3 +231,24 @@ def test_statistics_of_nothing(spark):
         matching.prepare(spark.createDataFrame([], SCHEMA)), spark.createDataFrame([], "record_key string, cluster string")
     )
     assert identity.match_statistics(empty).count() == 0
+
+
+def test_similar_names_are_the_pairs_of_distinct_names(spark):
+    import random
+
+    from constituent360.functions.similarity import jaro_winkler_batch
+    from constituent360.operators import matching as M
+
+    rng = random.Random(3)
+    names = sorted({"".join(rng.choice("abcdm") for _ in range(rng.randint(3, 7))) for _ in range(60)})
+    rows = [("s", str(i), f"a {n}", n) for i, n in enumerate(names + names[:20])]
+    raw = spark.createDataFrame(rows, "source_system string, source_id string, full_name string, last_name string")
+    p = M.profiles(M.prepare(raw))
+    for tile_rows in (7, 4096):
+        got = {tuple(r) for r in M.similar_names(p, 0.762, tile_rows).collect()}
+        last = sorted({r["last_part"] for r in p.select("last_part").collect()})
+        pairs = [(a, b) for a in last for b in last if a < b]
+        import pandas as pd
+
+        score = jaro_winkler_batch(pd.Series([a for a, _ in pairs]), pd.Series([b for _, b in pairs]))
+        assert got == {x for x, s in zip(pairs, score) if s >= 0.762 - 1e-9} | {(n, n) for n in last}

@@ -14,6 +14,9 @@ SAMPLE = (
     "metric_active_member_by_source", "metric_results", "metric_rule_checks", "golden_constituents", "giving_features", "date_dimension",
     "campaign_mailing_list", "campaign_bucket_stats", "quality_all_check_kinds", "golden_records", "identity_scored_matches",
     "evaluation_suite", "recommendations", "churn_labels", "scd2_history", "incremental_upsert", "lineage_references",
+    "pipeline_links", "pipeline_golden", "stream_upsert", "source_extract_audit", "source_first_per_person", "quality_profile",
+    "retention_events", "retention_logs", "constituent_features", "identity_fuzzy_join", "metric_anomalies", "model_drift",
+    "stratified_split", "time_split", "gift_timing", "extra_features",
 )
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 

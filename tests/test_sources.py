@@ -116,3 +116,11 @@ def test_staging_filters(spark, tmp_path):
     stream = jobs.read_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     jobs.write_stream(jobs.staging_donations(stream), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
     assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_extract_audit(spark):
+    started, ended = dt.datetime(2024, 1, 1, 2), dt.datetime(2024, 1, 1, 2, 1)
+    good = readers.extract_audit(spark.range(3), "crm", "people", started, ended).first()
+    assert (good["success"], good["records_extracted"], good["duration_seconds"], good["error_message"]) == (True, 3, 60.0, None)
+    bad = readers.extract_audit(spark.range(0), "crm", "people", started, ended).first()
+    assert bad["success"] is False and bad["error_message"] == "expected 1 records or more, got 0"
