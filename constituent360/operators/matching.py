@@ -220,6 +220,11 @@ def reachable(cfg: MatchConfig, threshold: float) -> list[Family]:
             "name and address alone reach the threshold, so no agreement can be required; raise the threshold or "
             "restrict the comparison with fuzzy_join and an explicit block"
         )
+    # narrow blocks first: what is left for the wide ones shares little else, so that its names have to be alike
+    width = {"phone": 0, "phone_block": 0, "domain": 1, "zip_code": 2, "zip3": 2}
+    least.sort(key=lambda cols: 3 if set(NAMED) <= set(cols) else min(width[c] for c in cols))
+    if ("domain",) in least:
+        least.insert(least.index(("domain",)), ("domain", "zip3"))
     return [Family(cols, tuple(least[:i])) for i, cols in enumerate(least)]
 
 
@@ -306,8 +311,8 @@ def spare_score(family: Family, cfg: MatchConfig, threshold: float) -> float:
 
 
 def similar_names(p: DataFrame, least: float, tile_rows: int) -> DataFrame:
-    """(last_part, near): pairs of different last names, in order, with at least that similarity, and every name with
-    itself. It compares distinct names, of which there are far fewer than rows, in tiles of bounded size."""
+    """(last_part, near, similarity): pairs of different last names, in order, with at least that similarity, and every name
+    with itself. It compares distinct names, of which there are far fewer than rows, in tiles of bounded size."""
     names = p.where(F.col("last_part") != "").groupBy("last_part").agg(
         *[F.first(f"{c}_last_part").alias(f"{c}_last_part") for c in ("len", "inv", "mask")]
     )
@@ -316,8 +321,8 @@ def similar_names(p: DataFrame, least: float, tile_rows: int) -> DataFrame:
     pairs = block_pairs(
         names.withColumn("_every", F.lit(1)), ["_every"], ceiling >= least - 1e-9, tile_rows, key="last_part"
     ).select(F.least(*_ab("last_part")).alias("last_part"), F.greatest(*_ab("last_part")).alias("near"))
-    similar = pairs.where(jaro_winkler(F.col("last_part"), F.col("near")) >= least - 1e-9)
-    return cut_lineage(similar.unionByName(names.select("last_part", F.col("last_part").alias("near"))))
+    similar = pairs.withColumn("similarity", jaro_winkler_once(F.col("last_part"), F.col("near"))).where(F.col("similarity") >= least - 1e-9)
+    return cut_lineage(similar.unionByName(names.select("last_part", F.col("last_part").alias("near"), F.lit(1.0).alias("similarity"))))
 
 
 def tiled(a: DataFrame, b: DataFrame, on: Sequence[str], key_a: Sequence[str], key_b: Sequence[str], tile_rows: int):
@@ -405,7 +410,8 @@ def candidate_pairs(p: DataFrame, cfg: MatchConfig, threshold: float, new_only:
         if family in wide:
             needed = {"first_part": by_name * 0.4, "address": cfg.score(0.0, 1.0, 0.0, 0.0, 0.0)}
             filled = ["last_part", *(c for c, weight in needed.items() if lost[family] < weight - 1e-9)]
-            found = near_pairs(p, family.equal, near, keep & fresh, cfg.tile_rows, filled, new_only)
+            alike = near.where(F.col("similarity") >= last[family] - 1e-9).drop("similarity")
+            found = near_pairs(p, family.equal, alike, keep & fresh, cfg.tile_rows, filled, new_only)
         else:
             found = [block_pairs(p, family.equal, keep & fresh, cfg.tile_rows, apart=apart)]
         for joined in found:

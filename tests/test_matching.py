@@ -60,7 +60,11 @@ def test_families_of_the_default_weights():
     assert columns(0.85) == {
         ("phone_block", "zip_code"), ("phone_block", "domain"), ("phone", "zip3", "first_part", "last_part", "address"),
     }
-    assert columns(0.70) == {("zip_code",), ("domain",), ("phone_block",), ("zip3", "first_part", "last_part", "address")}
+    assert columns(0.70) == {
+        ("zip_code",), ("domain", "zip3"), ("domain",), ("phone_block",), ("zip3", "first_part", "last_part", "address"),
+    }
+    spare = {f.equal: matching.spare_score(f, CFG, 0.70) for f in matching.reachable(CFG, 0.70)}
+    assert spare["domain",] == pytest.approx(0.05) and spare["zip_code",] == pytest.approx(0.05)
     with pytest.raises(ValueError):
         matching.reachable(CFG, 0.6)
 
@@ -245,7 +249,7 @@ def test_similar_names_are_the_pairs_of_distinct_names(spark):
     raw = spark.createDataFrame(rows, "source_system string, source_id string, full_name string, last_name string")
     p = M.profiles(M.prepare(raw))
     for tile_rows in (7, 4096):
-        got = {tuple(r) for r in M.similar_names(p, 0.762, tile_rows).collect()}
+        got = {(r["last_part"], r["near"]) for r in M.similar_names(p, 0.762, tile_rows).collect()}
         last = sorted({r["last_part"] for r in p.select("last_part").collect()})
         pairs = [(a, b) for a in last for b in last if a < b]
         import pandas as pd
