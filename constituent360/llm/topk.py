@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -81,6 +81,11 @@ def _blocks(vectors: DataFrame, width: int, rows: int, parts: int) -> DataFrame:
     return dealt.select("part", "vec_id", "v").mapInArrow(run, _BLOCKS)
 
 
+def _shard(part: Column, block: Column) -> Column:
+    """The key of a block's shard, a long: with int, the 2,148th range of ids would overflow."""
+    return part.cast("long") * 1_000_000 + F.floor(block / BLOCKS_PER_SHARD)
+
+
 def _grid(data: bytes, width: int) -> np.ndarray:
     """Rows of doubles; without any component the number of rows does not matter."""
     return np.frombuffer(data, np.float64).reshape(-1, width) if width else np.zeros((0, 0))
@@ -178,8 +183,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     )
     queries = stored(queries, "query-blocks")
     # range partitions are only about equal, so a shard is a run of blocks of its partition
-    shard = (F.col("part") * 1_000_000 + F.expr(f"block div {BLOCKS_PER_SHARD}")).cast("int")
-    index = index.withColumn("range", F.col("part")).withColumn("part", shard)
+    index = index.withColumn("range", F.col("part")).withColumn("part", _shard(F.col("part"), F.col("block")))
     ends = stored(
         index.groupBy("range", "part").agg(F.collect_list("high").alias("highs"), F.collect_list("low").alias("lows")),
         "shard-bounds",
@@ -205,7 +209,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     # the stated queries against all rows, in blocks: every query block gets a row per range of ids
     keyed = queries.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(ends, "range")
     bounds = keyed.select("qpart", "qblock", "qids", "qrows", "part", "highs", "lows").mapInArrow(
-        bound, "qpart int, qblock int, part int, total double, bounds binary"
+        bound, "qpart int, qblock int, part long, total double, bounds binary"
     )
     bounds = stored(bounds, "pair-bounds")
     first = bounds.groupBy("qpart", "qblock").agg(F.max_by("part", F.struct("total", "part")).alias("part"))
@@ -225,7 +229,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
             ]
             yield batch.select(["qpart", "qblock", "part"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = rest.select("qpart", "qblock", "part", "bounds", "least").mapInArrow(useful, "qpart int, qblock int, part int")
+    pairs = rest.select("qpart", "qblock", "part", "bounds", "least").mapInArrow(useful, "qpart int, qblock int, part long")
     pairs = pairs.join(queries, ["qpart", "qblock"]).join(scores, ["qpart", "qblock"])
     others = _pairs_searched(pairs, index, width, k)
     return _best(seeds.unionByName(others), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

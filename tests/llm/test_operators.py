@@ -398,6 +398,22 @@ def test_exact_top_k(vectors, block, monkeypatch):
     assert as_set(found, "query_id", "rank", "vec_id", "score") == want
 
 
+def test_shard_keys_beyond_an_int(spark):
+    blocks = spark.createDataFrame([(2147, 15), (2148, 0), (2148, 16), (5000, 31)], "part int, block int")
+    found = [r[0] for r in blocks.select(topk._shard(F.col("part"), F.col("block"))).collect()]
+    assert found == [2_147_000_000, 2_148_000_000, 2_148_000_001, 5_000_000_001]
+
+
+@pytest.mark.parametrize("part", [0, 2148])
+def test_top_k_in_any_range(vectors, part, monkeypatch):
+    """Ranges of ids numbered from ``part`` on give the same neighbours."""
+    rows = topk.whole_vectors(vectors)
+    want = as_set(topk.top_k(rows, F.col("vec_id") % 50 == 0), "query_id", "rank", "vec_id", "score")
+    shard = topk._shard
+    monkeypatch.setattr(topk, "_shard", lambda p, b: shard(p + F.lit(part), b))
+    assert as_set(topk.top_k(rows, F.col("vec_id") % 50 == 0), "query_id", "rank", "vec_id", "score") == want
+
+
 def test_large_components(spark):
     rows = [(0, [3e9, 1.0]), (50, [3e9, 2.0]), (7, [-3e9, 5.0]), (8, [1.0, 1.0])]
     found = topk.top_k(topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), F.col("vec_id") == 8)
