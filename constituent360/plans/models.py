@@ -337,9 +337,8 @@ def model_features(spark, sf_dir):
 
 @query("model_comparison")
 def _(spark, sf_dir):
-    """Fifteen fits; the trees are few and flat, since only their order against each other is asked for."""
-    params = L.TreeParams(trees=5, depth=3)
-    return L.compare_models(model_features(spark, sf_dir), X.CHURN_FEATURES, "label", "constituent_id", L.classifiers("label", params))
+    """Fifteen fits, with the settings of the other models."""
+    return L.compare_models(model_features(spark, sf_dir), X.CHURN_FEATURES, "label", "constituent_id", L.classifiers("label"))
 
 
 @query("model_calibration")

@@ -122,3 +122,17 @@ def test_train_save_predict(spark, tmp_path):
     out = L.predict_churn(L.load_model(str(tmp_path / "m")), df, AS_OF)
     assert out.columns == ["constituent_id", "churn_score", "churn_tier", "prediction_date"] and out.count() == 200
     assert out.where("churn_score < 0 or churn_score > 1").count() == 0
+
+
+def test_comparison_has_full_models(spark, sf, monkeypatch):
+    """The query compares the models with the operators' default settings."""
+    from constituent360.plans import models as M
+    from constituent360.plans import registry
+
+    monkeypatch.setattr(M, "model_features", lambda *_: None)
+    monkeypatch.setattr(M.L, "compare_models", lambda rows, features, label, key, models, *_, **__: models)
+    models = registry.RUN["model_comparison"](spark, sf)
+    forest, boosted = models["random_forest"], models["gradient_boosting"]
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (100, 6)
+    assert (boosted.getMaxIter(), boosted.getMaxDepth()) == (100, 6)
+    assert models["logistic_regression"].getMaxIter() == 100
