@@ -185,6 +185,34 @@ def test_secrets(docs, rows):
     assert any(b for _, b, _ in found) and any(e for _, _, e in found)
 
 
+def test_secrets_by_class(spark):
+    """Random keys of every alphabet are found at 20 characters, and long ones in spite of slashes; plain runs are not."""
+    r = random.Random(3)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [(lower + digits, 20), (upper + "234567", 20), (lower + upper + digits, 20), (lower + upper + digits + "+/", 200)]
+    rows, n = [], 200
+    for letters, length in kinds:
+        for _ in range(n):
+            key = "1"
+            while not (re.search("[0-9]", key[1:]) and re.search("[A-Za-z]", key)):
+                key = "".join(r.choice(letters) for _ in range(length))
+            rows.append((len(rows), "key " + key))
+    plain = ["usr/share/projects/12345/holdings", "/home/data/reports/2020/archive", "123e4567-e89b-12d3-a456-426614174000", "2020-01-01-example-sample-1"]
+    rows += [(len(rows) + i, t) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hits = {r["doc_id"] for r in secrets.find(docs, by_class=True).collect() if r["extra"]}
+    shares = [sum(k * n <= i < (k + 1) * n for i in hits) / n for k in range(len(kinds))]
+    assert min(shares) >= 0.95 and max(hits) < len(kinds) * n
+
+
+def test_secrets_by_class_places(spark):
+    key = "k3v9q0x7m2z8p4t1w6yb"
+    text = f"see /usr/lib/{key}/share and 2020-01-01{key.upper()}"
+    (row,) = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), by_class=True).collect()
+    found = [text[e["start"] : e["end"]] for e in row["extra"]]
+    assert len(found) == 2 and key in found[0] and found[1] == key.upper()
+
+
 # ---- language
 
 
