@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, graph_ann, language_id, line_dedup, minhash, mixing, secrets, sql, suffix_dedup, topk, toxicity
+from constituent360.llm import bpe, graph_ann, language_id, line_dedup, minhash, mixing, prefix_trie, secrets, sql, suffix_dedup, topk, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -79,3 +79,8 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), "kept", "n_lines", "n_dropped")
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_prefix_trie", sql.PREFIX_TRIE)
+def _(spark, sf_dir):
+    return prefix_trie.trie(prefix_trie.spliced(prefix_trie.placed_turns(table(spark, sf_dir, "conversations"))))

@@ -144,3 +144,40 @@ r AS (
   FROM s)
 SELECT * FROM r WHERE rank <= 5
 """
+
+PREFIX_TRIE = r"""
+WITH crc AS (
+  -- the table of the reflected polynomial 0xEDB88320
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda v, x: CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END)) AS t),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS ts
+  FROM turns GROUP BY conv_id),
+h AS (
+  SELECT conv_id, ts, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda v, x: xor(t[1 + (xor(v, x) & 255)], v >> 8))) % 9 AS h
+  FROM c, crc),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.ts[1:h], []), h.ts[h + 1:]) AS ts
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 5),
+p AS (
+  SELECT conv_id, len(ts) AS length, d AS depth, ts[1:d] AS key, coalesce(strlen(ts[d].text), 0) AS bytes
+  FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+n AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = depth) AS ends
+  FROM p GROUP BY depth, key),
+children AS (SELECT key[1:depth - 1] AS key, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+k AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN children c ON n.depth = c.depth AND n.key = c.key),
+s AS (
+  SELECT key[1:d] AS key, d AS depth, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM k) GROUP BY 1, 2)
+SELECT CAST(k.conv_id AS BIGINT) AS conv_id, CAST(k.depth AS BIGINT) AS depth, CAST(up.conv_id AS BIGINT) AS parent_conv_id,
+       CAST(k.n_convs AS BIGINT) AS n_convs, CAST(k.n_children AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(k.ends, '')) AS ends_sha256
+FROM k JOIN s ON k.depth = s.depth AND k.key = s.key
+LEFT JOIN n up ON up.depth = k.depth - 1 AND up.key = k.key[1:k.depth - 1]
+"""
