@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, graph_ann, language_id, line_dedup, minhash, mixing, prefix_trie, secrets, sql, suffix_dedup, topk, toxicity
+from constituent360.llm import bpe, graph_ann, hard_negatives, language_id, line_dedup, minhash, mixing, prefix_trie, secrets, sql, suffix_dedup, topk, toxicity
 from constituent360.llm.common import table
 from constituent360.llm.registry import query
 
@@ -81,6 +81,13 @@ def _(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op12_hard_negatives", sql.HARD_NEGATIVES)
+def _(spark, sf_dir):
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(hard_negatives.labelled_vectors(table(spark, sf_dir, "embeddings"), moved), F.col("vec_id") % 100 == 0)
+
+
 @query("op13_prefix_trie", sql.PREFIX_TRIE)
 def _(spark, sf_dir):
     return prefix_trie.trie(prefix_trie.spliced(prefix_trie.placed_turns(table(spark, sf_dir, "conversations"))))
