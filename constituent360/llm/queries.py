@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from constituent360.llm import bpe, graph_ann, hard_negatives, language_id, line_dedup, minhash, mixing, prefix_trie, secrets, sql, suffix_dedup, topk, toxicity
-from constituent360.llm.common import table
+from constituent360.llm import bpe, graph_ann, hard_negatives, language_id, line_dedup, minhash, mixing, packing, prefix_trie, secrets, sql, suffix_dedup, topk, toxicity
+from constituent360.llm.common import stored, table
 from constituent360.llm.registry import query
 
 
@@ -81,6 +81,16 @@ def _(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_packing")
+def _(spark, sf_dir):
+    import public_tokenizers
+
+    files = [public_tokenizers.path(f) for f in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json")]
+    cut = packing.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), packing.Vocabulary(*files, public_tokenizers.PATTERN))
+    cut = stored(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.pack(cut).drop("row")
+
+
 @query("op12_hard_negatives", sql.HARD_NEGATIVES)
 def _(spark, sf_dir):
     label = F.col("label").cast("long")
