@@ -44,7 +44,8 @@ SYMBOLS = 30_000
 #: Bytes that are hashed at once; longer texts are taken in overlapping pieces.
 PIECE = 1 << 21
 
-# A place is the text's hash (20 bits), the offset (36 bits) and the number of strings of a run (7 bits) in one number.
+# A text is its id (doc) and a hash of 64 bits (fp), which tells texts with the same id apart; a place in it (at) is the offset
+# (36 bits) and the number of strings of a run (7 bits) in one number.
 OFFSET_BITS, COUNT_BITS = 36, 7
 
 _RANDOM = np.random.default_rng(20240301)
@@ -133,17 +134,17 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[i
         yield rows, offsets, parts
 
 
-def _place(fp: np.ndarray, offset: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (fp << (OFFSET_BITS + COUNT_BITS)) | (offset << COUNT_BITS) | count
+def _place(offset: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (offset << COUNT_BITS) | count
 
 
 def text_hash(text: Column) -> Column:
-    """The 20 bits of hash that order rows with the same id."""
-    return F.call_function("shiftrightunsigned", F.xxhash64(text), F.lit(44))
+    """The hash that tells rows with the same id apart and orders them."""
+    return F.xxhash64(text)
 
 
 def all_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """h, c, doc, at of the runs of all texts. Equal runs of a batch are collapsed: the later ones come
+    """h, c, doc, fp, at of the runs of all texts. Equal runs of a batch are collapsed: the later ones come
     without h, since they are repeats whatever else there is."""
 
     def run(batches):
@@ -153,35 +154,35 @@ def all_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
             for rows, offsets, parts in _pieces(texts, length):
                 runs = Runs(parts, length, anchor)
                 row = np.array(rows)[runs.owner]
-                doc = ids[row]
-                at = _place(prints[row], runs.start + np.array(offsets)[runs.owner], runs.count)
+                doc, fp = ids[row], prints[row]
+                at = _place(runs.start + np.array(offsets)[runs.owner], runs.count)
                 h, c = runs.h.view(np.int64), runs.c.view(np.int64)
-                order = np.lexsort((at, doc, c, h))
+                order = np.lexsort((at, fp, doc, c, h))
                 alike = lambda x: x[order][1:] == x[order][:-1]
                 again, same = np.zeros(len(h), bool), np.zeros(len(h), bool)
                 again[order[1:]] = alike(h) & alike(c)
-                same[order[1:]] = alike(h) & alike(c) & alike(doc) & alike(at)  # rows that are equal in all are one document
+                same[order[1:]] = alike(h) & alike(c) & alike(doc) & alike(fp) & alike(at)  # rows that are equal in all are one document
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[~same], mask=m) for x, m in ((h, again[~same]), (c, None), (doc, None), (at, None))],
-                    names=["h", "c", "doc", "at"],
+                    [pa.array(x[~same], mask=m) for x, m in ((h, again[~same]), (c, None), (doc, None), (fp, None), (at, None))],
+                    names=["h", "c", "doc", "fp", "at"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), text_hash(F.col("text")).alias("fp"), F.col("text"))
     rows = rows.where(F.col("doc").isNotNull() & (F.octet_length("text") >= length))
-    return rows.mapInArrow(run, "h long, c long, doc long, at long")
+    return rows.mapInArrow(run, "h long, c long, doc long, fp long, at long")
 
 
 def _collapsed(runs: DataFrame, *carry: str) -> DataFrame:
     """One row per different run with its first place."""
-    first = runs.groupBy("h", "c").agg(F.min(F.struct("doc", "at", *carry)).alias("_first"))
-    return first.select("h", "c", *[F.col(f"_first.{c}").alias(c) for c in ("doc", "at", *carry)])
+    first = runs.groupBy("h", "c").agg(F.min(F.struct("doc", "fp", "at", *carry)).alias("_first"))
+    return first.select("h", "c", *[F.col(f"_first.{c}").alias(c) for c in ("doc", "fp", "at", *carry)])
 
 
 def _later(runs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """doc, at of the runs that are not the first of their kind."""
-    known = firsts.select("h", "c", F.col("doc").alias("_doc"), F.col("at").alias("_at"))
-    both = runs.select("h", "c", "doc", "at").join(known, ["h", "c"])
-    return both.where((F.col("doc") != F.col("_doc")) | (F.col("at") != F.col("_at"))).select("doc", "at")
+    """doc, fp, at of the runs that are not the first of their kind."""
+    known = firsts.select("h", "c", F.struct("doc", "fp", "at").alias("first"))
+    both = runs.select("h", "c", "doc", "fp", "at").join(known, ["h", "c"])
+    return both.where(F.struct("doc", "fp", "at") != F.col("first")).select("doc", "fp", "at")
 
 
 def _shared(firsts: DataFrame, name: str) -> DataFrame:
@@ -191,10 +192,8 @@ def _shared(firsts: DataFrame, name: str) -> DataFrame:
 
 
 def _short_runs(docs: DataFrame, firsts: DataFrame, length: int, anchor: int) -> DataFrame:
-    """h, c, doc, at, left, right of the runs around longer anchors inside the given runs."""
-    wanted = firsts.groupBy("doc", F.expr(f"shiftright(at, {OFFSET_BITS + COUNT_BITS})").alias("fp")).agg(
-        F.collect_list("at").alias("runs")
-    )
+    """h, c, doc, fp, at, left, right of the runs around longer anchors inside the given runs."""
+    wanted = firsts.groupBy("doc", "fp").agg(F.collect_list("at").alias("runs"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), text_hash(F.col("text")).alias("fp"), F.col("text"))
     rows = rows.where(F.octet_length("text") >= length).join(
         stored(wanted, "wanted-runs").hint("merge"), ["doc", "fp"]
@@ -218,30 +217,30 @@ def _short_runs(docs: DataFrame, firsts: DataFrame, length: int, anchor: int) ->
             spans = list(zip(runs.first.tolist(), runs.anchor.tolist(), stops.tolist()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(runs.h.view(np.int64)), pa.array(runs.c.view(np.int64)), pa.array(ids[row]),
-                    pa.array(_place(prints[row], offset[part][runs.owner] + runs.start, runs.count)),
+                    pa.array(runs.h.view(np.int64)), pa.array(runs.c.view(np.int64)), pa.array(ids[row]), pa.array(prints[row]),
+                    pa.array(_place(offset[part][runs.owner] + runs.start, runs.count)),
                     pa.array([data[a:b] for a, b, _ in spans], pa.binary()),
                     pa.array([data[b + anchor : c] for _, b, c in spans], pa.binary()),
                 ],
-                names=["h", "c", "doc", "at", "left", "right"],
+                names=["h", "c", "doc", "fp", "at", "left", "right"],
             )
 
     def run(batches):
         for batch in batches:
             yield from cut(batch)
 
-    return rows.select("doc", "fp", "text", "runs").mapInArrow(run, "h long, c long, doc long, at long, left binary, right binary")
+    return rows.select("doc", "fp", "text", "runs").mapInArrow(run, "h long, c long, doc long, fp long, at long, left binary, right binary")
 
 
-def _sorted_repeats(groups: list[tuple[list, list, list, list]], size: int) -> tuple[list[int], list[int]]:
-    """doc, at of the repeated strings in groups of (doc, at, left, right); a string has ``size`` symbols.
+def _sorted_repeats(groups: list[tuple[list, ...]], size: int) -> tuple[np.ndarray, ...]:
+    """doc, fp, at of the repeated strings in groups of (doc, fp, at, left, right); a string has ``size`` symbols.
 
     Symbols: 0 ends the text, 1 parts runs, 2 to 257 are bytes, each group's anchor has one of its own from 258 on.
     """
-    parts, docs, places, strings = [], [], [], []
+    parts, docs, prints, places, strings = [], [], [], [], []
     at = 0
     for number, group in enumerate(groups):
-        for doc, place, left, right in zip(*group):
+        for doc, fp, place, left, right in zip(*group):
             symbols = np.empty(len(left) + len(right) + 2, np.int64)
             symbols[: len(left)] = np.frombuffer(left, np.uint8)
             symbols[len(left) + 1 : -1] = np.frombuffer(right, np.uint8)
@@ -251,6 +250,7 @@ def _sorted_repeats(groups: list[tuple[list, list, list, list]], size: int) -> t
             count = place & ((1 << COUNT_BITS) - 1)
             strings += range(at, at + count)
             docs += [doc] * count
+            prints += [fp] * count
             places += [((place >> COUNT_BITS) + i) << COUNT_BITS | 1 for i in range(count)]
             at += len(symbols)
     text = np.concatenate([*parts, np.zeros(1, np.int64)])
@@ -261,17 +261,17 @@ def _sorted_repeats(groups: list[tuple[list, list, list, list]], size: int) -> t
     symbols = text[order[:, None] + np.arange(size)[None, :]]
     new = np.concatenate([[True], (symbols[1:] != symbols[:-1]).any(axis=1)])
     kind, own = np.cumsum(new), index[order]
-    docs, places = np.array(docs, np.int64)[own], np.array(places, np.int64)[own]
-    by = np.lexsort((places, docs, kind))
-    docs, places, kind = docs[by], places[by], kind[by]
+    docs, prints, places = (np.array(x, np.int64)[own] for x in (docs, prints, places))
+    by = np.lexsort((places, prints, docs, kind))
+    docs, prints, places, kind = docs[by], prints[by], places[by], kind[by]
     later = np.concatenate([[False], kind[1:] == kind[:-1]])
-    return docs[later], places[later]
+    return docs[later], prints[later], places[later]
 
 
 def _repeats_by_sorting(rows: DataFrame, length: int, anchor: int) -> DataFrame:
-    """doc, at of the repeated strings among different runs around equal anchors."""
+    """doc, fp, at of the repeated strings among different runs around equal anchors."""
     size = length - anchor + 1
-    dealt = rows.select("h", "doc", "at", "left", "right").repartition(tasks(rows.sparkSession), "h").sortWithinPartitions("h")
+    dealt = rows.select("h", "doc", "fp", "at", "left", "right").repartition(tasks(rows.sparkSession), "h").sortWithinPartitions("h")
 
     def run(batches):
         groups, symbols, last = [], 0, None
@@ -280,9 +280,9 @@ def _repeats_by_sorting(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 continue
             h = batch.column("h").to_numpy(False)
             cuts = np.append(np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])), len(h)).tolist()
-            doc, at, left, right = (batch.column(c).to_pylist() for c in ("doc", "at", "left", "right"))
+            columns = [batch.column(c).to_pylist() for c in ("doc", "fp", "at", "left", "right")]
             for a, b in zip(cuts, cuts[1:]):
-                group = doc[a:b], at[a:b], left[a:b], right[a:b]
+                group = tuple(c[a:b] for c in columns)
                 if h[a] == last:
                     for old, new in zip(groups[-1], group):
                         old.extend(new)
@@ -292,15 +292,15 @@ def _repeats_by_sorting(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                         groups, symbols = [], 0
                     groups.append(group)
                     last = h[a]
-                symbols += sum(map(len, group[2])) + sum(map(len, group[3])) + 2 * (b - a)
+                symbols += sum(map(len, group[3])) + sum(map(len, group[4])) + 2 * (b - a)
         if groups:
             yield _repeated_batch(groups, size)
 
-    return dealt.mapInArrow(run, "doc long, at long")
+    return dealt.mapInArrow(run, "doc long, fp long, at long")
 
 
 def _repeated_batch(groups, size: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _sorted_repeats(groups, size)], names=["doc", "at"])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _sorted_repeats(groups, size)], names=["doc", "fp", "at"])
 
 
 def _repeats_by_string(rows: DataFrame, length: int, anchor: int) -> DataFrame:
@@ -309,29 +309,29 @@ def _repeats_by_string(rows: DataFrame, length: int, anchor: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            h, doc, at, left, right = (batch.column(c).to_pylist() for c in ("h", "doc", "at", "left", "right"))
+            columns = [batch.column(c).to_pylist() for c in ("h", "doc", "fp", "at", "left", "right")]
             out = []
-            for key, d, place, a, b in zip(h, doc, at, left, right):
+            for key, d, fp, place, a, b in zip(*columns):
                 for i in range(place & ((1 << COUNT_BITS) - 1)):
                     string = len(a[i:]).to_bytes(2, "little") + a[i:] + b[: size - 1 - len(a[i:])]
-                    out.append((key, string, d, ((place >> COUNT_BITS) + i) << COUNT_BITS | 1))
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], names=["h", "c", "doc", "at"])
+                    out.append((key, string, d, fp, ((place >> COUNT_BITS) + i) << COUNT_BITS | 1))
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], names=["h", "c", "doc", "fp", "at"])
 
-    strings = rows.select("h", "doc", "at", "left", "right").mapInArrow(run, "h long, c binary, doc long, at long")
+    strings = rows.select("h", "doc", "fp", "at", "left", "right").mapInArrow(run, "h long, c binary, doc long, fp long, at long")
     strings = stored(strings, "single-strings")
     return _later(strings, _collapsed(strings))
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc, at of everything repeated: at holds the text's hash, the offset and the number of strings that start from there."""
+    """doc, fp, at of everything repeated: at holds the offset and the number of strings that start from there."""
     short, long = max(1, length // 3), max(1, length * 9 // 10)
     runs = stored(all_runs(docs, length, short), "runs")
     counts = runs.where(F.col("h").isNotNull()).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     again = stored(counts.where(F.col("n") > 1).select("h"), "repeated-anchors")
     kept = stored(runs.join(again, "h"), "repeated-runs")
-    found = [stored(runs.where(F.col("h").isNull()).select("doc", "at"), "repeated-in-batch")]
+    found = [stored(runs.where(F.col("h").isNull()).select("doc", "fp", "at"), "repeated-in-batch")]
     discard(runs)
     firsts = stored(_collapsed(kept), "different-runs")
     found.append(stored(_later(kept, firsts), "later-runs"))
@@ -357,8 +357,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc, fp, runs per text that loses bytes: the packed places of its repeated strings."""
     found = repeats(docs, length)
-    fp = F.expr(f"shiftright(at, {OFFSET_BITS + COUNT_BITS})").alias("fp")
-    return stored(found.groupBy("doc", fp).agg(F.collect_list("at").alias("runs")), "repeated-spans")
+    return stored(found.groupBy("doc", "fp").agg(F.collect_list("at").alias("runs")), "repeated-spans")
 
 
 def removed(size: int, places: np.ndarray, length: int) -> np.ndarray:
