@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from constituent360.functions import text as T
 from constituent360.functions.similarity import char_mask, inverse_length, jaro_winkler, jaro_winkler_once, score_ceiling
+from constituent360.operators.similar import similar_pairs
+from constituent360.operators.tiles import tiled
 from constituent360.session import cut_lineage
 
 EMAIL, PHONE, AUTO, REVIEW, NONE = (
@@ -312,32 +314,13 @@ def spare_score(family: Family, cfg: MatchConfig, threshold: float) -> float:
 
 def similar_names(p: DataFrame, least: float, tile_rows: int) -> DataFrame:
     """(last_part, near, similarity): pairs of different last names, in order, with at least that similarity, and every name
-    with itself. It compares distinct names, of which there are far fewer than rows, in tiles of bounded size."""
-    names = p.where(F.col("last_part") != "").groupBy("last_part").agg(
-        *[F.first(f"{c}_last_part").alias(f"{c}_last_part") for c in ("len", "inv", "mask")]
-    )
-    names = cut_lineage(names)
-    ceiling = score_ceiling(*[c for k in ("len", "inv", "mask") for c in _ab(f"{k}_last_part")])
-    pairs = block_pairs(
-        names.withColumn("_every", F.lit(1)), ["_every"], ceiling >= least - 1e-9, tile_rows, key="last_part"
-    ).select(F.least(*_ab("last_part")).alias("last_part"), F.greatest(*_ab("last_part")).alias("near"))
-    similar = pairs.withColumn("similarity", jaro_winkler_once(F.col("last_part"), F.col("near"))).where(F.col("similarity") >= least - 1e-9)
+    with itself. Names meet through the characters that they must share (``similar.similar_pairs``)."""
+    names = cut_lineage(p.where(F.col("last_part") != "").select("last_part").distinct())
+    pairs = similar_pairs(names, "last_part", least, tile_rows)
+    similar = pairs.select(F.col("a").alias("last_part"), F.col("b").alias("near"), "similarity")
     return cut_lineage(similar.unionByName(names.select("last_part", F.col("last_part").alias("near"), F.lit(1.0).alias("similarity"))))
 
 
-def tiled(a: DataFrame, b: DataFrame, on: Sequence[str], key_a: Sequence[str], key_b: Sequence[str], tile_rows: int):
-    """Both sides of a join on ``on`` with tile numbers _ta and _tb to join on as well: a hot key's rows are dealt into tiles on
-    either side, and every pair of tiles is a key of its own."""
-    on = list(on)
-    count = lambda df, name: df.groupBy(*on).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias(name))
-    sizes = cut_lineage(count(a, "_na").join(count(b, "_nb"), on))
-    tile = lambda key, n: F.pmod(F.xxhash64(*key), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = a.join(sizes, on).withColumn("_ta", tile(key_a, "_na")).withColumn("_tb", every("_nb")).drop("_na", "_nb")
-    right = b.join(sizes, on).withColumn("_tb", tile(key_b, "_nb")).withColumn("_ta", every("_na")).drop("_na", "_nb")
-    return left, right
-
-
 def near_pairs(
     p: DataFrame, equal: Sequence[str], near: DataFrame, keep, tile_rows: int, filled: Sequence[str], new_only: bool = False
 ) -> list[DataFrame]:
