@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from constituent360.functions import text as T
 from constituent360.operators import matching as M
 from constituent360.operators.components import connected_components
+from constituent360.operators.constrained import constrained_components
 from constituent360.session import cut_lineage
 
 
@@ -179,9 +180,31 @@ def source_links(records, p, clusters, auto, cfg: M.MatchConfig) -> DataFrame:
     )
 
 
-def unify(raw: DataFrame, cfg: M.MatchConfig = M.MatchConfig(), probabilistic: bool = True) -> Unified:
+def confident_edges(records: DataFrame, p: DataFrame | None, auto: DataFrame | None, cfg: M.MatchConfig, overrides: DataFrame) -> DataFrame:
+    """(a, b, confidence) of all matches, those that a steward confirmed above all others. Copies of one profile hold the same
+    values throughout, as a shared mailbox does."""
+    sure = lambda df, confidence: df.select("a", "b", F.lit(float(confidence)).alias("confidence"))
+    edges = sure(M.star_edges(records, M.email_groups(records), "personal_email"), cfg.email_confidence)
+    edges = edges.unionByName(sure(M.star_edges(records, M.phone_groups(records), "full_phone"), cfg.phone_confidence))
+    confirmed = overrides.where(F.col("action") == "match").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    keys = records.select(F.col("record_key").alias("a"))
+    known = confirmed.join(keys, "a", "left_semi").join(keys.withColumnRenamed("a", "b"), "b", "left_semi")
+    edges = edges.unionByName(sure(known, 2.0))
+    if auto is not None:
+        scored = auto.select(F.least("profile_a", "profile_b").alias("a"), F.greatest("profile_a", "profile_b").alias("b"), "confidence")
+        drawn = score_edges(records, p, auto, cfg).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = edges.unionByName(drawn.join(scored, ["a", "b"], "left").select("a", "b", F.coalesce("confidence", F.lit(cfg.email_confidence)).alias("confidence")))
+    return edges
+
+
+def unify(
+    raw: DataFrame, cfg: M.MatchConfig = M.MatchConfig(), probabilistic: bool = True, overrides: DataFrame | None = None
+) -> Unified:
     """Match, cluster and merge. Automatic matches need one block family under the default weights;
-    review pairs never merge anything and are scored only when ``matches`` or ``audit`` is read."""
+    review pairs never merge anything and are scored only when ``matches`` or ``audit`` is read.
+
+    ``overrides`` (key_a, key_b, action) are a steward's decisions: "match" joins a pair, and an "unmatch" pair is kept in
+    different clusters, whatever other records stand between the two; of a pair with both, the rejection holds."""
     records = cut_lineage(M.prepare(raw, cfg))
     edges = group_edges(records)
     p, auto = M.profiles(records), None
@@ -189,7 +212,12 @@ def unify(raw: DataFrame, cfg: M.MatchConfig = M.MatchConfig(), probabilistic: b
         p = cut_lineage(p)
         auto = cut_lineage(M.scored_profiles(p, cfg, cfg.auto_threshold))
         edges = edges.unionByName(score_edges(records, p, auto, cfg))
-    return Unified(cfg, records, p, auto, cut_lineage(cluster(records, edges)))
+    if overrides is None:
+        return Unified(cfg, records, p, auto, cut_lineage(cluster(records, edges)))
+    rejected = overrides.where(F.col("action") == "unmatch").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    nodes = records.select(F.col("record_key").alias("node"))
+    parted = constrained_components(nodes, confident_edges(records, p, auto, cfg, overrides), rejected)
+    return Unified(cfg, records, p, auto, cut_lineage(parted.select(F.col("node").alias("record_key"), F.col("component").alias("cluster"))))
 
 
 def unify_incremental(

@@ -230,6 +230,21 @@ def _(spark, sf_dir):
     return I.apply_overrides(M.star_edges(r, M.email_groups(r), "personal_email"), overrides)
 
 
+@query("identity_unify_overrides", f"""WITH RECURSIVE {CLUSTERS}
+SELECT cluster AS key_a, max(record_key) AS key_b, 2 AS clusters, count(*) AS records, false AS together FROM clusters GROUP BY cluster HAVING count(*) > 1""", ("all_pairs",))
+def _(spark, sf_dir):
+    # a steward rejects the least and the greatest record of every cluster: each falls into two parts
+    before = unified(spark, sf_dir).clusters
+    pairs = before.groupBy("cluster").agg(F.max("record_key").alias("key_b"), F.count("*").alias("records")).where("records > 1")
+    pairs = cut_lineage(pairs.select(F.col("cluster").alias("key_a"), "key_b"))
+    after = I.unify(tpch.source_records(spark, sf_dir), CFG, overrides=pairs.withColumn("action", F.lit("unmatch"))).clusters
+    both = before.withColumnRenamed("cluster", "key_a").join(after, "record_key").join(pairs, "key_a")
+    one = lambda key: F.max(F.when(F.col("record_key") == F.col(key), F.col("cluster")))
+    return both.groupBy("key_a", "key_b").agg(
+        F.count_distinct("cluster").cast("int").alias("clusters"), F.count("*").alias("records"), (one("key_a") == one("key_b")).alias("together")
+    )
+
+
 # ---- source records -> constituents -> facts -> golden record, as one job
 
 LINKED = """linked AS (SELECT source_system, source_id, 'UC-' || sha256(cluster)[1:16] AS cid FROM records JOIN clusters USING (record_key)),
