@@ -161,3 +161,44 @@ def _(spark, sf_dir):
     rows = shuffled_event_stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("value").cast("decimal(12,2)").alias("value"))
     S.refresh_table(S.metric_refresh(rows, "ts", "value", ["event_type"]), table, f"{base}/checkpoint").awaitTermination()
     return table.read().select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
+
+
+ARRIVALS, JITTER_HOURS = 4, 6
+
+
+def arrivals(spark, sf_dir):
+    """The events in the order in which they arrive, up to six hours late: a folder's worth of rows for each arrival."""
+    rows = tpch.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(JITTER_HOURS * 3600))
+    rows = rows.withColumn("at", F.unix_timestamp("ts") + late)
+    ends = rows.agg(F.min("at").alias("low"), F.max("at").alias("high")).first()
+    width = (ends["high"] - ends["low"]) // ARRIVALS + 1
+    return [rows.where(F.floor((F.col("at") - ends["low"]) / width) == i).drop("at") for i in range(ARRIVALS)]
+
+
+@query("stream_event_time", f"""WITH w AS (SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total
+  FROM events GROUP BY 1, 2)
+SELECT * FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL {JITTER_HOURS} HOURS""")
+def _(spark, sf_dir):
+    """Every arrival restarts the job from its checkpoint; only windows that can't change any more are out."""
+    base = scratch(spark, "event-time")
+    for rows in arrivals(spark, sf_dir):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = S.read_stream(spark, f"{base}/in", rows.schema).select("ts", "event_type", F.col("value").cast("decimal(12,2)").alias("value"))
+        metric = S.metric_refresh(stream, "ts", "value", ["event_type"], late=f"{JITTER_HOURS} hours")
+        S.append_closed(metric, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
+
+
+@query("stream_changes", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def _(spark, sf_dir):
+    """The latest event of every user, from changes that arrive late and are folded on the way."""
+    base = scratch(spark, "changes")
+    table = OUT.Changes(spark, f"{base}/table", ["user_id"], ["ts", "event_id"], "ts", 8)
+    for number, rows in enumerate(arrivals(spark, sf_dir)):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = S.read_stream(spark, f"{base}/in", rows.schema).select("user_id", "event_id", "event_type", "ts")
+        S.change_stream(stream, table, f"{base}/checkpoint").awaitTermination()
+        if number == 1:
+            table.fold(str(rows.agg(F.to_date(F.max("ts"))).first()[0]))
+    return table.read().select("user_id", "event_id", "event_type")

@@ -1,4 +1,4 @@
-"""Writers: data sets, partitioned facts, the mailing list, and keyed tables."""
+"""Writers: data sets, partitioned facts, the mailing list, keyed tables and tables of changes."""
 
 from __future__ import annotations
 
@@ -73,3 +73,45 @@ class KeyedTable:
         merged = fresh if old is None else pick(old.where(F.col(BUCKET).isin(touched)).select(fresh.columns), fresh)
         # written aside first: a folder is only replaced by rows that are all there
         replace_partitions(cut_lineage(merged).repartition(F.col(BUCKET)), self.path, [BUCKET])
+
+
+class Changes:
+    """The latest row per key, merged when it is read: changes are appended in folders by day, ``read`` takes the latest row of each
+    key from them and from the folded rows, and ``fold`` moves days that are over into the folders of the keys that they
+    changed. Adding or folding rows twice changes nothing, so a step that was broken off is simply run again."""
+
+    DAY = "_day"
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], day: str, buckets: int = 32):
+        self.spark, self.keys, self.order, self.day = spark, list(keys), list(order), day
+        self.added, self.folded = f"{path.rstrip('/')}/added", KeyedTable(spark, f"{path.rstrip('/')}/folded", keys, buckets)
+
+    def add(self, rows: DataFrame) -> None:
+        rows.withColumn(self.DAY, F.to_date(self.day)).write.mode("append").partitionBy(self.DAY).parquet(self.added)
+
+    def _added(self) -> DataFrame | None:
+        return self.spark.read.parquet(self.added) if exists(self.spark, self.added) else None
+
+    def _latest(self, rows: DataFrame, *more: str) -> DataFrame:
+        picked = F.max_by(F.struct(*rows.columns), F.struct(*self.order))
+        return rows.groupBy(*more, *self.keys).agg(picked.alias("_row")).select("_row.*")
+
+    def read(self) -> DataFrame | None:
+        added, folded = self._added(), self.folded.read()
+        added = None if added is None else added.drop(self.DAY)
+        if added is None or folded is None:
+            return folded if added is None else self._latest(added)
+        return self._latest(folded.unionByName(added))
+
+    def fold(self, until: str) -> None:
+        """Fold the days before ``until`` (yyyy-MM-dd) and empty their folders."""
+        added = self._added()
+        over = None if added is None else added.where(F.col(self.DAY) < F.lit(until).cast("date"))
+        if over is None or over.isEmpty():
+            return
+        days = [r[0] for r in over.select(self.DAY).distinct().collect()]  # one row per day
+        self.folded.upsert(
+            self._latest(over.drop(self.DAY)), lambda old, new: self._latest(old.unionByName(new), BUCKET).select(new.columns)
+        )
+        for day in days:
+            over.drop(self.DAY).limit(0).write.mode("overwrite").parquet(f"{self.added}/{self.DAY}={day}")

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from constituent360.operators.temporal import latest_per_key
-from constituent360.sources.writers import BUCKET, KeyedTable
+from constituent360.sources.writers import BUCKET, Changes, KeyedTable
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, pattern: str | None = None, files_per_batch: int = 100) -> DataFrame:
@@ -54,6 +54,12 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, order: Sequence[str], ch
     return _start(stream, apply, checkpoint)
 
 
+def change_stream(stream: DataFrame, changes: Changes, checkpoint: str) -> StreamingQuery:
+    """Add every batch to a table of changes. What is written follows the batch, whatever the table holds, and a batch that is
+    added twice changes nothing in the view."""
+    return _start(stream, lambda batch, batch_id: changes.add(batch), checkpoint)
+
+
 def metric_refresh(
     stream: DataFrame, ts: str, value: str, by: Sequence[str], window: str = "1 hour", late: str | None = None
 ) -> DataFrame:
@@ -67,6 +73,13 @@ def metric_refresh(
     )
 
 
+def append_closed(metric: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the windows of a metric with a lateness to a Parquet folder when they close: each window once, for good. Its state
+    is dropped then, so what is kept between batches follows the lateness and not the history. A restart from the same
+    checkpoint goes on where the last run ended; windows that are still open come with a later run."""
+    return write_stream(metric, path, checkpoint)
+
+
 def refresh_table(metric: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
     """Write the changed windows of each batch into the table."""
 
