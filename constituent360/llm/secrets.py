@@ -1,10 +1,10 @@
 """Secret scan in DataFrame operations only: fixed patterns plus sliding-window entropy.
 
-The patterns find assignments, access keys and hexadecimal runs. On top of them, every run of key characters
-that holds a letter and a digit is a candidate: a window slides over it, the counts of its characters are kept up to
-date one character at a time, and where the Shannon entropy of the window reaches the threshold of
-the run's character class (hexadecimal digits or key characters), the windows together give a span. Runs on the allow
-list, and spans inside a span of a pattern, are left out.
+The patterns find assignments, access keys and hexadecimal runs. On top of them, the runs of key characters are cut at the parts
+that the allow list matches, and every piece that holds a letter and a digit is a candidate: a window slides over
+it, the counts of its characters are kept up to date one character at a time, and where the Shannon entropy of the window
+reaches the threshold of the piece's character class, the windows together give a span. Spans inside a span of a pattern
+are left out. The work grows with the length of a run, however long.
 
 Positions are code points, ends exclusive. They come from the lengths of the pieces between matches, so that no
 position is ever searched for. Defined cases: a null text counts as empty; rows stay one for one,
@@ -32,25 +32,16 @@ HEX = "[0-9a-f]{24,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-HEX_BITS, KEY_BITS = 2.95, 3.95
-#: Candidates that match one of these are no secrets: identifiers, dates, paths, samples.
-ALLOWED = (
-    "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "/.*/.*/",
-    "[eE][xX][aA][mM][pP][lL][eE]|[sS][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD]|[xX]{4}|[tT][eE][sS][tT]",
-)
-
-# With ``by_class``: the bits that about 98 % of random windows of each alphabet reach (40,000 windows drawn of each).
-CLASS_BITS = (("^[0-9a-fA-F]+$", HEX_BITS), ("^[a-z0-9]+$", 3.4), ("^[A-Z0-9]+$", 3.4))
+# The bits that about 98 % of random windows of each alphabet reach (40,000 windows drawn of each).
+CLASS_BITS = (("^[0-9a-fA-F]+$", 2.95), ("^[a-z0-9]+$", 3.4), ("^[A-Z0-9]+$", 3.4))
 MIXED_BITS = 3.68
 _WORD = "(?:[a-z]{2,}(?:[_-][a-z]+)*|[A-Z][a-z]+|[0-9]{2,})"
-#: With ``by_class``: parts of a run that are no secrets: identifiers, dates, plain path segments, samples.
-ALLOWED_PARTS = (
-    f"(?<![0-9A-Za-z]){ALLOWED[0][1:-1]}(?![0-9A-Za-z])",
-    "(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])",
-    f"(?:(?<=/)|^){_WORD}(?=/)|(?<=/){_WORD}$",
-    ALLOWED[3],
+#: Parts of a run that are no secrets: plain segments of a path, identifiers, dates, samples. The run stands between line ends.
+ALLOWED = (
+    rf"[/\n](?:{_WORD}[/\n])+", r"\n",
+    "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
+    "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    "[eE][xX][aA][mM][pP][lL][eE]|[sS][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD]|[xX]{4}|[tT][eE][sS][tT]",
 )
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -75,17 +66,17 @@ def _spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0
     return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(none)
 
 
-def _peaks(run: Column, threshold: Column) -> Column:
-    """struct(first, last): the ends of the first and the last window whose entropy reaches the threshold."""
+def _peaks(codes: Column, threshold: Column) -> Column:
+    """struct(first, last): the ends of the first and the last window whose entropy reaches the threshold; ``codes``: the
+    places of the characters in ALPHABET."""
     weights = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 2)])
-    at = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1)))
     state = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("s"), F.lit(0).alias("first"), F.lit(0).alias("last")
     )
 
     def step(old, i):
-        into = F.expr("0") + at(i)
-        out = F.when(i > WINDOW, at(F.greatest(i - WINDOW, F.lit(1)))).otherwise(F.lit(0))
+        into = F.element_at(codes, i)
+        out = F.when(i > WINDOW, F.element_at(codes, F.greatest(i - WINDOW, F.lit(1)))).otherwise(F.lit(0))
         counts = F.transform(
             old["counts"], lambda n, k: n + (k + 1 == into).cast("int") - (k + 1 == out).cast("int")
         )
@@ -102,15 +93,16 @@ def _peaks(run: Column, threshold: Column) -> Column:
         )
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(run)), state, step,
+        F.sequence(F.lit(1), F.size(codes)), state, step,
         lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")),
     )
 
 
-def _pieces(start: Column, run: Column) -> Column:
-    """(start, run) of what lies between the parts of a run that match ALLOWED_PARTS."""
-    pattern = "|".join(f"(?:{p})" for p in ALLOWED_PARTS)
-    gaps = F.arrays_zip(F.split(run, pattern, -1).alias("gap"), F.regexp_extract_all(run, F.lit(pattern), F.lit(0)).alias("hit"))
+def _candidates(start: Column, run: Column) -> Column:
+    """(start, run) of what lies between the parts of a run that the allow list matches."""
+    pattern = "|".join(f"(?:{p})" for p in ALLOWED)
+    framed = F.concat(F.lit("\n"), run, F.lit("\n"))
+    gaps = F.arrays_zip(F.split(framed, pattern, -1).alias("gap"), F.regexp_extract_all(framed, F.lit(pattern), F.lit(0)).alias("hit"))
     none = F.array().cast("array<struct<start:int,run:string>>")
 
     def step(state, piece):
@@ -119,7 +111,7 @@ def _pieces(start: Column, run: Column) -> Column:
         keep = F.char_length(piece["gap"]) >= WINDOW
         return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], F.array(own))).otherwise(state["out"]).alias("out"))
 
-    return F.aggregate(gaps, F.struct(start.alias("at"), none.alias("out")), step, lambda s: s["out"])
+    return F.aggregate(gaps, F.struct((start - 1).alias("at"), none.alias("out")), step, lambda s: s["out"])
 
 
 def _class_bits(run: Column) -> Column:
@@ -129,25 +121,19 @@ def _class_bits(run: Column) -> Column:
     return bits
 
 
-def _entropy_spans(text: Column, by_class: bool = False) -> Column:
+def _entropy_spans(text: Column) -> Column:
     runs = F.transform(
         _spans(text, CANDIDATE, 3),
         lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"] + 1, x["end"] - x["start"]).alias("run")),
     )
-    if by_class:
-        runs = F.flatten(F.transform(runs, lambda x: _pieces(x["start"], x["run"])))
-    allowed = "|".join(f"(?:{p})" for p in ALLOWED)
-    likely = F.filter(runs, lambda x: F.rlike(x["run"], F.lit("[0-9]")) & F.rlike(x["run"], F.lit("[A-Za-z]")))
-    if not by_class:
-        likely = F.filter(likely, lambda x: ~F.rlike(x["run"], F.lit(allowed)))
-    stated = lambda run: F.when(F.rlike(run, F.lit("^[0-9a-fA-F]+$")), F.lit(HEX_BITS)).otherwise(F.lit(KEY_BITS))
-    peaks = F.transform(
-        likely,
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            _peaks(x["run"], _class_bits(x["run"]) if by_class else stated(x["run"])).alias("peak"),
-        ),
+    pieces = F.flatten(F.transform(runs, lambda x: _candidates(x["start"], x["run"])))
+    likely = F.filter(pieces, lambda x: F.rlike(x["run"], F.lit("[0-9]")) & F.rlike(x["run"], F.lit("[A-Za-z]")))
+    # the characters' places are found once, then taken from an array
+    places = lambda run: F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    coded = F.transform(
+        likely, lambda x: F.struct(x["start"].alias("start"), places(x["run"]).alias("codes"), _class_bits(x["run"]).alias("bits"))
     )
+    peaks = F.transform(coded, lambda x: F.struct(x["start"].alias("start"), _peaks(x["codes"], x["bits"]).alias("peak")))
     return F.transform(
         F.filter(peaks, lambda x: x["peak"]["last"] > 0),
         lambda x: F.struct(
@@ -157,21 +143,15 @@ def _entropy_spans(text: Column, by_class: bool = False) -> Column:
     )
 
 
-def find(docs: DataFrame, by_class: bool = False) -> DataFrame:
-    """doc_id, base and extra: the spans of the patterns and those that the entropy adds, in order.
-
-    By default the entropy spans are those that the query's SQL states: one threshold for all runs that are not hexadecimal,
-    and a run that matches ALLOWED anywhere is left out. That misses many random keys of lower or upper case and digits, and
-    long keys with slashes. With ``by_class`` every character class has its own threshold, and only the matching parts of a
-    run are left out; long words next to digits are then reported more often.
-    """
+def find(docs: DataFrame) -> DataFrame:
+    """doc_id, base and extra: the spans of the patterns and those that the entropy adds, in order."""
     text = F.col("_text")
     found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text")).select(
         "doc_id",
         F.array_sort(
             F.concat(_spans(text, ASSIGN, 0, ASSIGN_LEAST, 2), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
         ).alias("base"),
-        F.when(F.rlike(text, F.lit(CANDIDATE)), _entropy_spans(text, by_class)).otherwise(F.array().cast(SPANS)).alias("_windows"),
+        F.when(F.rlike(text, F.lit(CANDIDATE)), _entropy_spans(text)).otherwise(F.array().cast(SPANS)).alias("_windows"),
     )
     inside = lambda x: F.exists(F.col("base"), lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
     return found.select("doc_id", "base", F.filter("_windows", lambda x: ~inside(x)).alias("extra"))

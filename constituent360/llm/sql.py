@@ -77,13 +77,21 @@ spans AS (
   SELECT doc_id, kind, CAST(stop - length(hit) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, hit
   FROM placed WHERE length(val) >= least),
 base AS (SELECT * FROM spans WHERE kind <> 'run'),
+allowed AS (SELECT '(?:[/\n](?:(?:[a-z]{2,}(?:[_-][a-z]+)*|[A-Z][a-z]+|[0-9]{2,})[/\n])+)|(?:\n)|(?:[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12})|(?:[0-9]{4}-[0-9]{2}-[0-9]{2})|(?:[eE][xX][aA][mM][pP][lL][eE]|[sS][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD]|[xX]{4}|[tT][eE][sS][tT])' AS pattern),
+cut AS (
+  SELECT doc_id, start, regexp_split_to_array(chr(10) || hit || chr(10), pattern) AS gaps,
+         list_concat(regexp_extract_all(chr(10) || hit || chr(10), pattern), ['']) AS parts
+  FROM spans, allowed WHERE kind = 'run'),
+pieces AS (
+  SELECT doc_id, start AS run, unnest(gaps) AS hit, unnest(parts) AS part, generate_subscripts(gaps, 1) AS nth FROM cut),
+between AS (
+  SELECT doc_id, hit,
+         run - 1 + sum(length(hit) + length(part)) OVER (PARTITION BY doc_id, run ORDER BY nth) - length(part) - length(hit) AS start
+  FROM pieces),
 runs AS (
-  SELECT doc_id, start, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 2.95 ELSE 3.95 END AS bits
-  FROM spans
-  WHERE kind = 'run' AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
-    AND NOT regexp_matches(hit, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
-    AND NOT regexp_matches(hit, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND NOT regexp_matches(hit, '/.*/.*/')
-    AND NOT regexp_matches(hit, '[eE][xX][aA][mM][pP][lL][eE]|[sS][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD]|[xX]{4}|[tT][eE][sS][tT]')),
+  SELECT doc_id, CAST(start AS BIGINT) AS start, hit,
+         CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 2.95 WHEN regexp_full_match(hit, '[a-z0-9]+|[A-Z0-9]+') THEN 3.4 ELSE 3.68 END AS bits
+  FROM between WHERE length(hit) >= 20 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')),
 windows AS (
   SELECT doc_id, start, hit, bits, unnest(range(0, length(hit) - 19)) AS off FROM runs),
 peaks AS (

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -159,20 +160,23 @@ def secrets_by_hand(text):
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     extra = []
-    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
-        run = m[0]
-        if len(run) < 20 or not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or any(re.search(p, run) for p in secrets.ALLOWED):
-            continue
-        bits = secrets.HEX_BITS if re.fullmatch("[0-9a-fA-F]+", run) else secrets.KEY_BITS
-        high = []
-        for i in range(len(run) - 19):
-            counts = collections.Counter(run[i : i + 20]).values()
-            if -sum(c / 20 * math.log2(c / 20) for c in counts) >= bits:
-                high.append(i)
-        if high:
-            span = (m.start() + high[0], 3, m.start() + high[-1] + 20)
-            if not any(a <= span[0] and span[2] <= b for a, _, b in base):
-                extra.append(span)
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        run, at = "\n" + m[0] + "\n", 0
+        for part in [*re.finditer("|".join(f"(?:{p})" for p in secrets.ALLOWED), run), None]:
+            piece, start = run[at : part.start() if part else len(run)], m.start() - 1 + at
+            at = part.end() if part else at
+            if len(piece) < 20 or not re.search("[0-9]", piece) or not re.search("[A-Za-z]", piece):
+                continue
+            bits = next((b for p, b in secrets.CLASS_BITS if re.search(p, piece)), secrets.MIXED_BITS)
+            high = []
+            for i in range(len(piece) - 19):
+                counts = collections.Counter(piece[i : i + 20]).values()
+                if -sum(c / 20 * math.log2(c / 20) for c in counts) >= bits:
+                    high.append(i)
+            if high:
+                span = (start + high[0], 3, start + high[-1] + 20)
+                if not any(a <= span[0] and span[2] <= b for a, _, b in base):
+                    extra.append(span)
     return sorted(base), extra
 
 
@@ -185,7 +189,7 @@ def test_secrets(docs, rows):
     assert any(b for _, b, _ in found) and any(e for _, _, e in found)
 
 
-def test_secrets_by_class(spark):
+def test_secrets_of_every_class(spark):
     """Random keys of every alphabet are found at 20 characters, and long ones in spite of slashes; plain runs are not."""
     r = random.Random(3)
     lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -200,19 +204,29 @@ def test_secrets_by_class(spark):
     plain = ["usr/share/projects/12345/holdings", "/home/data/reports/2020/archive", "123e4567-e89b-12d3-a456-426614174000", "2020-01-01-example-sample-1"]
     rows += [(len(rows) + i, t) for i, t in enumerate(plain)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    hits = {r["doc_id"] for r in secrets.find(docs, by_class=True).collect() if r["extra"]}
+    hits = {r["doc_id"] for r in secrets.find(docs).collect() if r["extra"]}
     shares = [sum(k * n <= i < (k + 1) * n for i in hits) / n for k in range(len(kinds))]
     assert min(shares) >= 0.95 and max(hits) < len(kinds) * n
 
 
-def test_secrets_by_class_places(spark):
+def test_places_of_secrets(spark):
     key = "k3v9q0x7m2z8p4t1w6yb"
     text = f"see /usr/lib/{key}/share and 2020-01-01{key.upper()}"
-    (row,) = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), by_class=True).collect()
+    (row,) = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     found = [text[e["start"] : e["end"]] for e in row["extra"]]
     assert len(found) == 2 and key in found[0] and found[1] == key.upper()
 
 
+def test_a_very_long_run_takes_seconds(spark):
+    r = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    texts = ["x" * 30 + "".join(r.choice(letters) for _ in range(100_000)) + "=", "ab1" * 30_000]
+    started = time.time()
+    found = secrets.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert time.time() - started < 60
+    assert [(tuple(map(tuple, x["base"])), tuple(map(tuple, x["extra"]))) for x in sorted(found)] == [tuple(map(tuple, secrets_by_hand(t))) for t in texts]
+
+
 # ---- language
 
 
