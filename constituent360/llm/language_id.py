@@ -136,7 +136,7 @@ def displaced(rows: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.nd
     # a single move can go to any gap
     left = np.flatnonzero(degree == 1)
     symbol = np.fromiter((next(iter(rows[i])) for i in left.tolist()), np.int64, len(left))
-    order = np.argsort(symbol, kind="stable")
+    order = np.argsort(-symbol, kind="stable")  # gaps rise and symbols fall, so that names differ
     left, symbol = left[order], symbol[order]
     skipped = width
     while len(left):
