@@ -11,12 +11,13 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import AFTSurvivalRegression, IsotonicRegression
+from pyspark.ml.regression import AFTSurvivalRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from constituent360.functions.dates import day
 from constituent360.functions.numbers import count_if
+from constituent360.operators.calibration import calibrated, isotonic_blocks
 from constituent360.operators.evaluation import auc, point_metrics
 from constituent360.operators.features import CHURN_FEATURES, UPGRADE_FEATURES, churn_features, upgrade_features
 from constituent360.operators.recommend import best_path, churn_tier
@@ -196,12 +197,9 @@ def cross_validate(df, features, label, key, folds: int = 5, params: TreeParams
 
 
 def calibrate(scored: DataFrame, score: str, label: str):
-    """Isotonic calibration fitted on scored rows; returns (model, rows with ``calibrated``)."""
-    rows = scored.withColumn("_x", F.col(score).cast("double"))
-    # one row per score, weighted by its count: fewer rows to fit, and the same blocks
-    points = rows.groupBy("_x").agg(F.avg(F.col(label).cast("double")).alias("_y"), F.count("*").cast("double").alias("_w"))
-    model = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="calibrated").fit(points)
-    return model, model.transform(rows).drop("_x")
+    """Isotonic calibration fitted on scored rows; returns (blocks of the fit, rows with ``calibrated``)."""
+    blocks = isotonic_blocks(scored, score, label)
+    return blocks, calibrated(blocks, scored, score)
 
 
 def segment_kmeans(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int = 42) -> DataFrame:

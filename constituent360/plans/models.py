@@ -341,9 +341,14 @@ def _(spark, sf_dir):
     return L.compare_models(model_features(spark, sf_dir), X.CHURN_FEATURES, "label", "constituent_id", L.classifiers("label"))
 
 
-@query("model_calibration")
-def _(spark, sf_dir):
-    return L.calibrate(scored(spark, sf_dir), "score", "label")[1].select("prediction_id", "score", "calibrated")
+@query("model_calibration", f"""WITH {SCORED}, pts AS (SELECT score, sum(label) AS y, count(*) AS w, row_number() OVER (ORDER BY score) AS i FROM scored GROUP BY 1),
+run AS (SELECT *, sum(y) OVER (ORDER BY i) AS sy, sum(w) OVER (ORDER BY i) AS sw FROM pts),
+least AS (SELECT a.i AS a, b.i AS b, min(CAST(b.sy - a.sy + a.y AS DOUBLE) / (b.sw - a.sw + a.w)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS m FROM run a JOIN run b ON a.i <= b.i),
+fit AS (SELECT b AS i, max(m) AS v FROM least GROUP BY 1)
+SELECT prediction_id, s.score, round(v, 9) AS calibrated FROM scored s JOIN pts USING (score) JOIN fit USING (i)""", ("predictions",))
+def _(spark, sf_dir):
+    """The fit is the greatest, over starts up to a score, of the least mean over ends from it on."""
+    return L.calibrate(scored(spark, sf_dir), "score", "label")[1].select("prediction_id", "score", F.round("calibrated", 9).alias("calibrated"))
 
 
 @query("donor_segment_sizes", """SELECT true AS five_or_fewer, CAST(count(DISTINCT constituent_id) AS BIGINT) AS donors FROM donations

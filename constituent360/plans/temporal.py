@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from constituent360.operators import temporal as H
+from constituent360.operators.asof import as_of_join
 from constituent360.plans.registry import query
 from constituent360.session import scratch
 from constituent360.sources import tpch
@@ -51,6 +52,34 @@ def _(spark, sf_dir):
     return H.as_of(history(spark, sf_dir), dt.date(2001, 3, 1)).select("constituent_id", "segment", "balance")
 
 
+@query("gifts_as_of", f"""WITH {SNAP} SELECT o_orderkey AS gift_no, CAST(o_custkey AS VARCHAR) AS constituent_id, CAST(o_orderdate AS DATE) AS gift_date, segment, balance, effective_date, change_reason
+  FROM orders LEFT JOIN history ON constituent_id = CAST(o_custkey AS VARCHAR) AND effective_date <= CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) < end_date""")
+def _(spark, sf_dir):
+    """Every gift with the segment and balance that its giver had on that day."""
+    gifts = tpch.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("gift_no"), F.col("o_custkey").cast("string").alias("constituent_id"), F.col("o_orderdate").cast("date").alias("gift_date")
+    )
+    found = as_of_join(gifts, history(spark, sf_dir), KEYS, "gift_date", "effective_date", "end_date")
+    return found.select(*gifts.columns, *[F.col(f"version.{c}") for c in (*ATTRS, "effective_date", "change_reason")])
+
+
+LAST_STATUS = """st AS (SELECT CAST(o_custkey AS VARCHAR) AS constituent_id, CAST(o_orderdate AS DATE) AS change_date, CASE o_orderpriority WHEN '1-URGENT' THEN 'cancelled'
+  WHEN '2-HIGH' THEN 'payment_failed_final' WHEN '3-MEDIUM' THEN 'payment_failed' ELSE 'resumed' END AS change_type FROM orders WHERE o_orderstatus = 'P'),
+one_a_day AS (SELECT constituent_id, change_date, max(change_type) AS change_type FROM st GROUP BY 1, 2)"""
+
+
+@query("gift_status_as_of", f"""WITH {LAST_STATUS} SELECT o_orderkey AS gift_no, change_type, change_date FROM orders o
+  ASOF LEFT JOIN one_a_day s ON s.constituent_id = CAST(o.o_custkey AS VARCHAR) AND CAST(o.o_orderdate AS DATE) >= s.change_date""")
+def _(spark, sf_dir):
+    """Every gift with the last change of status up to its day: a history without ends."""
+    gifts = tpch.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("gift_no"), F.col("o_custkey").cast("string").alias("constituent_id"), F.col("o_orderdate").cast("date").alias("gift_date")
+    )
+    changes = tpch.status_changes(spark, sf_dir).select("constituent_id", "change_type", "change_date")
+    found = as_of_join(gifts, changes, KEYS, "gift_date", "change_date")
+    return found.select("gift_no", "version.change_type", "version.change_date")
+
+
 @query("change_log", f"""WITH {SNAP}, f AS (SELECT constituent_id, unnest([{{'f': 'segment', 'o': s1, 'n': s2}}, {{'f': 'balance', 'o': CAST(b1 AS VARCHAR), 'n': CAST(b2 AS VARCHAR)}}]) AS c FROM cmp)
 SELECT constituent_id, c.f AS field, c.o AS old_value, c.n AS new_value, 'loader' AS changed_by, DATE '2001-06-01' AS changed_at, 'refresh' AS reason, 'crm' AS process FROM f WHERE c.o IS DISTINCT FROM c.n""")
 def _(spark, sf_dir):
