@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Role mailboxes that never identify one person (matching rule).
@@ -131,3 +131,21 @@ def phonetic_match(a: Column, b: Column) -> Column:
 def parse_attributes(c: Column) -> Column:
     """Free-form event attributes held as JSON text, as a string map."""
     return F.from_json(c, "map<string,string>")
+
+
+def attributes(c: Column) -> Column:
+    """The same as a variant of any depth; null where the text is missing or is not JSON."""
+    return F.try_parse_json(c)
+
+
+def attribute(attrs: Column, path: str, kind: str = "string") -> Column:
+    """A value inside a variant; null where the path leads nowhere, at a JSON null, and where the value is not of the kind."""
+    return F.try_variant_get(attrs, path, kind)
+
+
+def with_attributes(df: DataFrame, text: str, paths: dict[str, tuple[str, str]], well_formed: str = "well_formed") -> DataFrame:
+    """Every row with one column per (path, kind), read from one parse of the text, and whether the text is JSON: false where
+    it is malformed, null where it is missing. Rows are kept whatever their text holds; columns of the same names are replaced."""
+    parsed = df.withColumn("_attrs", attributes(F.col(text)))
+    found = {name: attribute(F.col("_attrs"), path, kind) for name, (path, kind) in paths.items()}
+    return parsed.withColumns({**found, well_formed: F.when(F.col(text).isNotNull(), F.col("_attrs").isNotNull())}).drop("_attrs")

@@ -196,6 +196,64 @@ def cross_validate(df, features, label, key, folds: int = 5, params: TreeParams
     return compare_models(df, features, label, key, {"gradient_boosting": gbt(label, params)}, folds, params.seed)
 
 
+@dataclass(frozen=True)
+class Fold:
+    """Train on days up to ``train_to``, test on days after ``after`` up to ``test_to``."""
+
+    fold: int
+    train_to: dt.date
+    after: dt.date
+    test_to: dt.date
+
+    def train(self, ts: str) -> Column:
+        return F.col(ts).cast("date") <= F.lit(self.train_to)
+
+    def test(self, ts: str) -> Column:
+        return (F.col(ts).cast("date") > F.lit(self.after)) & (F.col(ts).cast("date") <= F.lit(self.test_to))
+
+
+def time_folds(df: DataFrame, ts: str, folds: int = 5, gap: int = 90) -> list[Fold]:
+    """Rolling origins at equal shares of the rows by time. A fold is tested on the days up to the next origin and trained on
+    days that lie ``gap`` or more before its own: labels that look ``gap`` days ahead are then known at the origin. Rows
+    without a time are in no fold; no rows give no folds."""
+    days = df.select(F.unix_date(F.col(ts).cast("date")).alias("_t"))
+    cuts = quantiles(days, "_t", [k / (folds + 1) for k in range(1, folds + 2)]).first()
+    if cuts is None or cuts["q0"] is None:
+        return []
+    at = [dt.date(1970, 1, 1) + dt.timedelta(days=int(cuts[f"q{k}"] // 1)) for k in range(folds + 1)]
+    return [Fold(k + 1, at[k] - dt.timedelta(days=gap), at[k], at[k + 1]) for k in range(folds)]
+
+
+def cross_validate_in_time(
+    df: DataFrame, features: Sequence[str], label: str, ts: str, classifier=None, folds: int = 5, gap: int = 90
+) -> DataFrame:
+    """One row per fold: fold, train_rows, train_to (its last day), test_rows, test_from, test_to, auc. Each model is fitted on the
+    past of its origin only and all folds are measured in one pass. The area is null where a fold has no rows to train on
+    or tests one class only; rows without a label are left out."""
+    spark = df.sparkSession
+    rows = cut_lineage(df.select(*features, F.col(label).cast("double").alias("_y"), F.col(ts).cast("date").alias("_t")).where("_y IS NOT NULL"))
+    plan = time_folds(rows, "_t", folds, gap)
+    sizes, boxes = [], []
+    for f in plan:
+        found = {
+            "train_rows": count_if(f.train("_t")), "train_to": F.max(F.when(f.train("_t"), F.col("_t"))), "test_rows": count_if(f.test("_t")),
+            "test_from": F.min(F.when(f.test("_t"), F.col("_t"))), "test_to": F.max(F.when(f.test("_t"), F.col("_t"))),
+        }
+        sizes += [c.alias(f"{name}{f.fold}") for name, c in found.items()]
+        boxes.append(F.struct(F.lit(f.fold).alias("fold"), *[F.col(f"{name}{f.fold}").alias(name) for name in found]))
+    empty = "fold int, train_rows long, train_to date, test_rows long, test_from date, test_to date"
+    table = cut_lineage(rows.agg(*sizes).select(F.inline(F.array(*boxes)))) if plan else spark.createDataFrame([], empty)
+    trained = {r["fold"] for r in table.where("train_rows > 0 AND test_rows > 0").select("fold").collect()}
+    scored = spark.createDataFrame([], "fold int, _s double, _y double")
+    for f in plan:
+        if f.fold in trained:
+            model = _pipeline(features, classifier or gbt("_y", TreeParams())).fit(rows.where(f.train("_t")))
+            part = _scored(model, rows.where(f.test("_t")), "_s")
+            scored = scored.unionByName(part.select(F.lit(f.fold).alias("fold"), "_s", "_y"))
+    areas = auc(scored, "_s", "_y", ["fold"]).select("fold", F.col("auc_roc").alias("auc"))
+    return table.join(areas, "fold", "left")
+
+
 def calibrate(scored: DataFrame, score: str, label: str):
     """Isotonic calibration fitted on scored rows; returns (blocks of the fit, rows with ``calibrated``)."""
     blocks = isotonic_blocks(scored, score, label)

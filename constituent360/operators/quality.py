@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -216,6 +217,48 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     return out.join(distinct, "column", "left").withColumn("distinct_values", F.coalesce("_d", F.lit(0))).drop("_d")
 
 
+def profile_parts(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(by, column, rows, missing, least, greatest, n, mean, m2, values, ranks): profiles that can be stored and merged, one row per
+    part and column, in one pass. ``values`` is a sketch of the distinct values, ``ranks`` one of the order of
+    numbers; other columns have no ``ranks``. A null in ``by`` is a part of its own."""
+    columns, aggregates, boxes = list(columns), [F.count("*").alias("rows")], []
+    for i, name in enumerate(columns):
+        numeric = isinstance(df.schema[name].dataType, NumericType)
+        c, missing = F.col(name), _missing(df, name)
+        there = F.when(~missing, c)
+        number = there.cast("double") if numeric else F.lit(None).cast("double")
+        shown = (lambda v: v.cast("double").cast("string")) if numeric else (lambda v: v.cast("string"))
+        made = {
+            "missing": count_if(missing), "least": shown(F.min(there)), "greatest": shown(F.max(there)), "n": F.count(number),
+            "mean": F.avg(number), "m2": F.var_pop(number) * F.count(number), "values": F.hll_sketch_agg(F.concat(F.lit("="), there.cast("string")), 14),  # a sketch leaves empty strings out
+            "ranks": F.kll_sketch_agg_double(number, 400) if numeric else F.lit(None).cast("binary"),
+        }
+        aggregates += [v.alias(f"{k}{i}") for k, v in made.items()]
+        boxes.append(F.struct(F.lit(name).alias("column"), F.lit(numeric).alias("numeric"), F.col("rows"), *[F.col(f"{k}{i}").alias(k) for k in made]))
+    return df.groupBy(*by).agg(*aggregates).select(*by, F.inline(F.array(*boxes)))
+
+
+def merged_profile(parts: DataFrame, by: Sequence[str] = (), ranks: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One profile per column (and value of ``by``) from stored parts, without the rows behind them: rows, missing, distinct_values
+    (within about 2 %), least, greatest, mean, stddev and one q<i> per rank (a value whose own rank is within about
+    1 % of it). Mean and deviation are exact up to rounding."""
+    keys = [*by, "column", "numeric"]
+    centre = (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_centre")
+    same = [parts[k].eqNullSafe(F.col(f"_{k}")) for k in keys]
+    centres = parts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(centre)
+    placed = parts.join(centres, reduce(lambda a, b: a & b, same))
+    low, high = (F.when(F.col("numeric"), f(F.expr("try_cast(least AS double)") if f is F.min else F.expr("try_cast(greatest AS double)"))) for f in (F.min, F.max))
+    spread = F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("_centre"), 2))
+    merged = placed.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.sum("missing").alias("missing"), F.hll_sketch_estimate(F.hll_union_agg("values")).alias("distinct_values"),
+        F.coalesce(low.cast("string"), F.min("least")).alias("least"), F.coalesce(high.cast("string"), F.max("greatest")).alias("greatest"),
+        F.max("_centre").alias("mean"), F.when(F.sum("n") > 1, F.sqrt(spread / (F.sum("n") - 1))).alias("stddev"),
+        F.sum("n").alias("_n"), F.kll_merge_agg_double("ranks").alias("_ranks"),
+    )
+    at = [F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_double("_ranks", F.lit(float(r)))).alias(f"q{i}") for i, r in enumerate(ranks)]
+    return merged.select(*[k for k in keys if k != "numeric"], "rows", "missing", "distinct_values", "least", "greatest", "mean", "stddev", *at)
+
+
 @dataclass(frozen=True)
 class Constraint:
     """kind: primary_key, unique, not_null, check (``rule``) or foreign_key (``parent``, ``parent_columns``)."""

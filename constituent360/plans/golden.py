@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from constituent360.functions import text as T
 from constituent360.operators import features as X
 from constituent360.operators import golden as G
 from constituent360.operators import metrics as M
@@ -319,6 +320,22 @@ def _(spark, sf_dir):
     )
 
 
+@query("event_attribute_paths", """SELECT event_id, props IS NOT NULL AND event_id % 7 <> 0 AS well_formed, CASE WHEN event_id % 7 > 1 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+  CASE WHEN event_id % 7 = 1 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS inner_k, CASE WHEN event_id % 7 = 1 THEN event_type END AS second, CASE WHEN event_id % 7 = 1 THEN user_id END AS first
+  FROM events""")
+def _(spark, sf_dir):
+    """Attributes of web events of which some are nested one level deeper, in lists, and some are cut off."""
+    props, n = F.col("props"), F.col("event_id") % 7
+    nested = F.concat(F.lit('{"outer": {"inner": '), props, F.lit(', "list": ['), F.col("user_id"), F.lit(', "'), F.col("event_type"), F.lit('"]}}'))
+    events = tpch.table(spark, sf_dir, "events").select(
+        "event_id", F.when(n == 0, F.expr("left(props, length(props) - 1)")).when(n == 1, nested).otherwise(props).alias("text")
+    )
+    paths = {
+        "k": ("$.k", "long"), "inner_k": ("$.outer.inner.k", "long"), "first": ("$.outer.list[0]", "long"), "second": ("$.outer.list[1]", "string"),
+    }
+    return T.with_attributes(events, "text", paths).drop("text")
+
+
 @query("extra_features", f"""SELECT c.constituent_id, c.canonical_state, coalesce(v, 0) AS website_visits_30d, kinds AS content_types, round(income, 4) AS median_income FROM constituents c
 LEFT JOIN (SELECT constituent_id, count(*) FILTER (event_type = 'view' AND event_date >= {EVENTS_AS_OF} - 30) AS v, string_agg(DISTINCT event_type, '+' ORDER BY event_type) AS kinds FROM engagement GROUP BY 1) e USING (constituent_id)
 LEFT JOIN (SELECT canonical_state, quantile_cont(CAST(lifetime_value_estimate AS DOUBLE), 0.5) AS income FROM constituents GROUP BY 1) i ON i.canonical_state = c.canonical_state""", ("constituents", "engagement"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from constituent360.operators import evaluation as E
 from constituent360.operators import features as X
 from constituent360.operators import models as L
 from constituent360.operators import recommend as R
+from constituent360.operators import totals
 from constituent360.operators import golden as G
 from constituent360.plans.golden import EVENT_SHIFT
 from constituent360.plans.registry import query
@@ -411,3 +413,27 @@ def _(spark, sf_dir):
     train, valid = L.split(o, "o_orderkey", 0.8, "o_orderstatus")
     both = train.withColumn("t", F.lit(1)).unionByName(valid.withColumn("t", F.lit(0)))
     return both.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("t").alias("train"))
+
+
+@query("cross_validation_in_time", """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders), known AS (SELECT d, datediff('day', DATE '1970-01-01', d) AS n FROM o WHERE d + 90 <= (SELECT max(d) FROM o)),
+q AS (SELECT list_sort(list(c)) AS c FROM (SELECT DATE '1970-01-01' + CAST(floor(unnest(quantile_cont(n, [1/6, 2/6, 3/6, 4/6, 5/6, 1]))) AS INTEGER) AS c FROM known)),
+f AS (SELECT k AS fold, c[k] AS a, c[k + 1] AS b FROM q, (VALUES (1), (2), (3), (4), (5)) v(k))
+SELECT fold, count(*) FILTER (d <= a - 90) AS train_rows, max(d) FILTER (d <= a - 90) AS train_to, count(*) FILTER (d > a AND d <= b) AS test_rows, min(d) FILTER (d > a AND d <= b) AS test_from,
+  max(d) FILTER (d > a AND d <= b) AS test_to, true AS auc_fits, true AS gap_kept FROM f, known GROUP BY fold""")
+def _(spark, sf_dir):
+    """Does a giver give again within 90 days? Features of a gift look back from its day, labels 90 days ahead."""
+    day = F.unix_date(F.col("o_orderdate").cast("date"))
+    gifts = tpch.table(spark, sf_dir, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("gift_date"), F.col("o_totalprice").cast("double").alias("amount"),
+        day.alias("day"), F.struct(day.alias("d"), "o_orderkey").alias("at"), F.struct((-day).alias("d"), (-F.col("o_orderkey")).alias("k")).alias("back"),
+    )
+    seen = totals.previous_values(totals.previous_values(gifts, ["o_custkey"], "at", "day", ["before"]), ["o_custkey"], "back", "day", ["next"])
+    last = gifts.agg(F.max("gift_date")).first()[0]
+    rows = seen.where(F.date_add("gift_date", 90) <= F.lit(last)).select(
+        "gift_date", "amount", F.coalesce(F.col("day") - F.col("before"), F.lit(999)).cast("double").alias("days_since"),
+        F.coalesce(F.col("next") - F.col("day") <= 90, F.lit(False)).cast("int").alias("again"),
+    )
+    classifier = LogisticRegression(featuresCol="_features", labelCol="_y", probabilityCol="_probability", rawPredictionCol="_margin", predictionCol="_prediction")
+    out = L.cross_validate_in_time(rows, ["amount", "days_since"], "again", "gift_date", classifier)
+    fits = F.col("auc").isNull() | F.col("auc").between(0, 1)
+    return out.withColumns({"auc_fits": fits, "gap_kept": F.coalesce(F.datediff("test_from", "train_to") > 90, F.lit(True))}).drop("auc")

@@ -10,7 +10,9 @@ from constituent360.functions.text import norm_phone
 from constituent360.operators import quality as Q
 from constituent360.plans.golden import GOLDEN_TABLES, _GOLDEN, golden
 from constituent360.plans.registry import query
+from constituent360.session import scratch
 from constituent360.sources import tpch
+from constituent360.sources import writers as OUT
 
 EMAIL_RE = Q.PATTERNS["email"]
 
@@ -104,6 +106,33 @@ def _(spark, sf_dir):
     return p.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
+_M = lambda c, num: f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS missing, true AS distinct_close, true AS median_close,
+  """ + (f"min({c}) AS least, max({c}) AS greatest, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev" if not num else
+         f"CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR) AS least, CAST(CAST(max({c}) AS DOUBLE) AS VARCHAR) AS greatest, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev") + " FROM lineitem"
+
+
+@query("quality_merged_profile", " UNION ALL ".join([_M("l_quantity", True), _M("l_partkey", True), _M("l_linestatus", False)]))
+def _(spark, sf_dir):
+    """Profiles of months, stored as they come in and merged without the rows; held against exact counts and ranks."""
+    columns = ["l_quantity", "l_partkey", "l_linestatus"]
+    lines = tpch.table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    path, cut = scratch(spark, "profiles"), "2001-01"
+    for new in (lines.where(F.col("month") < cut), lines.where(F.col("month") >= cut)):
+        OUT.replace_partitions(Q.profile_parts(new, ["month"], columns), path, ["month"])
+    found = Q.merged_profile(spark.read.parquet(path), ranks=[0.5])
+    exact = lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"), F.expr(f"try_cast({c} AS double)").alias("x")) for c in columns])))
+    exact = exact.groupBy("column", "v", "x").agg(F.count("*").alias("n"))
+    held = exact.join(found.select("column", "q0"), "column").groupBy("column").agg(
+        F.count("v").alias("_d"), (F.sum(F.when(F.col("x") < F.col("q0"), F.col("n"))) / F.sum("n")).alias("_low"),
+        (F.sum(F.when(F.col("x") <= F.col("q0"), F.col("n"))) / F.sum("n")).alias("_high"),
+    )
+    return found.join(held, "column").select(
+        "column", "rows", "missing", (F.abs(F.col("distinct_values") / F.col("_d") - 1) < 0.03).alias("distinct_close"),
+        (F.col("q0").isNull() | ((F.coalesce("_low", F.lit(0)) <= 0.52) & (F.col("_high") >= 0.48))).alias("median_close"),
+        "least", "greatest", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+    )
+
+
 CONSTRAINTS = [
     Q.Constraint("pk_constituents", "constituents", "primary_key", ("constituent_id",)),
     Q.Constraint("uq_lines", "lines", "unique", ("l_orderkey", "l_linenumber")),

@@ -84,6 +84,30 @@ def _(spark, sf_dir):
     return audit(1).unionByName(audit(10**12))
 
 
+_WRITTEN = "TIMESTAMP '2001-08-01 02:00:00' AS extracted_at, CAST(60 AS DOUBLE) AS duration_seconds"
+
+
+@query("source_write_audit", f"""SELECT 'gifts' AS "table", count(*) > 0 AS success, count(*) AS records_extracted, {_WRITTEN}, false AS failed FROM donations
+UNION ALL SELECT 'none', false, 0, {_WRITTEN}, true UNION ALL SELECT 'broken', false, 0, {_WRITTEN}, true""", ("donations",))
+def _(spark, sf_dir):
+    """Extracts audited by their own writes: a whole one, one without rows and one that ends in an error."""
+    import datetime as dt
+
+    path, out = scratch(spark, "extract"), None
+    went = F.when(F.col("donation_type").isNotNull(), F.raise_error("source went away")).cast("string")
+    extracts = {
+        "gifts": lambda session: tpch.donations(session, sf_dir),
+        "none": lambda session: tpch.donations(session, sf_dir).where("donation_amount < -1e9"),
+        "broken": lambda session: tpch.donations(session, sf_dir).withColumn("donation_type", went),
+    }
+    for name, extract in extracts.items():
+        start = dt.datetime(2001, 8, 1, 2)
+        times = iter([start, start + dt.timedelta(minutes=1)])
+        row = OUT.write_audited(spark, extract, f"{path}/{name}", "parquet", "crm", name, lambda: next(times))
+        out = row if out is None else out.unionByName(row)
+    return out.select("table", "success", "records_extracted", "extracted_at", "duration_seconds", F.col("error_message").isNotNull().alias("failed"))
+
+
 @query("sink_partitioned_facts", "SELECT *, strftime(donation_date, '%Y-%m') AS donation_year_month FROM donations WHERE donation_date BETWEEN DATE '1998-02-10' AND DATE '1998-05-05'", ("donations",))
 def _(spark, sf_dir):
     import datetime as dt

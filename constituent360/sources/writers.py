@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from constituent360.functions.dates import year_month
@@ -24,6 +26,32 @@ def write_dataset(df: DataFrame, path: str, fmt: str) -> None:
     writer.format(fmt).save(path)
 
 
+def write_audited(
+    spark: SparkSession, extract: Callable[[SparkSession], DataFrame], path: str, fmt: str, source: str, table: str,
+    clock: Callable[[], dt.datetime], least: int = 1,
+) -> DataFrame:
+    """Run an extract, write it and return its audit row, in the form of ``readers.extract_audit``. The records are counted by the
+    write itself, as they pass. An error in reading or writing is recorded (its first line) and not raised, with no
+    records extracted. ``clock`` is read before and after.
+
+    ``extract`` gets a session of its own in the same application: a session that has observed a write can no longer
+    score models that keep a summary of their training (logistic regression, random forest)."""
+    started, records, error = clock(), 0, None
+    try:
+        seen = Observation()
+        write_dataset(extract(spark.newSession()).observe(seen, F.count(F.lit(1)).alias("records")), path, fmt)
+        records = int(seen.get.get("records", 0))
+        if records < least:
+            error = f"expected {least} records or more, got {records}"
+    except PySparkException as failure:
+        error = str(failure).strip().split("\n")[0]
+    ended = clock()
+    row = (source, table, error is None, records, started, (ended - started).total_seconds(), error)
+    return spark.createDataFrame(
+        [row], "source string, table string, success boolean, records_extracted long, extracted_at timestamp_ntz, duration_seconds double, error_message string"
+    )
+
+
 def write_partitioned(df: DataFrame, path: str, date: str, name: str, salt: int | None = None) -> None:
     """Facts by month. Rows are dealt out by month and by ``salt`` slices of a month (as many as there are shuffle
     partitions unless given); small slices are put together again and large ones split when their sizes are known."""

@@ -17,6 +17,7 @@ SAMPLE = (
     "pipeline_links", "pipeline_golden", "stream_upsert", "source_extract_audit", "source_first_per_person", "quality_profile",
     "retention_events", "retention_logs", "constituent_features", "identity_fuzzy_join", "metric_anomalies", "model_drift",
     "stratified_split", "time_split", "gift_timing", "extra_features", "gifts_as_of", "gift_status_as_of", "model_calibration",
+    "event_attribute_paths", "cross_validation_in_time", "quality_merged_profile", "source_write_audit",
 )
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
