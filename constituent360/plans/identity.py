@@ -8,9 +8,10 @@ from constituent360.functions import text as T
 from constituent360.operators import golden as G
 from constituent360.operators import identity as I
 from constituent360.operators import matching as M
+from constituent360.operators.match_store import MatchStore
 from constituent360.plans.registry import query
 from constituent360.plans.sql_domain import AS_OF
-from constituent360.session import cut_lineage
+from constituent360.session import cut_lineage, scratch
 from constituent360.sources import tpch
 
 CFG = M.MatchConfig()
@@ -162,6 +163,16 @@ def _(spark, sf_dir):
     return I.unify_incremental(new, old, I.unify(old, CFG).clusters, CFG)
 
 
+@query("identity_stored_batches", f"WITH RECURSIVE {CLUSTERS} SELECT * FROM clusters", ("all_pairs",))
+def _(spark, sf_dir):
+    """Each source system arrives as a batch of its own; a batch reads only the stored blocks that it touches."""
+    raw = cut_lineage(tpch.source_records(spark, sf_dir))
+    store = MatchStore(spark, scratch(spark, "matches"), CFG, 8)
+    for system in ("donations", "subscriptions", "tickets"):
+        store.add(raw.where(F.col("source_system") == system))
+    return store.clusters()
+
+
 @query("identity_fuzzy_join", """SELECT a.record_key AS record_key, b.record_key AS right_record_key, round(jaro_winkler_similarity(a.last_part, b.last_part), 9) AS similarity
 FROM records a JOIN records b ON a.zip_code = b.zip_code WHERE a.source_system = 'donations' AND b.source_system = 'subscriptions' AND a.last_part <> '' AND b.last_part <> ''
   AND jaro_winkler_similarity(a.last_part, b.last_part) > 0.8""", ("records",))
