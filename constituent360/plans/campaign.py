@@ -27,11 +27,11 @@ eligible AS (SELECT crm_household_id, crm_person_id, household_address_line, fir
   FROM heads JOIN account USING (crm_household_id) JOIN journeys USING (crm_household_id) JOIN places USING (crm_person_id)
   LEFT JOIN membership USING (crm_household_id) LEFT JOIN firsts USING (crm_household_id)
   WHERE coalesce(membership_sub_level_code, '') <> 'MAJOR_DONOR'),
-bucketed AS (SELECT *, CASE
-    WHEN member_journey_type_name = 'One-Time' AND most_recent_one_time_date BETWEEN DATE '{PARAMS.recent_start}' AND DATE '{PARAMS.recent_end}'
-      AND first_gift_date >= DATE '{PARAMS.first_year_cutoff}' AND most_recent_one_time_amount < 1200 THEN '{C.FIRST_YEAR}'
-    WHEN member_journey_type_name = 'One-Time' AND most_recent_one_time_date BETWEEN DATE '{PARAMS.recent_start}' AND DATE '{PARAMS.recent_end}'
-      AND most_recent_one_time_amount >= 1200 THEN '{C.LEADERSHIP}' END AS "DirectMailSubType" FROM eligible),
+one_time AS (SELECT crm_household_id, crm_person_id, most_recent_one_time_amount AS gift, first_gift_date AS since FROM eligible
+  WHERE member_journey_type_name = 'One-Time' AND most_recent_one_time_date >= DATE '{PARAMS.recent_start}' AND most_recent_one_time_date <= DATE '{PARAMS.recent_end}'),
+chosen AS (SELECT crm_household_id, crm_person_id, '{C.LEADERSHIP}' AS bucket FROM one_time WHERE gift >= 1200
+  UNION SELECT crm_household_id, crm_person_id, '{C.FIRST_YEAR}' FROM one_time WHERE gift < 1200 AND since >= DATE '{PARAMS.first_year_cutoff}'),
+bucketed AS (SELECT eligible.*, bucket AS "DirectMailSubType" FROM eligible LEFT JOIN chosen USING (crm_household_id, crm_person_id)),
 listing AS (SELECT * EXCLUDE (first_gift_date) FROM bucketed WHERE "DirectMailSubType" IS NOT NULL)"""
 
 

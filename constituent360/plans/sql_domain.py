@@ -200,8 +200,8 @@ SELECT 'PER-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS crm_person_id, (c_c
 FROM customer""")
 TABLES["account_flag"] = ((), f"""
 SELECT {hh('o_custkey')} AS crm_household_id,
-  {listed(('Major Donor Prospect', 'Major Donor', 'Deceased', 'No Mail', 'No Renewals', 'Volunteer'), 'o_orderkey % 400')} AS flag_name
-FROM orders WHERE o_orderkey % 400 < 6""")
+  coalesce({listed(('Major Donor Prospect', 'Major Donor', 'Deceased', 'No Mail', 'No Renewals', 'Volunteer'), 'o_orderkey % 400')}, 'Newsletter') AS flag_name
+FROM orders""")
 TABLES["crm_gifts"] = (("donations",), """
 SELECT CAST(constituent_id AS BIGINT) AS c_custkey, min(donation_date) AS first_date,
   max({'d': donation_date, 'i': CAST(donation_id AS BIGINT), 'a': donation_amount}) AS last_gift
@@ -214,8 +214,8 @@ SELECT {hh('customer.c_custkey')} AS crm_household_id,
 FROM customer LEFT JOIN crm_gifts ON customer.c_custkey = crm_gifts.c_custkey""")
 TABLES["membership"] = ((), f"""
 SELECT {hh('c_custkey')} AS crm_household_id,
-  {listed(('BASIC', 'SUSTAINER', 'LEADERSHIP', 'BASIC', 'MAJOR_DONOR'), '(c_custkey % 25) // 5')} AS membership_sub_level_code
-FROM customer WHERE c_custkey % 5 < 3""")
+  CASE WHEN c_custkey % 5 < 3 THEN {listed(('BASIC', 'SUSTAINER', 'LEADERSHIP', 'BASIC', 'MAJOR_DONOR'), '(c_custkey % 25) // 5')} END AS membership_sub_level_code
+FROM customer""")
 TABLES["gift_summary"] = (("crm_gifts",), f"""
 SELECT {hh('c_custkey')} AS crm_household_id,
   CASE WHEN c_custkey % 9 = 0 THEN 'OTHER' ELSE 'MEMBERSHIP_OVERALL - HOUSEHOLD' END AS summary_type,

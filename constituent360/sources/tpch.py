@@ -309,12 +309,15 @@ def crm_tables(spark, sf_dir) -> dict[str, DataFrame]:
             F.when(k % 10 == 3, "UNDELIVERABLE").otherwise("MAILABLE").alias("address_status_code"),
             F.when(k % 12 == 5, "N").otherwise("Y").alias("address_contact_status"),
         ),
-        "account_flag": table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 400 < 6).select(
+        "account_flag": table(spark, sf_dir, "orders").select(
             F.concat(F.lit("HH-"), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("crm_household_id"),
-            pick(
-                ("Major Donor Prospect", "Major Donor", "Deceased", "No Mail", "No Renewals", "Volunteer"),
-                F.col("o_orderkey") % 400,
-            ).alias("flag_name"),
+            F.when(
+                F.col("o_orderkey") % 400 < 6,
+                pick(
+                    ("Major Donor Prospect", "Major Donor", "Deceased", "No Mail", "No Renewals", "Volunteer"),
+                    F.col("o_orderkey") % 400,
+                ),
+            ).otherwise("Newsletter").alias("flag_name"),
         ),
         "member_journey": c.join(gifts, "c_custkey", "left").select(
             hh,
@@ -323,8 +326,9 @@ def crm_tables(spark, sf_dir) -> dict[str, DataFrame]:
             (F.col("last.donation_amount") * F.lit(Decimal("0.01"))).cast("decimal(12,2)").alias("most_recent_one_time_amount"),
             F.col("last.donation_date").alias("most_recent_one_time_date"),
         ),
-        "membership": c.where(k % 5 < 3).select(
-            hh, pick(("BASIC", "SUSTAINER", "LEADERSHIP", "BASIC", "MAJOR_DONOR"), k % 25 / F.lit(5)).alias("membership_sub_level_code"),
+        "membership": c.select(
+            hh,
+            F.when(k % 5 < 3, pick(("BASIC", "SUSTAINER", "LEADERSHIP", "BASIC", "MAJOR_DONOR"), k % 25 / F.lit(5))).alias("membership_sub_level_code"),
         ),
         "gift_summary": c.join(gifts, "c_custkey").select(
             hh, F.when(k % 9 == 0, "OTHER").otherwise("MEMBERSHIP_OVERALL - HOUSEHOLD").alias("summary_type"),
