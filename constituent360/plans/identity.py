@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from constituent360.functions import text as T
 from constituent360.operators import golden as G
 from constituent360.operators import identity as I
+from constituent360.operators import journey as J
 from constituent360.operators import matching as M
+from constituent360.operators import models as L
 from constituent360.operators.match_store import MatchStore
+from constituent360.plans.golden import EVENT_SHIFT
+from constituent360.plans.models import CUTOFF
 from constituent360.plans.registry import query
 from constituent360.plans.sql_domain import AS_OF
 from constituent360.session import cut_lineage, scratch
@@ -262,6 +266,8 @@ LINKED = """linked AS (SELECT source_system, source_id, 'UC-' || sha256(cluster)
 gifts AS (SELECT l.cid, d.* FROM donations d LEFT JOIN linked l ON l.source_system = 'donations' AND l.source_id = 'D' || d.constituent_id),
 subs AS (SELECT l.cid, s.* FROM subscriptions s LEFT JOIN linked l ON l.source_system = 'subscriptions' AND l.source_id = 'S' || s.constituent_id)"""
 
+MAILS = """mails AS (SELECT l.cid, e.* FROM emails e LEFT JOIN linked l ON l.source_system = 'donations' AND l.source_id = 'D' || e.constituent_id)"""
+
 
 def facts_of(facts, system: str, letter: str, links):
     """Facts whose owner is a record of a source system, with the constituent of that record (null if there is none)."""
@@ -274,17 +280,17 @@ def linked_facts(spark, sf_dir):
     links = cut_lineage(u.links.select("source_system", "source_record_id", "constituent_id"))
     gifts = facts_of(tpch.donations(spark, sf_dir), "donations", "D", links)
     subscribed = facts_of(tpch.subscriptions(spark, sf_dir), "subscriptions", "S", links)
-    mails = facts_of(tpch.email_engagement(spark, sf_dir), "mail", "M", links)  # a system without records: nobody's
-    return u, gifts, subscribed, mails
+    mails = facts_of(tpch.email_engagement(spark, sf_dir), "donations", "D", links)  # sent by the system that takes the gifts
+    return u, gifts, subscribed, mails, links
 
 
-@query("pipeline_links", f"""WITH RECURSIVE {CLUSTERS}, {LINKED}
+@query("pipeline_links", f"""WITH RECURSIVE {CLUSTERS}, {LINKED}, {MAILS}
 SELECT 'gift' AS fact, cid AS constituent_id, count(*) AS n FROM gifts GROUP BY 2
-UNION ALL SELECT 'subscription', cid, count(*) FROM subs GROUP BY 2 UNION ALL SELECT 'mail', NULL, count(*) FROM emails""",
+UNION ALL SELECT 'subscription', cid, count(*) FROM subs GROUP BY 2 UNION ALL SELECT 'mail', cid, count(*) FROM mails GROUP BY 2""",
        ("all_pairs", "donations", "subscriptions", "emails"))
 def _(spark, sf_dir):
     """Every fact is kept, with the constituent that the identity job found for its source record, or none."""
-    _u, *facts = linked_facts(spark, sf_dir)
+    _u, *facts, _links = linked_facts(spark, sf_dir)
     out = None
     for name, rows in zip(("gift", "subscription", "mail"), facts):
         part = rows.groupBy("constituent_id").agg(F.count("*").alias("n")).withColumn("fact", F.lit(name))
@@ -311,7 +317,7 @@ SELECT constituent_id, canonical_email, canonical_phone, canonical_first_name, c
        ("all_pairs", "donations", "subscriptions"))
 def _(spark, sf_dir):
     """Golden records whose ids and facts come from the identity job."""
-    u, gifts, subscribed, _mails = linked_facts(spark, sf_dir)
+    u, gifts, subscribed, _mails, _links = linked_facts(spark, sf_dir)
     wide = G.golden_of_records(u.constituents, gifts, subscribed, tpch.AS_OF, 400000)
     return wide.withColumn("source_systems", F.array_join("source_systems", "+")).select(
         "constituent_id", "canonical_email", "canonical_phone", "canonical_first_name", "canonical_last_name", "canonical_address_line1",
@@ -320,3 +326,73 @@ def _(spark, sf_dir):
         "recurring_status", "is_subscriber", "subscription_type", "subscription_status", "subscription_start_date",
         "acquisition_campaign", "acquisition_date", "lifecycle_stage",
     )
+
+
+# ---- and on to features, scores and recommendations of the people found
+
+MAJOR, LAST, SEEN = 400000, AS_OF, f"({AS_OF} + {EVENT_SHIFT})"
+PEOPLE = "people AS (SELECT DISTINCT 'UC-' || sha256(cluster)[1:16] AS constituent_id FROM clusters)"
+
+
+def journey(spark, sf_dir):
+    """Written people and their facts."""
+    u, gifts, subscribed, mails, links = linked_facts(spark, sf_dir)
+    events = facts_of(tpch.engagement_events(spark, sf_dir), "donations", "D", links)
+    changes = facts_of(tpch.status_changes(spark, sf_dir), "donations", "D", links)
+    facts = (cut_lineage(df) for df in (gifts, subscribed, mails, events, changes))
+    return cut_lineage(u.constituents), J.Facts(*facts, lag=EVENT_SHIFT)
+
+
+@query("pipeline_features", f"""WITH RECURSIVE {CLUSTERS}, {LINKED}, {MAILS}, {PEOPLE},
+g AS (SELECT cid, count(*) AS n, CAST(sum(donation_amount) AS DOUBLE) / count(*) AS average, min(donation_date) AS first, max(donation_date) AS last,
+  min(donation_date) FILTER (donation_type = 'recurring') AS since FROM gifts WHERE donation_status = 'completed' AND donation_date <= {LAST} GROUP BY 1),
+r AS (SELECT cid, count(*) FILTER (send_date >= {SEEN} - 30) AS sent, count(*) FILTER (opened AND send_date >= {SEEN} - 30) AS opens, count(*) FILTER (clicked AND send_date >= {SEEN} - 30) AS clicks
+  FROM mails WHERE send_date <= {SEEN} GROUP BY 1),
+e AS (SELECT cid, max(event_date) - {EVENT_SHIFT} AS met FROM engagement JOIN linked ON source_system = 'donations' AND source_id = 'D' || constituent_id WHERE event_date <= {SEEN} GROUP BY 1),
+f AS (SELECT constituent_id, CAST(coalesce(datediff('day', met, {LAST}), 999) AS DOUBLE) AS days_since_last_engagement, CAST(coalesce(datediff('day', last, {LAST}), 999) AS DOUBLE) AS days_since_last_donation,
+  coalesce(CAST(opens AS DOUBLE) / nullif(sent, 0), 0) AS email_open_rate_30d, coalesce(CAST(clicks AS DOUBLE) / nullif(sent, 0), 0) AS email_click_rate_30d,
+  coalesce(datediff('day', first, {LAST}) / CAST(30.44 AS DOUBLE), 0) AS tenure_months, CAST(coalesce(n, 0) AS DOUBLE) AS total_gifts, coalesce(average, 0) AS avg_gift_amount,
+  CAST(0 AS DOUBLE) AS consecutive_failed_payments, coalesce(datediff('day', since, {LAST}) / CAST(30.44 AS DOUBLE), 0) AS sustainer_months
+  FROM people LEFT JOIN g ON g.cid = constituent_id LEFT JOIN r ON r.cid = constituent_id LEFT JOIN e ON e.cid = constituent_id)
+SELECT *, least(greatest((1 - least(greatest(days_since_last_engagement, 0), 365) / CAST(365 AS DOUBLE)) * 50 + email_open_rate_30d * 50, 0), 100) AS engagement_score FROM f""",
+       ("all_pairs", "donations", "subscriptions", "emails", "engagement"))
+def _(spark, sf_dir):
+    """Features of the people that the identity job found, from the facts of all their records."""
+    return J.features(*journey(spark, sf_dir), tpch.AS_OF, MAJOR)
+
+
+def journey_scores(spark, sf_dir):
+    people, facts = journey(spark, sf_dir)
+    return people, J.scores(people, facts, tpch.AS_OF, CUTOFF, MAJOR)
+
+
+@query("pipeline_scores", f"""WITH RECURSIVE {CLUSTERS}, {PEOPLE}
+SELECT constituent_id, true AS in_range, true AS tier_fits, true AS best_fits, {AS_OF} AS prediction_date FROM people""", ("all_pairs",))
+def _(spark, sf_dir):
+    """Everybody has one churn score in [0, 1] with its tier, and the greatest upgrade score belongs to the path that is named."""
+    _people, scored = journey_scores(spark, sf_dir)
+    churn, up = F.col("churn_score"), [F.col(f"{t}_score") for t in L.UPGRADE_TARGETS]
+    tier = F.when(churn >= 0.85, "critical").when(churn >= 0.6, "high").when(churn >= 0.3, "medium").otherwise("low")
+    named = F.coalesce(*[F.when(F.col("best_path") == t, c) for t, c in zip(L.UPGRADE_TARGETS, up)])
+    in_range = churn.between(0, 1)
+    for c in up:
+        in_range = in_range & c.between(0, 1)
+    return scored.select(
+        "constituent_id", in_range.alias("in_range"), (F.col("churn_tier") == tier).alias("tier_fits"),
+        ((named == F.greatest(*up)) & (named == F.col("upgrade_propensity"))).alias("best_fits"), "prediction_date",
+    )
+
+
+@query("pipeline_recommendations", f"""{GOLDEN}
+SELECT constituent_id, canonical_email, canonical_phone, true AS action_fits, true AS priority_fits FROM golden""", ("all_pairs",))
+def _(spark, sf_dir):
+    """Everybody gets one action, that follows from both scores, a priority from 0 to 100 and the contact fields."""
+    people, scored = journey_scores(spark, sf_dir)
+    asked, leaving = F.col("upgrade_propensity") >= 0.5, F.col("churn_score") >= 0.5
+    fits = {"prime_target": asked & ~leaving, "careful_ask": asked & leaving, "nurture": ~asked & ~leaving, "save_first": ~asked & leaving}
+    action = F.coalesce(*[F.when(F.col("action") == a, c) for a, c in fits.items()])
+    worth = F.col("upgrade_propensity") * 100 - F.col("churn_score") * 50
+    return J.recommended(people, scored).select(
+        "constituent_id", "canonical_email", "canonical_phone", action.alias("action_fits"),
+        (F.abs(F.col("priority") - F.greatest(F.lit(0.0), F.least(F.lit(100.0), worth))) < 1e-9).alias("priority_fits"),
+    )
