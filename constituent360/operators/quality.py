@@ -273,31 +273,42 @@ class Constraint:
 
 
 def check_constraints(tables: dict[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
-    """Violations per declared constraint."""
-    out = None
+    """Violations per declared constraint. All that one row can violate by itself is counted in one scan per table; keys
+    are grouped, and orphans are counted per key value."""
+    row = lambda c, violations: F.struct(
+        F.lit(c.name).alias("constraint_name"), F.lit(c.table).alias("table"), F.lit(c.kind).alias("kind"),
+        F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"),
+    )
+    alone: dict[str, list[Constraint]] = {}
+    parts = []
     for c in constraints:
         df = tables[c.table]
-        if c.kind in ("primary_key", "unique"):
+        if c.kind in ("not_null", "check"):
+            alone.setdefault(c.table, []).append(c)
+        elif c.kind in ("primary_key", "unique"):
             groups = df.groupBy(*c.columns).agg(F.count("*").alias("n"))
             absent = F.lit(False)
             for name in c.columns:
                 absent = absent | F.col(name).isNull()
             bad = F.when(absent, F.col("n") if c.kind == "primary_key" else 0).when(F.col("n") > 1, F.col("n")).otherwise(0)
-            row = groups.agg(F.coalesce(F.sum(bad), F.lit(0)).alias("violations"))
-        elif c.kind == "not_null":
-            row = df.agg(count_if(F.expr(" OR ".join(f"`{n}` IS NULL" for n in c.columns))).alias("violations"))
-        elif c.kind == "check":
-            row = df.agg(count_if(~F.expr(c.rule)).alias("violations"))
+            parts.append(groups.agg(F.sum(bad).alias("v")).select(row(c, F.col("v")).alias("r")).select("r.*"))
         elif c.kind == "foreign_key":
-            # orphans are counted per key value, so a hot key is one row on either side of the join
+            # a hot key is one row on either side of the join
             keys = df.dropna(subset=list(c.columns)).groupBy(*c.columns).agg(F.count("*").alias("n"))
             parent = tables[c.parent].select(*[F.col(p).alias(k) for p, k in zip(c.parent_columns, c.columns)])
-            row = keys.join(parent, list(c.columns), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
+            orphans = keys.join(parent, list(c.columns), "left_anti").agg(F.sum("n").alias("v"))
+            parts.append(orphans.select(row(c, F.col("v")).alias("r")).select("r.*"))
         else:
             raise ValueError(f"unknown constraint kind: {c.kind}")
-        row = row.select(F.lit(c.name).alias("constraint_name"), F.lit(c.table).alias("table"),
-                         F.lit(c.kind).alias("kind"), F.col("violations").cast("bigint"))
-        out = row if out is None else out.unionByName(row)
+    for name, own in alone.items():
+        broken = [
+            F.expr(" OR ".join(f"`{n}` IS NULL" for n in c.columns)) if c.kind == "not_null" else ~F.expr(c.rule) for c in own
+        ]
+        counted = tables[name].agg(*[count_if(b).alias(f"v{i}") for i, b in enumerate(broken)])
+        parts.append(counted.select(F.inline(F.array(*[row(c, F.col(f"v{i}")) for i, c in enumerate(own)]))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out.withColumn("passed", F.col("violations") == 0)
 
 
