@@ -32,6 +32,14 @@ def _(spark, sf_dir):
     return spark.read.schema(GIFT_SCHEMA).json(f"{base}/gifts.json")
 
 
+@query("source_json_array", "SELECT * FROM donations", ("donations",))
+def _(spark, sf_dir):
+    """Files of one array each; a file is read by one task, so the writer bounds what it holds."""
+    base = scratch(spark, "arrays")
+    OUT.write_json_arrays(tpch.donations(spark, sf_dir), f"{base}/gifts.json")
+    return IN.read_table(spark, base, "gifts", GIFT_SCHEMA)
+
+
 @query("source_text_csv", "SELECT doc_id, text, lang FROM documents")
 def _(spark, sf_dir):
     """Whole texts with quotes and line breaks survive the CSV round trip."""

@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, base: str, name: str, schema, multi_line: bo
             .csv(f"{base}/{name}.csv")
         )
     if exists(spark, f"{base}/{name}.json"):
-        return spark.read.schema(schema).option("multiLine", True).json(f"{base}/{name}.json")
+        return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(f"{base}/{name}.json")
     raise FileNotFoundError(f"No data file found for table: {name}")
 
 

@@ -18,7 +18,7 @@ SAMPLE = (
     "retention_events", "retention_logs", "constituent_features", "identity_fuzzy_join", "metric_anomalies", "model_drift",
     "stratified_split", "time_split", "gift_timing", "extra_features", "gifts_as_of", "gift_status_as_of", "model_calibration",
     "event_attribute_paths", "cross_validation_in_time", "quality_merged_profile", "source_write_audit",
-    "identity_stored_batches", "pipeline_features",
+    "identity_stored_batches", "pipeline_features", "source_json_array",
 )
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 

@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 import json
 
 import pytest
@@ -124,3 +125,15 @@ def test_extract_audit(spark):
     assert (good["success"], good["records_extracted"], good["duration_seconds"], good["error_message"]) == (True, 3, 60.0, None)
     bad = readers.extract_audit(spark.range(0), "crm", "people", started, ended).first()
     assert bad["success"] is False and bad["error_message"] == "expected 1 records or more, got 0"
+
+
+def test_json_arrays_round_trip(spark, tmp_path):
+    """Several files, quotes, line breaks, nulls, repeated rows and a data set without rows."""
+    schema = "id bigint, name string, amount decimal(12,2)"
+    rows = [(i % 7 or None, ['a "b"', "x\ny,[]", None, ""][i % 4], Decimal(f"{i % 3}.50")) for i in range(100)]
+    writers.write_json_arrays(spark.createDataFrame(rows, schema), f"{tmp_path}/t.json", 30)
+    assert len(list(tmp_path.glob("t.json/*/*.txt"))) == 4
+    got = readers.read_table(spark, str(tmp_path), "t", schema)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, rows)) and got.columns == ["id", "name", "amount"]
+    writers.write_json_arrays(spark.createDataFrame([], schema), f"{tmp_path}/none.json")
+    assert readers.read_table(spark, str(tmp_path), "none", schema).isEmpty()
