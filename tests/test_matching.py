@@ -256,3 +256,27 @@ def test_similar_names_are_the_pairs_of_distinct_names(spark):
 
         score = jaro_winkler_batch(pd.Series([a for a, _ in pairs]), pd.Series([b for _, b in pairs]))
         assert got == {x for x, s in zip(pairs, score) if s >= 0.762 - 1e-9} | {(n, n) for n in last}
+
+
+def test_names_of_a_block_are_compared_once(spark, monkeypatch):
+    """Sixty people with one of two names share a mail domain and a zip area: two names are compared, whoever bears them."""
+    rows = [row("a", f"{i}", f"u{i}@a.org", None, "Ann", ("Smith", "Smyth")[i % 2], None, f"{i} Oak Street", f"606{i:02d}") for i in range(60)]
+    p = matching.profiles(matching.prepare(spark.createDataFrame(rows, SCHEMA))).cache()
+    found = []
+    plain = matching.name_pairs
+    monkeypatch.setattr(matching, "name_pairs", lambda *a: (out := plain(*a), found.append(out.count()))[0])
+    got = matching.scored_profiles(p, CFG, CFG.review_threshold)
+    expected = sum(compare(a, b, CFG)[0] == "manual_review" for a, b in itertools.combinations([r.asDict() for r in p.collect()], 2))
+    assert got.count() == expected > 0
+    assert found and max(found) <= 3
+
+
+def test_ceiling_with_a_common_start_bounds_the_similarity(spark):
+    from constituent360.functions import similarity as S
+
+    words = ["", "a", "12 oak st", "123 oak st", "132 oak st", "456 oak st", "12 oak ave", "1234", "1243", "öl 12", "ol 12"]
+    df = spark.createDataFrame([(a, b, jw(a, b) if a and b else 0.0) for a in words for b in words], "a string, b string, exact double")
+    own = [f(F.col(c)) for f in (F.length, S.inverse_length, S.char_mask) for c in "ab"]
+    bound = S.score_ceiling(*own, S.common_start(F.col("a"), F.col("b")))
+    assert df.where(bound < F.col("exact") - 1e-12).count() == 0
+    assert df.where((F.col("a") == "123 oak st") & (F.col("b") == "456 oak st")).select(bound).first()[0] < 0.81
