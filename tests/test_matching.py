@@ -258,6 +258,13 @@ def test_similar_names_are_the_pairs_of_distinct_names(spark):
         assert got == {x for x, s in zip(pairs, score) if s >= 0.762 - 1e-9} | {(n, n) for n in last}
 
 
+def written(monkeypatch):
+    """The sizes of the tables that matching writes."""
+    sizes, write = [], matching.cut_lineage
+    monkeypatch.setattr(matching, "cut_lineage", lambda df: (out := write(df), sizes.append(out.count()))[0])
+    return sizes
+
+
 def test_names_of_a_block_are_compared_once(spark, monkeypatch):
     """Sixty people with one of two names share a mail domain and a zip area: two names are compared, whoever bears them."""
     rows = [row("a", f"{i}", f"u{i}@a.org", None, "Ann", ("Smith", "Smyth")[i % 2], None, f"{i} Oak Street", f"606{i:02d}") for i in range(60)]
@@ -280,3 +287,15 @@ def test_ceiling_with_a_common_start_bounds_the_similarity(spark):
     bound = S.score_ceiling(*own, S.common_start(F.col("a"), F.col("b")))
     assert df.where(bound < F.col("exact") - 1e-12).count() == 0
     assert df.where((F.col("a") == "123 oak st") & (F.col("b") == "456 oak st")).select(bound).first()[0] < 0.81
+
+
+def test_fuzzy_join_compares_different_texts_once(spark, monkeypatch):
+    left = spark.createDataFrame([(f"l{i}", "z", ("smith", "lee", "", None)[i % 4]) for i in range(80)], "k string, zip string, name string")
+    right = spark.createDataFrame([(f"r{i}", "z", ("smyth", "jones", "")[i % 3]) for i in range(90)], "k string, zip string, name string")
+    sizes = written(monkeypatch)
+    got = matching.fuzzy_join(left, right, ["zip"], "name", "name", 0.8, tile_rows=16)
+    assert got.columns == ["k", "zip", "name", "right_k", "right_name", "similarity"]
+    rows = {(r["name"], r["right_name"], round(r["similarity"], 9)) for r in got.collect()}
+    assert rows == {("smith", "smyth", round(jw("smith", "smyth"), 9))} and got.count() == 20 * 30
+    assert sizes and max(sizes) <= 2
+    assert matching.fuzzy_join(left, right, ["zip"], "name", "name", -1.0, tile_rows=16).count() == 80 * 90
