@@ -92,8 +92,9 @@ def scores(
     """Churn score and tier, upgrade scores and best path of everybody on ``as_of``, by models of ``cutoff``."""
     past = cut_lineage(examples(people, facts, cutoff, major_gift))
     now = cut_lineage(inputs(people, facts, as_of, major_gift))
-    leaving, _ = L.train_churn(past, "churned", cutoff, churn)
-    growing, _ = L.train_upgrade(past, cutoff, params=upgrade)
+    (leaving, _), (growing, _) = L.concurrently(
+        [lambda: L.train_churn(past, "churned", cutoff, churn), lambda: L.train_upgrade(past, cutoff, params=upgrade)]
+    )
     return cut_lineage(L.predict_churn(leaving, now, as_of).join(L.predict_upgrade(growing, now, as_of), "constituent_id"))
 
 

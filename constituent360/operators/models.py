@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -25,6 +27,8 @@ from constituent360.operators.totals import previous_values, quantiles
 from constituent360.session import cut_lineage
 
 _HASHES = 1 << 52
+#: Models that are fitted at a time, and the rows that are worth a task of their own in training.
+FITS, TASK_ROWS = 5, 2000
 UPGRADE_TARGETS = ("to_sustainer", "sustainer_increase", "to_major")
 
 
@@ -74,6 +78,20 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
     return df.withColumn(name, F.when(F.col(label).cast("int") == 1, weight).otherwise(1.0))
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows in even parts by a hash of the key, as many as there are cores. A small written table is read by a task or two, and
+    training, which makes one pass for every level of every tree, would keep to those."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, -(-rows.count() // TASK_ROWS)))
+    return rows.repartition(parts, F.xxhash64(key)).sortWithinPartitions(key)
+
+
+def concurrently(tasks: Sequence[Callable]) -> list:
+    """The results of functions that each run jobs one after the other, some of them at a time: one model alone leaves most cores idle."""
+    with ThreadPoolExecutor(FITS) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+
+
 def _pipeline(features: Sequence[str], classifier) -> Pipeline:
     return Pipeline(
         stages=[
@@ -114,7 +132,7 @@ def train_churn(df: DataFrame, label: str, as_of, params: TreeParams = TreeParam
     labels = df.select("constituent_id", F.col(label).cast("double").alias("label"))
     rows = cut_lineage(churn_features(df, as_of).join(labels, "constituent_id"))
     train, valid = split(rows, "constituent_id", 0.8, "label", params.seed)
-    model = _pipeline(CHURN_FEATURES, gbt("label", params)).fit(train)
+    model = _pipeline(CHURN_FEATURES, gbt("label", params)).fit(dealt(train, "constituent_id"))
     return model, validation_metrics(_scored(model, valid, "churn_score"), "churn_score", "label")
 
 
@@ -141,9 +159,10 @@ def train_upgrade(df: DataFrame, as_of, targets: Sequence[str] = UPGRADE_TARGETS
     labels = df.select("constituent_id", *[F.col(t).cast("double").alias(t) for t in targets])
     rows = cut_lineage(upgrade_features(df, as_of).join(labels, "constituent_id"))
     train, valid = split(rows, "constituent_id", 0.8, None, params.seed)
-    models, metrics = {}, None
+    train = dealt(train, "constituent_id")
+    fits = [lambda target=target: _pipeline(UPGRADE_FEATURES, gbt(target, params)).fit(train) for target in targets]
+    models, metrics = dict(zip(targets, concurrently(fits))), None
     for target in targets:
-        models[target] = _pipeline(UPGRADE_FEATURES, gbt(target, params)).fit(train)
         part = validation_metrics(_scored(models[target], valid, "_s"), "_s", target).withColumn("target", F.lit(target))
         metrics = part if metrics is None else metrics.unionByName(part)
     return models, metrics
@@ -176,16 +195,17 @@ def classifiers(label: str, params: TreeParams = TreeParams()) -> dict:
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str, key: str, models: dict, folds: int = 5, seed: int = 42) -> DataFrame:
-    """(model, mean_auc, std_auc) over folds. All fold scores of all models are measured in one pass."""
+    """(model, mean_auc, std_auc) over folds. Several models are fitted at a time, and all fold scores of
+    all models are measured in one pass."""
     rows = cut_lineage(df.withColumn("_fold", F.pmod(_hash_column(seed, key), F.lit(folds))))
-    scored = None
-    for name, classifier in models.items():
-        for fold in range(folds):
-            model = _pipeline(features, classifier).fit(rows.where(F.col("_fold") != fold))
-            part = _scored(model, rows.where(F.col("_fold") == fold), "_s").select(
-                F.lit(name).alias("model"), "_fold", "_s", F.col(label).alias("_y")
-            )
-            scored = part if scored is None else scored.unionByName(part)
+    spread, scored = dealt(rows, key), None
+    trials = [(name, fold) for name in models for fold in range(folds)]
+    fits = [lambda name=name, fold=fold: _pipeline(features, models[name].copy()).fit(spread.where(F.col("_fold") != fold)) for name, fold in trials]
+    for (name, fold), model in zip(trials, concurrently(fits)):
+        part = _scored(model, rows.where(F.col("_fold") == fold), "_s").select(
+            F.lit(name).alias("model"), "_fold", "_s", F.col(label).alias("_y")
+        )
+        scored = part if scored is None else scored.unionByName(part)
     per_fold = auc(scored, "_s", "_y", ["model", "_fold"])
     return per_fold.groupBy("model").agg(
         F.avg("auc_roc").alias("mean_auc"), F.stddev_pop("auc_roc").alias("std_auc")
