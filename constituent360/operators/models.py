@@ -28,7 +28,7 @@ from constituent360.session import cut_lineage
 
 _HASHES = 1 << 52
 #: Models that are fitted at a time, and the rows that are worth a task of their own in training.
-FITS, TASK_ROWS = 5, 2000
+FITS, TASK_ROWS = 5, 20000
 UPGRADE_TARGETS = ("to_sustainer", "sustainer_increase", "to_major")
 
 
@@ -79,8 +79,8 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
 
 
 def dealt(rows: DataFrame, key: str) -> DataFrame:
-    """Rows in even parts by a hash of the key, as many as there are cores. A small written table is read by a task or two, and
-    training, which makes one pass for every level of every tree, would keep to those."""
+    """Rows in even parts by a hash of the key, at most as many as there are cores. A written table may be read by a task or two, and
+    training, which makes one pass for every level of every tree, would keep to those; few rows are better off in one task."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(cores, -(-rows.count() // TASK_ROWS)))
     return rows.repartition(parts, F.xxhash64(key)).sortWithinPartitions(key)

@@ -139,9 +139,9 @@ def test_comparison_has_full_models(spark, sf, monkeypatch):
 
 
 def test_training_rows_are_dealt_over_the_cores_and_models_are_fitted_at_a_time(spark):
-    rows = spark.range(20000).select(F.col("id").cast("string").alias("constituent_id")).coalesce(1)
+    rows = spark.range(160000).select(F.col("id").cast("string").alias("constituent_id")).coalesce(1)
     parts = L.dealt(rows, "constituent_id").rdd.glom().map(len).collect()
-    assert len(parts) == min(spark.sparkContext.defaultParallelism, 10) and sum(parts) == 20000 and max(parts) < 2 * 20000 / len(parts)
+    assert len(parts) == min(spark.sparkContext.defaultParallelism, 8) and sum(parts) == 160000 and max(parts) < 2 * 160000 / len(parts)
     few = L.dealt(rows.limit(5), "constituent_id")
     assert few.rdd.getNumPartitions() == 1 and few.count() == 5
     assert L.dealt(rows.limit(0), "constituent_id").count() == 0
