@@ -99,7 +99,7 @@ class MatchStore:
     def add(self, raw: DataFrame) -> None:
         """Match new records with each other and with the stored ones, and store them."""
         cfg = self.cfg
-        arrived = cut_lineage(M.prepare(raw, cfg).select(*_ROW).dropDuplicates(["record_key"]))
+        arrived = cut_lineage(M.prepare(M.spread(raw), cfg).select(*_ROW).dropDuplicates(["record_key"]))
         new = cut_lineage(arrived.join(self.found("stars", arrived), "record_key", "left_anti"))
         names = new.select("record_key")
 

@@ -165,6 +165,31 @@ def test_hot_shared_phone_is_not_compared_pairwise(spark):
     assert pairs.count() == 300 * 2 + 1
 
 
+def test_blocks_without_anything_to_compare_are_left_out(spark):
+    """Rows of one full phone match already; a block of them alone meets no join, and one without a new row none that wants new rows."""
+    rows = [(f"a{i}", "1111111", "3121111111", True) for i in range(4)]
+    rows += [("b1", "2222222", "3122222222", False), ("b2", "2222222", "7732222222", False)]
+    rows += [("c1", "3333333", "3123333333", False), ("c2", "3333333", "7733333333", True)]
+    rows += [("d1", "4444444", None, False), ("d2", "4444444", None, True), ("e1", "5555555", None, True), ("f1", None, None, True), ("f2", None, None, True)]
+    df = spark.createDataFrame(rows, "profile string, phone_block string, full_phone string, is_new boolean")
+
+    def met(new_only):
+        pairs = matching.block_pairs(df, ["phone_block"], F.lit(True), 32, apart="full_phone", new_only=new_only)
+        return sorted((r[0], r[1]) for r in pairs.select("a.profile", "b.profile").collect())
+
+    assert met(False) == [("b1", "b2"), ("c1", "c2"), ("d1", "d2")]
+    assert met(True) == [("c1", "c2"), ("d1", "d2")]
+
+
+def test_records_of_one_file_are_prepared_by_many_tasks(spark):
+    raw = spark.createDataFrame(population(120, 6), SCHEMA)
+    one = raw.coalesce(1)
+    dealt = matching.spread(one)
+    assert dealt.rdd.getNumPartitions() > 4 and sorted(dealt.collect(), key=repr) == sorted(raw.collect(), key=repr)
+    u = identity.unify(one, probabilistic=False)
+    assert u.records.count() == 120 and u.records.select(F.input_file_name()).distinct().count() > 4
+
+
 def test_incremental_equals_full(spark):
     raw = spark.createDataFrame(population(120, 4), SCHEMA)
     old, new = raw.where("cast(source_id as int) % 4 <> 0"), raw.where("cast(source_id as int) % 4 = 0")
