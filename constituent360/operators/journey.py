@@ -21,6 +21,16 @@ from constituent360.operators.features import churn_features
 from constituent360.session import cut_lineage
 
 
+#: The columns that are read of each table of ``Facts``, in the order of its fields.
+READ = (
+    ("constituent_id", "donation_id", "donation_date", "donation_amount", "donation_type", "donation_status", "campaign_code"),
+    ("constituent_id", "subscription_id", "subscription_type", "subscription_status", "start_date"),
+    ("constituent_id", "send_date", "opened", "clicked"),
+    ("constituent_id", "event_date"),
+    ("constituent_id", "change_type", "change_date"),
+)
+
+
 @dataclass(frozen=True)
 class Facts:
     """Facts with the constituent that their source record is linked to. ``lag`` is by how many days the calendar of mails and
@@ -33,6 +43,11 @@ class Facts:
     changes: DataFrame
     lag: int = 0
 
+    @classmethod
+    def written(cls, *facts: DataFrame, lag: int = 0) -> Facts:
+        """Facts, in the order of the fields, written with the columns that are read here: several inputs follow from each."""
+        return cls(*(cut_lineage(df.select(*columns)) for df, columns in zip(facts, READ, strict=True)), lag=lag)
+
     def until(self, as_of: dt.date) -> Facts:
         """What was known on a day."""
         there = as_of + dt.timedelta(days=self.lag)

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from constituent360.operators import journey as J
 from constituent360.operators.models import TreeParams
@@ -83,3 +84,14 @@ def test_scores_and_recommendations_for_everybody(spark):
     found = J.recommended(people, scored).collect()
     assert len(found) == 120 and {r["action"] for r in found} <= {"prime_target", "careful_ask", "nurture", "save_first"}
     assert all(0 <= r["priority"] <= 100 for r in found)
+
+
+def test_facts_are_written_with_the_columns_that_are_read(spark, few):
+    people, facts = few
+    given = [getattr(facts, f) for f in ("gifts", "subscriptions", "mails", "events", "changes")]
+    written = J.Facts.written(*[df.withColumn("unread", F.lit("x" * 50)) for df in given], lag=facts.lag)
+    for df, name in zip(given, ("gifts", "subscriptions", "mails", "events", "changes")):
+        kept = getattr(written, name)
+        assert sorted(kept.columns) == sorted(df.columns) and kept.count() == df.count()
+    rows = lambda f: sorted(J.features(people, f, DAY(2020, 7, 1)).collect())
+    assert rows(written) == rows(facts)
