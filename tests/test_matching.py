@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from constituent360.functions.similarity import jaro_winkler_batch
 from constituent360.operators import components, identity, matching
 from constituent360.operators.matching import MatchConfig
+from constituent360.operators.tiles import tiled
+from constituent360.session import cut_lineage
 
 CFG = MatchConfig()
 SCHEMA = (
@@ -324,3 +326,35 @@ def test_fuzzy_join_compares_different_texts_once(spark, monkeypatch):
     assert rows == {("smith", "smyth", round(jw("smith", "smyth"), 9))} and got.count() == 20 * 30
     assert sizes and max(sizes) <= 2
     assert matching.fuzzy_join(left, right, ["zip"], "name", "name", -1.0, tile_rows=16).count() == 80 * 90
+
+
+@pytest.fixture
+def by_file_size(spark):
+    """The planner would send a written table of up to 64 KB of files to every task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def sent_whole(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def few_names(n):
+    return [row("a", str(i), f"u{i}@x.org", None, "Ann", ("Lee", "Leeds")[i % 2], None, f"{i % 9} Oak Street", f"606{i % 7:02}") for i in range(n)]
+
+
+def test_tile_sizes_are_merged_not_sent_to_every_task(spark, by_file_size):
+    """One row per key: as many as the input has keys, in files that may be far smaller."""
+    a, b = (cut_lineage(spark.range(3000).selectExpr("'a long text that compresses well' as k", f"id as {c}")) for c in "xy")
+    left, right = tiled(a, b, ["k"], ["x"], ["y"], 1000)
+    assert [sent_whole(left), sent_whole(right)] == [0, 0]
+    assert left.join(right, ["k", "_ta", "_tb"]).count() == 3000 * 3000
+
+
+def test_names_that_fit_are_merged_with_the_rows_not_sent_to_every_task(spark, by_file_size):
+    """They come again for every block, so millions of them fill a file of a few MB."""
+    p = cut_lineage(matching.profiles(matching.prepare(spark.createDataFrame(few_names(120), SCHEMA))))
+    pairs = matching.candidate_pairs(p, CFG, CFG.review_threshold)
+    assert sent_whole(pairs) == 0
+    assert pairs.count() > 0
