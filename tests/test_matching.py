@@ -358,3 +358,13 @@ def test_names_that_fit_are_merged_with_the_rows_not_sent_to_every_task(spark, b
     pairs = matching.candidate_pairs(p, CFG, CFG.review_threshold)
     assert sent_whole(pairs) == 0
     assert pairs.count() > 0
+
+
+def test_matches_per_record_are_scored_once(spark):
+    """Both sides of a match, and the sort's bounds, come from the written matches: nothing is joined again."""
+    scored = matching.scored_matches(matching.prepare(spark.createDataFrame(few_names(40), SCHEMA)))
+    pairs = {(r["profile_a"], r["profile_b"]) for r in scored.collect()}
+    found = identity.matches_per_record(scored)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = [(r["record"], -r["confidence"], r["other"]) for r in found.collect()]
+    assert rows == sorted(rows) and {(a, b) for a, _, b in rows} == pairs | {(b, a) for a, b in pairs} and len(rows) == 2 * len(pairs) > 0
