@@ -368,3 +368,11 @@ def test_matches_per_record_are_scored_once(spark):
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     rows = [(r["record"], -r["confidence"], r["other"]) for r in found.collect()]
     assert rows == sorted(rows) and {(a, b) for a, _, b in rows} == pairs | {(b, a) for a, b in pairs} and len(rows) == 2 * len(pairs) > 0
+
+
+def test_audit_scores_once_and_sends_no_table_to_every_task(spark, by_file_size):
+    u = identity.unify(spark.createDataFrame(few_names(40) + DEMO, SCHEMA))
+    audit = u.audit
+    assert sent_whole(audit) == 0
+    assert "ArrowEvalPython" not in audit._jdf.queryExecution().executedPlan().toString()  # the similarity of a pair
+    assert {r["match_type"] for r in audit.collect()} >= {"deterministic_email", "deterministic_phone", "manual_review"}
